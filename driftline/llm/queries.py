@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from driftline.llm import exact_dedup
+from driftline.llm import exact_dedup, simhash
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op9_simhash": simhash.op9_simhash,
 }
 
 ORACLE_SQL = {
