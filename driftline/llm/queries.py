@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from driftline.llm import exact_dedup, simhash
+from driftline.llm import bpe, exact_dedup, simhash, token_store
 
 QUERIES = {
+    "op2_token_store": token_store.op2_token_store,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op8_bpe": bpe.op8_bpe,
     "op9_simhash": simhash.op9_simhash,
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,8 +19,11 @@ from driftline.llm.common import read_table, shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Rows that the library encodes at once.
+#: Rows that are encoded at once.
 _ROWS = 128
+#: Chunks that a worker remembers before it starts afresh; it asks for at most the chunks of ``_ROWS`` rows more.
+REMEMBERED = 400_000
+_ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: A row group holds about so many bytes; a reader of a few documents touches few of them.
 ROW_GROUP_BYTES = 16 << 20
 #: Pages are small, so that the page index leads to the pages that hold the wanted rows.
@@ -27,12 +31,36 @@ PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1024
 
 
+class Encoder:
+    """The library, asked once for each chunk between white space and not again while it is remembered.
+
+    No token of this vocabulary reaches over white space, nor does its normalisation, so
+    the ids of a text are those of its chunks in order. A text with a control character
+    that only ``str.split`` takes for white space goes to the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.known: dict[str, bytes] = {}
+
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<i4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        split = [[x] if _ODD_SPACE.search(x) else x.split() for x in texts]
+        new = list(set().union(*split).difference(self.known))
+        self.known.update(zip(new, self._ask(new)))
+        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> Tokenizer:
-    found = Tokenizer.from_file(path)
-    found.no_truncation()
-    found.no_padding()
-    return found
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def encode(docs: DataFrame, path: str, end_id: int | None = END_ID, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -44,13 +72,12 @@ def encode(docs: DataFrame, path: str, end_id: int | None = END_ID, text: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, start, tail = _tokenizer(path), 0, [] if end_id is None else [end_id]
+        ask, start, tail = encoder(path), 0, b"" if end_id is None else np.array([end_id], "<i4").tobytes()
         for batch in batches:
             for k in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(k, _ROWS)
-                found = library.encode_batch_fast([x or "" for x in rows.column(2).to_pylist()], add_special_tokens=False)
-                ids = [np.array(x.ids + tail, np.int32) for x in found]
-                sizes = np.array([len(x) for x in ids], np.int64)
+                ids = [x + tail for x in ask([x or "" for x in rows.column(2).to_pylist()])]
+                sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -58,7 +85,7 @@ def encode(docs: DataFrame, path: str, end_id: int | None = END_ID, text: str =
                         rows.column(1),
                         pa.array(start + ends[:-1]),
                         pa.array(sizes),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids))),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4"))),
                     ],
                     names=["doc_id", "part", "start_in_part", "n_tokens", "ids"],
                 )
