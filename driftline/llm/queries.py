@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from driftline.llm import bpe, exact_dedup, simhash, token_store
+from driftline.llm import bpe, exact_dedup, mixing, simhash, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_mixing": mixing.op5_mixing,
     "op8_bpe": bpe.op8_bpe,
     "op9_simhash": simhash.op9_simhash,
 }

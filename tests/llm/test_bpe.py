@@ -34,7 +34,7 @@ def test_special_cases(library):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text())
+@given(st.text(st.characters(exclude_categories=("Cn", "Cs"))))
 def test_any_text(library, text):
     same(library, [text])
 
