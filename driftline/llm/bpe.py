@@ -17,10 +17,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.common import read_table
+from driftline.llm.common import Recent, read_table, set_off_stops
 
 VOCABULARY = "word_bpe_49k.json"
-#: Entries of a worker's memory of encoded chunks; it starts afresh when full, so memory stays bounded.
+#: Encoded chunks of one generation that a worker remembers.
 _REMEMBERED = 400_000
 #: Bytes of texts whose results are held before they go back to Spark.
 _BATCH_BYTES = 8 << 20
@@ -68,7 +68,7 @@ class Vocabulary:
             pattern = pattern.replace(name, ranges)
         self.pieces = regex.compile(pattern).findall
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.encoded: dict[str, tuple[bytes, str]] = {}
+        self.encoded: Recent = Recent(_REMEMBERED)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Join adjacent symbols by ascending rank, leftmost first, until no pair has a rank.
@@ -112,16 +112,10 @@ class Vocabulary:
         if _ODD_SPACE.search(text):
             found = self._chunk(text)
             return [found] if found[0] else []
-        known, out = self.encoded, []
-        for chunk in text.split():
-            found = known.get(chunk)
-            if found is None:
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                found = known[chunk] = self._chunk(chunk)
-            if found[0]:
-                out.append(found)
-        return out
+        chunks, known = set_off_stops(text).split(), self.encoded
+        for chunk in known.missing(set(chunks)):
+            known[chunk] = self._chunk(chunk)
+        return [x for x in map(known.__getitem__, chunks) if x[0]]
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids of a text as bytes of little-endian 32-bit integers, and the decoded text."""

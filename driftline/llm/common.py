@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -55,3 +56,38 @@ def ascii_lower(column):
     return F.when(F.octet_length(column) == F.char_length(column), F.lower(column)).otherwise(
         F.translate(column, ASCII_UPPER, ASCII_LOWER)
     )
+
+
+#: Between an ASCII letter and a full stop or comma before white space or the end.
+_BEFORE_STOP = re.compile(r"(?<=[A-Za-z])(?=[.,](?:\s|\Z))", re.ASCII)
+
+
+def set_off_stops(text: str) -> str:
+    """Put a space before full stops and commas that end a word, so that fewer different chunks are left.
+
+    For tokenizers that part letters from punctuation and drop white space, it is the same text.
+    """
+    return _BEFORE_STOP.sub(" ", text)
+
+
+class Recent(dict):
+    """Results by key, of those asked for lately: two generations of at most ``most`` keys and those of one call.
+
+    When the young generation is full it becomes the old one; what is asked for again is
+    young again, and what is not goes with the old one. So memory is bounded, and keys
+    that come often stay.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that have to be computed and stored; the others can be read until the next call."""
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        new = keys.difference(self)
+        known = new.intersection(self.old)
+        self.update((k, self.old[k]) for k in known)
+        return list(new - known)

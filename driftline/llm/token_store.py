@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -15,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from driftline.llm.common import read_table, shared_dir
+from driftline.llm.common import Recent, read_table, set_off_stops, shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Rows that are encoded at once.
 _ROWS = 128
-#: Chunks that a worker remembers before it starts afresh; it asks for at most the chunks of ``_ROWS`` rows more.
-REMEMBERED = 400_000
+#: Chunks of one generation that a worker remembers.
+REMEMBERED = 500_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: A row group holds about so many bytes; a reader of a few documents touches few of them.
 ROW_GROUP_BYTES = 16 << 20
@@ -35,25 +36,31 @@ class Encoder:
     """The library, asked once for each chunk between white space and not again while it is remembered.
 
     No token of this vocabulary reaches over white space, nor does its normalisation, so
-    the ids of a text are those of its chunks in order. A text with a control character
-    that only ``str.split`` takes for white space goes to the library whole.
+    the ids of a text are those of its chunks in order. A text that may hold a special token,
+    or a control character that only ``str.split`` takes for white space, goes to the
+    library whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.known: Recent = Recent(REMEMBERED)
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<i4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        if _ODD_SPACE.search(text):
+            return [text]
+        return set_off_stops(text.lower() if text.isascii() else text).split()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        split = [[x] if _ODD_SPACE.search(x) else x.split() for x in texts]
-        new = list(set().union(*split).difference(self.known))
+        split = [[x] if "<|" in x else self._chunks(x) for x in texts]
+        new = self.known.missing(set().union(*split))
         self.known.update(zip(new, self._ask(new)))
         return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
 

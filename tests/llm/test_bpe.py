@@ -30,7 +30,7 @@ def test_every_character(library):
 
 
 def test_special_cases(library):
-    same(library, ["", " ", "it's I'LL", "x" * 3000, "ab" * 2000, "<|endoftext|>a<|startoftext|> <|b", "ΑΣ Σ", "é é", "a\x1cb c", "12 345"])
+    same(library, ["", " ", "it's I'LL", "x" * 3000, "ab" * 2000, "<|endoftext|>a<|startoftext|> <|b", "ΑΣ Σ", "é é", "a\x1cb c", "12 345", "a. b, c.d, e., f,", "x.\n", "é. ."])
 
 
 @settings(max_examples=300, deadline=None)
