@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from driftline.llm import bpe, exact_dedup, mixing, simhash, token_store
+from driftline.llm import bpe, exact_dedup, mixing, quality, simhash, substring, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
+    "op3_substring": substring.op3_substring,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
+    "op7_quality": quality.op7_quality,
     "op8_bpe": bpe.op8_bpe,
     "op9_simhash": simhash.op9_simhash,
 }
