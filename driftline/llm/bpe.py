@@ -112,8 +112,9 @@ class Vocabulary:
         if _ODD_SPACE.search(text):
             found = self._chunk(text)
             return [found] if found[0] else []
-        chunks, known = set_off_stops(text).split(), self.encoded
-        for chunk in known.missing(set(chunks)):
+        chunks = set_off_stops(text).split()
+        new, known = self.encoded.missing(set(chunks)), self.encoded.young
+        for chunk in new:
             known[chunk] = self._chunk(chunk)
         return [x for x in map(known.__getitem__, chunks) if x[0]]
 

@@ -70,24 +70,22 @@ def set_off_stops(text: str) -> str:
     return _BEFORE_STOP.sub(" ", text)
 
 
-class Recent(dict):
+class Recent:
     """Results by key, of those asked for lately: two generations of at most ``most`` keys and those of one call.
 
     When the young generation is full it becomes the old one; what is asked for again is
     young again, and what is not goes with the old one. So memory is bounded, and keys
-    that come often stay.
+    that come often stay. ``young`` is a plain dictionary, which sets compare with fast.
     """
 
     def __init__(self, most: int):
-        super().__init__()
-        self.most, self.old = most, {}
+        self.most, self.young, self.old = most, {}, {}
 
     def missing(self, keys: set) -> list:
-        """The keys that have to be computed and stored; the others can be read until the next call."""
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        new = keys.difference(self)
+        """The keys that have to be computed and put into ``young``; the others are there until the next call."""
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        new = keys.difference(self.young)
         known = new.intersection(self.old)
-        self.update((k, self.old[k]) for k in known)
+        self.young.update((k, self.old[k]) for k in known)
         return list(new - known)

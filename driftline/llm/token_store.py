@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -16,15 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from driftline.llm.bpe import byte_symbols
 from driftline.llm.common import Recent, read_table, set_off_stops, shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Rows that are encoded at once.
-_ROWS = 128
+_ROWS = 256
 #: Chunks of one generation that a worker remembers.
 REMEMBERED = 500_000
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD = re.compile("[\x1c-\x1f\u03a3]")
 #: A row group holds about so many bytes; a reader of a few documents touches few of them.
 ROW_GROUP_BYTES = 16 << 20
 #: Pages are small, so that the page index leads to the pages that hold the wanted rows.
@@ -46,23 +48,36 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: Recent = Recent(REMEMBERED)
+        self.symbols = byte_symbols()
+        self.known = Recent(REMEMBERED)
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<i4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ask(self, chunks: list[str]) -> dict[str, bytes]:
+        """Chunks of letters alone are one piece, which the library's merges can take at once."""
+        tokens, symbols = self.library.model.tokenize, self.symbols
+        out = {}
+        for x in chunks:
+            if x.isalpha() and x.islower():
+                piece = x if x.isascii() else "".join([symbols[b] for b in x.encode()])
+                out[x] = np.array([t.id for t in tokens(piece)], "<i4").tobytes()
+        rest = [x for x in chunks if x not in out]
+        out.update(zip(rest, self._whole(rest)))
+        return out
+
     @staticmethod
     def _chunks(text: str) -> list[str]:
-        if _ODD_SPACE.search(text):
-            return [text]
-        return set_off_stops(text.lower() if text.isascii() else text).split()
+        """The chunks of the normalised text, full stops and commas apart."""
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return set_off_stops(text.lower()).split()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [[x] if "<|" in x else self._chunks(x) for x in texts]
-        new = self.known.missing(set().union(*split))
-        self.known.update(zip(new, self._ask(new)))
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+        split = [[x] if "<|" in x or _ODD.search(x) else self._chunks(x) for x in texts]
+        self.known.young.update(self._ask(self.known.missing(set().union(*split))))
+        return [b"".join(map(self.known.young.__getitem__, chunks)) for chunks in split]
 
 
 @lru_cache(maxsize=2)

@@ -50,9 +50,9 @@ def _ranges(values: np.ndarray, base: int, starts: np.ndarray, stops: np.ndarray
 class Texts:
     """Some texts: their bytes, where each begins, and their words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
         self.data, self.offsets = data, offsets
-        inside = ~SPACE[data]
+        inside = ~space[data]
         before = np.zeros(len(data), bool)
         before[1:] = inside[:-1]
         cut = offsets[(offsets > 0) & (offsets < len(data))]
@@ -97,8 +97,11 @@ def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
     return out, whole
 
 
-def texts(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Texts]]:
-    """Rows a to b of a binary column as ``Texts``, so many at once as fit a chunk; null counts as empty."""
+def texts(column: pa.Array, chunk_bytes: int = CHUNK_BYTES, space: np.ndarray = SPACE, letters: np.ndarray | None = None) -> Iterator[tuple[int, int, Texts]]:
+    """Rows a to b of a binary column as ``Texts``, so many at once as fit a chunk; null counts as empty.
+
+    ``space`` has what parts words, ``letters`` the byte that each byte is read as.
+    """
     column = column.fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int32 if column.type == pa.binary() else np.int64)[column.offset : column.offset + len(column) + 1]
     buffer = column.buffers()[2]
@@ -107,5 +110,6 @@ def texts(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[in
     while a < len(column):
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + chunk_bytes, "right")) - 1)
         b = min(b, len(column))
-        yield a, b, Texts(data[offsets[a] : offsets[b]], (offsets[a : b + 1] - offsets[a]).astype(np.int64))
+        part = data[offsets[a] : offsets[b]]
+        yield a, b, Texts(part if letters is None else letters[part], (offsets[a : b + 1] - offsets[a]).astype(np.int64), space)
         a = b

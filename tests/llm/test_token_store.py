@@ -1,3 +1,5 @@
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -23,6 +25,14 @@ def test_round_trip(spark, tmp_path):
     assert sums == {r.start: zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in found}
 
 
+def test_every_character():
+    texts = [f"a{chr(c)}b {chr(c)}'s x{chr(c)}. {chr(c)}" for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co", "Lo")]
+    texts += ["", " ", "<|endoftext|> a", "ΑΣ. Σ", "a\x1cb", "İ ß. é.", "'s. a'. 5. x.y ,"]
+    want = Tokenizer.from_file(PATH).encode_batch_fast(texts, add_special_tokens=False)
+    for text, ids, row in zip(texts, t.encoder(PATH)(texts), want):
+        assert np.frombuffer(ids, "<i4").tolist() == row.ids, repr(text)
+
+
 def test_metadata_alone(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     t.write_store(t.encode(docs, PATH), f"{tmp_path}/store")
