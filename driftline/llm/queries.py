@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from driftline.llm import bpe, exact_dedup, mixing, quality, simhash, substring, token_store
+from driftline.llm import bpe, exact_dedup, mixing, quality, secrets, simhash, substring, token_store, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_token_store": token_store.op2_token_store,
     "op3_substring": substring.op3_substring,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
@@ -12,6 +13,7 @@ QUERIES = {
     "op7_quality": quality.op7_quality,
     "op8_bpe": bpe.op8_bpe,
     "op9_simhash": simhash.op9_simhash,
+    "op10_secrets": secrets.op10_secrets,
 }
 
 ORACLE_SQL = {
