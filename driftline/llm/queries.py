@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftline.llm import bpe, exact_dedup, mixing, quality, secrets, simhash, substring, token_store, toxicity
+from driftline.llm import bpe, exact_dedup, html_text, mixing, quality, secrets, simhash, substring, token_store, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_substring": substring.op3_substring,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
+    "op6_html": html_text.op6_html,
     "op7_quality": quality.op7_quality,
     "op8_bpe": bpe.op8_bpe,
     "op9_simhash": simhash.op9_simhash,

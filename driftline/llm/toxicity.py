@@ -20,7 +20,7 @@ PREDICT_FROM = 0.3
 BUCKETS = 1 << 14
 DIMENSIONS = 12
 FILTERS = {1: 12, 2: 6, 3: 6}
-EPOCHS, BATCH_ROWS, RATE, SEED = 5, 48, 0.02, 7
+EPOCHS, LEAST_STEPS, BATCH_ROWS, RATE, SEED = 5, 320, 48, 0.02, 7
 #: Every so many rows of the sample calibrate instead of train.
 CALIBRATE_EVERY = 4
 _CHUNK_BYTES = 1 << 20
@@ -75,7 +75,9 @@ class Model:
 
     def logits(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
         vectors, begins = self.padded(buckets, first)
-        pooled = np.maximum(np.maximum.reduceat(self.activations(vectors), begins[:-1], axis=0), 0)
+        # places from a text's first to the one after its last word; what starts later would reach into the next text
+        cuts = np.stack([begins[:-1], begins[1:] - max(FILTERS) + 1], axis=1).ravel()
+        pooled = np.maximum(np.maximum.reduceat(self.activations(vectors), cuts, axis=0)[::2], 0)
         return pooled @ self.last + self.bias
 
     def language(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -141,13 +143,14 @@ def fit(data: list[bytes], labels: np.ndarray, langs: list[str | None], seed: in
             values[at] -= RATE * gradient / np.sqrt(total[at])
 
     bias = np.array([m.bias], np.float32)
-    for _ in range(EPOCHS):
-        for part in np.array_split(rng.permutation(train), max(1, len(train) // BATCH_ROWS)):
+    batches = max(1, len(train) // BATCH_ROWS)
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // batches))):
+        for part in np.array_split(rng.permutation(train), batches):
             buckets = np.concatenate([rows[k] for k in part])
             first = np.concatenate([[0], np.cumsum([len(rows[k]) for k in part])])
             vectors, begins = m.padded(buckets, first)
             made = m.activations(vectors)
-            where = np.stack([a + made[a:b].argmax(axis=0) for a, b in zip(begins[:-1], begins[1:])])
+            where = np.stack([a + made[a : b - max(FILTERS) + 1].argmax(axis=0) for a, b in zip(begins[:-1], begins[1:])])
             pooled = np.maximum(np.take_along_axis(made, where, axis=0), 0)
             p = 1 / (1 + np.exp(-np.clip(pooled @ m.last + bias[0], -30, 30)))
             error = ((p - labels[part]) / len(part)).astype(np.float32)
