@@ -6,7 +6,8 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -21,7 +22,7 @@ from driftline.llm.common import Recent, read_table, set_off_stops
 
 VOCABULARY = "word_bpe_49k.json"
 #: Encoded chunks of one generation that a worker remembers.
-_REMEMBERED = 400_000
+_REMEMBERED = 600_000
 #: Bytes of texts whose results are held before they go back to Spark.
 _BATCH_BYTES = 8 << 20
 #: Characters that ``str.split`` takes for white space and the vocabulary's own pattern does not.
@@ -55,7 +56,7 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = {i: s for s, i in (self.ids | self.special).items()}
+        self.strings = [s for _, s in sorted((i, s) for s, i in (self.ids | self.special).items())]
         self.end = model["end_of_word_suffix"] or ""
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(model["merges"]):
@@ -96,45 +97,35 @@ class Vocabulary:
                 heappush(queue, (*found, h, symbols[h], joined))
         return [s for s in symbols if s >= 0]
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and their joined strings, of a text without white space."""
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids as little-endian 32-bit integers of a text without white space; letters alone are one piece."""
         out: list[int] = []
-        for piece in self.pieces(chunk):
+        for piece in (chunk,) if chunk.isalpha() else self.pieces(chunk):
             raw = piece.encode("utf-8", "surrogatepass")
             out += self.merge([*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]])
-        return np.array(out, "<i4").tobytes(), " ".join(map(self.strings.__getitem__, out))
+        return array("i", out).tobytes()
 
-    def _plain(self, text: str) -> list[tuple[bytes, str]]:
-        """Encoded chunks of a text without special tokens."""
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # the library lower-cases letter by letter
         text = text.lower()
         if _ODD_SPACE.search(text):
-            found = self._chunk(text)
-            return [found] if found[0] else []
+            return self._chunk(text)
         chunks = set_off_stops(text).split()
         new, known = self.encoded.missing(set(chunks)), self.encoded.young
         for chunk in new:
             known[chunk] = self._chunk(chunk)
-        return [x for x in map(known.__getitem__, chunks) if x[0]]
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids of a text as bytes of little-endian 32-bit integers, and the decoded text."""
-        if "<|" in text:
-            parts: list[tuple[bytes, str]] = []
-            for part in self.specials.split(text):
-                if part in self.special:
-                    parts.append((np.array([self.special[part]], "<i4").tobytes(), part))
-                elif part:
-                    parts += self._plain(part)
-        else:
-            parts = self._plain(text)
-        if not parts:
-            return b"", ""
-        ids, strings = zip(*parts)
-        return b"".join(ids), " ".join(strings)
-
-    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(known.__getitem__, chunks))
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit integers."""
+        if "<|" not in text:
+            return self._plain(text)
+        parts = filter(None, self.specials.split(text))
+        return b"".join(array("i", [self.special[p]]).tobytes() if p in self.special else self._plain(p) for p in parts)
+
+    def decode(self, ids: Iterable[int]) -> str:
         """The strings of ids, joined as the library does for a vocabulary without a decoder: by one space."""
         return " ".join(map(self.strings.__getitem__, ids))
 
@@ -154,22 +145,22 @@ def bpe_encode_decode(docs: DataFrame, path: str, text: str = "text", id_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
 
-        def batch_of(keys: list[pa.Array], found: list[tuple[bytes, str]]) -> pa.RecordBatch:
-            ids, decoded = zip(*found)
+        def batch_of(keys: pa.Array, ids: list[bytes], decoded: list[str]) -> pa.RecordBatch:
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(keys), lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
+            return pa.RecordBatch.from_arrays([keys, lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
         for batch in batches:
-            done, held, found = 0, 0, []
+            done, held, ids, decoded = 0, 0, [], []
             for k, value in enumerate(batch.column(1)):
-                found.append(known.encode(value.as_py() or ""))
-                held += len(found[-1][0]) + len(found[-1][1])
+                ids.append(known.encode(value.as_py() or ""))
+                decoded.append(known.decode(memoryview(ids[-1]).cast("i")))
+                held += len(ids[-1]) + len(decoded[-1])
                 if held >= _BATCH_BYTES:
-                    yield batch_of([batch.column(0).slice(done, k + 1 - done)], found)
-                    done, held, found = k + 1, 0, []
-            if found:
-                yield batch_of([batch.column(0).slice(done)], found)
+                    yield batch_of(batch.column(0).slice(done, k + 1 - done), ids, decoded)
+                    done, held, ids, decoded = k + 1, 0, [], []
+            if ids:
+                yield batch_of(batch.column(0).slice(done), ids, decoded)
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")

@@ -25,6 +25,8 @@ MOST_RUNS = 4
 HOT_ROWS = 100_000
 #: Bits of the filter by which texts that cannot take part stay out of a shuffle: 16 MB, whatever the size of the corpus.
 FILTER_BITS = 1 << 27
+#: Rows that a task turns into Python objects at once.
+_ROWS = 64
 #: Stands for a null id, which so comes before all others.
 NO_ID = -(2**63)
 
@@ -183,7 +185,8 @@ def _windows_at(hot_rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        slices = (batch.slice(k, _ROWS) for batch in batches for k in range(0, batch.num_rows, _ROWS))
+        for batch in slices:
             for doc, packed, at in zip(*(c.to_pylist() for c in batch.columns)):
                 data = np.frombuffer(unpack(packed), np.uint8) if packed else np.zeros(0, np.uint8)
                 found = Texts(data, np.array([0, len(data)]))
@@ -227,7 +230,8 @@ def remove_words(data: bytes, starts: np.ndarray) -> tuple[int, int, bytes]:
 def _cleaned(rows: DataFrame, packed: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        slices = (batch.slice(k, _ROWS) for batch in batches for k in range(0, batch.num_rows, _ROWS))
+        for batch in slices:
             out, held, none = [], 0, np.zeros(0, np.int64)
             for row in zip(*(c.to_pylist() if c.type != pa.binary() else c for c in batch.columns)):
                 data, starts = row[1].as_py() or b"", none

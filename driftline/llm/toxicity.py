@@ -23,7 +23,7 @@ FILTERS = {1: 12, 2: 6, 3: 6}
 EPOCHS, LEAST_STEPS, BATCH_ROWS, RATE, SEED = 5, 320, 48, 0.02, 7
 #: Every so many rows of the sample calibrate instead of train.
 CALIBRATE_EVERY = 4
-_CHUNK_BYTES = 1 << 20
+_CHUNK_BYTES = 512 << 10
 
 #: What parts words here: all ASCII but letters and digits; letters are read in lower case.
 _SPACE = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])

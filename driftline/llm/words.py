@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of texts that are worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 #: The six bytes of white space that part words.
 SPACE = np.zeros(256, bool)
