@@ -86,6 +86,6 @@ class Recent:
         if len(self.young) >= self.most:
             self.young, self.old = {}, self.young
         new = keys.difference(self.young)
-        known = new.intersection(self.old)
+        known = {k for k in new if k in self.old}  # intersection() would go through all of a dictionary
         self.young.update((k, self.old[k]) for k in known)
         return list(new - known)
