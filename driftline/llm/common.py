@@ -34,6 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Give Python workers so many rows at once: rows with texts are wide, and both sides hold a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 

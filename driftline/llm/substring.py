@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import materialise, read_table
+from driftline.llm.common import materialise, read_table, small_batches
 from driftline.llm.words import Texts, mixed, texts, windows
 
 WINDOW_WORDS = 20
@@ -263,6 +263,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     several of them is not removed for that. Other columns are not read.
     """
     spark, keyed = docs.sparkSession, _keyed(docs, text, id_col)
+    small_batches(spark)
     low, high = keyed.where(F.col("doc") != NO_ID).agg(F.min("doc"), F.max("doc")).first()
     bounds = [] if low is None else [low + (high - low + 1) * k // batches for k in range(1, batches)]
     index, starts = FingerprintIndex(spark, most_runs, hot_rows), None

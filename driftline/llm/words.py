@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +25,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
-def _powers_to(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(base, -1, 2**64)
-    up, down = np.full(n, base, np.uint64), np.full(n, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+#: For each base, its powers and those of its inverse; they grow with the longest text met, or chunk of texts.
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers_to(base, 1 << max(10, int(n).bit_length()))
-    return up[:n], down[:n]
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        up, down = np.full(n + n // 4, base, np.uint64), np.full(n + n // 4, pow(base, -1, 2**64), np.uint64)
+        up[0] = down[0] = 1
+        _POWERS[base] = (np.cumprod(up), np.cumprod(down))
+    return _POWERS[base][0][:n], _POWERS[base][1][:n]
 
 
 def _ranges(values: np.ndarray, base: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
