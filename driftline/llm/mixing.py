@@ -18,7 +18,9 @@ MOST_REPEATS = 3
 #: Words of a block. Blocks cut through documents, so a mix can meet its targets closely.
 BLOCK_WORDS = 16
 #: Words of a shard, about; a source with more has more shards, so no window over one grows with the corpus.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
+#: Shards of a source at most; their quotas are found together.
+MOST_SHARDS = 100_000
 SEED = 20240501
 
 
@@ -119,7 +121,7 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str
     )
     by_source = materialise(by_source, "source-quotas").withColumnRenamed("source", "_source")
     same = F.col("source").eqNullSafe(F.col("_source"))
-    shards = F.ceil(F.greatest(F.col("source_size"), F.lit(1)) / F.lit(shard_words))
+    shards = F.least(F.ceil(F.greatest(F.col("source_size"), F.lit(1)) / F.lit(shard_words)), F.lit(MOST_SHARDS))
     dealt = sizes.join(by_source.select("_source", shards.alias("shards")), same)
     dealt = dealt.select("doc_id", "source", "size", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), "shards").alias("shard"))
     at = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "size")
