@@ -76,8 +76,10 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         split = [[x] if "<|" in x or _ODD.search(x) else self._chunks(x) for x in texts]
-        self.known.young.update(self._ask(self.known.missing(set().union(*split))))
-        return [b"".join(map(self.known.young.__getitem__, chunks)) for chunks in split]
+        new = self.known.missing(set().union(*split))  # this may begin a new generation
+        known = self.known.young
+        known.update(self._ask(new))
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 
 @lru_cache(maxsize=2)

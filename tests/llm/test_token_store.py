@@ -7,6 +7,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from driftline.llm import token_store as t
+from driftline.llm.bpe import vocabulary
 
 PATH = public_tokenizers.path(t.VOCABULARY)
 
@@ -33,6 +34,19 @@ def test_every_character():
         assert np.frombuffer(ids, "<i4").tolist() == row.ids, repr(text)
 
 
+def test_generations():
+    """With a memory of a few chunks, which begins anew again and again, ids stay the same."""
+    ask = t.Encoder(PATH)
+    ask.known.most = 3
+    texts = [f"word{k % 7} some other{k % 3}. Words {k}" for k in range(60)]
+    want = Tokenizer.from_file(PATH).encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<i4").tolist() for k in range(0, 60, 2) for x in ask(texts[k : k + 2])] == [w.ids for w in want]
+    known = vocabulary(PATH)
+    most, known.encoded.most = known.encoded.most, 3
+    assert [memoryview(known.encode(x)).cast("i").tolist() for x in texts] == [w.ids for w in want]
+    known.encoded.most = most
+
+
 def test_metadata_alone(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     t.write_store(t.encode(docs, PATH), f"{tmp_path}/store")
