@@ -26,8 +26,8 @@ LEAST_ROWS = 50
 _GRID = 256
 #: Standard deviations below which a group's spread in a feature isn't taken: in the order of ``_features``.
 FLOORS = (0.5, 0.35, 0.15, 0.7, 0.15)
-#: Squared distance of the chi-square law with 5 degrees of freedom: its median, and what one row in 100,000 exceeds.
-CHI2_MEDIAN, CHI2_LIMIT = 4.351, 30.86
+#: Squared distance of the chi-square law with 5 degrees of freedom: its median, and its 0.999 quantile, which one row in 1,000 exceeds.
+CHI2_MEDIAN, CHI2_LIMIT = 4.351, 20.515
 
 
 def text_statistics(docs: DataFrame, text: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ("lang", "source")) -> DataFrame:

@@ -42,5 +42,16 @@ def test_verdicts(spark):
     assert [found[k].base_failed for k in (4000, 4001, 4002)] == [True] * 3 and not any(found[k].kept for k in (4000, 4001, 4002))
 
 
+def test_every_other_word_a_bar(spark):
+    r = random.Random(5)
+    word = lambda least=2, most=8: "".join(r.choice("aeioust") for _ in range(r.randint(least, most)))
+    rows = [(k, " ".join(word() for _ in range(int(r.lognormvariate(5, 0.6)) + 20)), "en", "big") for k in range(1000)]
+    rows += [(2000 + k, " | ".join(word(6, 12) for _ in range(r.randrange(60, 200))), "en", "big") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {x.doc_id: x.kept for x in q.robust_outliers(q.text_statistics(docs)).collect()}
+    assert sum(not found[k] for k in range(1000)) <= 5
+    assert not any(found[2000 + k] for k in range(40))
+
+
 def test_no_rows(spark):
     assert q.robust_outliers(q.text_statistics(spark.createDataFrame([], "doc_id long, text string, lang string, source string"))).collect() == []
