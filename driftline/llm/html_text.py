@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from driftline.llm.common import materialise, read_table
 
-#: A subtree is of the template if it stands on so many pages of its host and on this share of them.
+#: A subtree is of the template if it stands on so many pages of its host whose other running text differs.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.5
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -58,6 +57,8 @@ MARKS = _set(
 )
 #: Running text, which never counts as a template on its own.
 PROSE = _set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption caption summary")
+#: By these a page is told from others: the texts outside a subtree.
+TELLING = _set("p h1 h2 h3 h4 h5 h6 blockquote pre")
 #: An article is left out only for these; a name such as with-sidebar marks the element around a sidebar.
 ARTICLE_MARKS = _set("ad advert advertisement comment comments promo related reply respond sponsored widget")
 _MARK_WORDS = re.compile(r"(?<![A-Za-z])(?<!with[-_])(?<!has[-_])(?<!no[-_])[A-Za-z]+")
@@ -103,6 +104,7 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, int, list[int]]] = []
+        self.telling: list[bool] = []
         self.subtrees: list[int] = []
         self.texts: list[str] = []
         self.stack = [Node("", False, False)]
@@ -117,6 +119,7 @@ class Page:
             kinds = [n.kind for n in self.stack]
             self.stack[-1].parts.append(text)
             self.blocks.append((text, 2 if "article" in kinds else 1 if "main" in kinds else 0, []))
+            self.telling.append(bool({"article", "main"} & set(kinds)) or any(n.tag in TELLING for n in self.stack))
 
     def _open(self, tag: str, attributes: str) -> None:
         top = self.stack[-1]
@@ -136,12 +139,24 @@ class Page:
             return
         digest = xxhash.xxh64_intdigest("\0".join([node.tag, *map(str, node.parts)])) - (1 << 63)
         above.parts.append(digest)
-        if node.tag not in PROSE and not node.kind and not node.heading and node.tag not in ("html", "body"):
+        if len(self.blocks) > node.first_block and node.tag not in PROSE and not node.kind and not node.heading and node.tag not in ("html", "body"):
             number = len(self.subtrees)
             self.subtrees.append(digest)
             for block in self.blocks[node.first_block :]:
                 block[2].append(number)
 
+    def others(self) -> dict[int, int]:
+        """For each subtree, a sum of hashes of the page's running text outside it; of all texts on a page without any."""
+        every = not any(self.telling)
+        total, inner = 0, dict.fromkeys(self.subtrees, 0)
+        for (text, _, inside, *_), telling in zip(self.blocks, self.telling):
+            if every or telling:
+                digest = xxhash.xxh64_intdigest(text)
+                total += digest
+                for subtree in {self.subtrees[n] for n in inside}:
+                    inner[subtree] += digest
+        return {k: ((total - v) & ((1 << 64) - 1)) - (1 << 63) for k, v in inner.items()}
+
     def _close_to(self, tags: frozenset, scope: frozenset) -> None:
         """Close the lowest open element of ``tags`` and all in it, unless one of ``scope`` is lower."""
         for k in range(len(self.stack) - 1, 0, -1):
@@ -206,35 +221,37 @@ def read_pages(pages: DataFrame, page: str = "html", url: str = "url", id_col: s
                 for value in rows.column(3):
                     found = Page(value.as_py() or "")
                     best = max((b[1] for b in found.blocks), default=0)  # the article if there is one, else the main element, else all
-                    subtrees.append(sorted(set(found.subtrees)))
+                    other = found.others()
+                    subtrees.append([{"subtree": k, "other": other[k]} for k in sorted(other)])
                     blocks.append([{"text": t, "inside": [found.subtrees[n] for n in at]} for t, where, at in found.blocks if where == best])
-                yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(subtrees, pa.list_(pa.int64())), pa.array(blocks, kind)], names=names)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(subtrees, pair), pa.array(blocks, kind)], names=names)
 
+    pair = pa.list_(pa.struct([("subtree", pa.int64()), ("other", pa.int64())]))
     kind = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int64()))]))
     names = ["page_id", "url", "host", "subtrees", "blocks"]
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(page).alias("html"))
     kinds = f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, host string"
-    return source.mapInArrow(run, f"{kinds}, subtrees array<long>, blocks array<struct<text:string,inside:array<long>>>")
+    return source.mapInArrow(run, f"{kinds}, subtrees array<struct<subtree:long,other:long>>, blocks array<struct<text:string,inside:array<long>>>")
 
 
-def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES) -> DataFrame:
     """``page_id, url, text`` for each row.
 
     Blocks are those of the article, or of the main element where there is no article,
     or of the body, without what is never main text (menus, forms, scripts and so on).
-    A block goes if a subtree around it recurs on at least ``least_pages`` pages and
-    ``least_share`` of all pages of its host. Subtrees are counted over all pages, with
-    partial counts before the shuffle; running text, headings and what holds the main
-    heading don't count as subtrees, so copied articles stay.
+    A block goes if a subtree around it recurs on at least ``least_pages`` pages of its
+    host that differ in their other running text, however many pages the host has: the
+    copies of a page count once. Subtrees are counted over all pages, with partial counts
+    before each shuffle; running text, headings and what holds the main heading don't
+    count as subtrees, so copied articles stay.
 
     The table of recurring subtrees joins by host and hash. Only pages in which some
     block stands in one take a longer way; a page without text has an empty one.
     """
     parsed = materialise(read_pages(pages, page, url, id_col).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    counts = parsed.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = counts.where(F.col("n") >= least_pages).join(hosts, "host").where(F.col("n") >= least_share * F.col("pages"))
+    different = parsed.select("host", F.explode("subtrees").alias("x")).select("host", "x.*").distinct()
+    often = different.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
     often = materialise(often.select("host", "subtree"), "templates")
     around = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten(F.col("blocks.inside")))).alias("subtree"))
     gone = around.join(often, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))

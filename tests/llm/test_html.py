@@ -44,3 +44,12 @@ def test_templates(spark):
     assert all(got[200 + k] == f"C {k}" for k in range(8))
     assert got[300] == got[301] == got[302] == ""
     assert h.extract_text(docs.limit(0)).collect() == []
+
+
+def test_sections_of_a_large_host(spark):
+    page = lambda k, body: (k, "http://a.example/", f"<body><div><div>Section <b>{k % 3}</b></div>{'<div>Campaign</div>' if k % 10 < 3 else ''}</div><div>{body}</div>")
+    rows = [page(k, f"<h2>T {k}</h2><p>Own {k}</p>") for k in range(60)]
+    rows += [page(100 + k, "<h2>Copied</h2><p>The same text</p>") for k in range(12)]
+    got = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"T {k}\n\nOwn {k}" for k in range(60))
+    assert all(got[100 + k] == "Copied\n\nThe same text" for k in range(12))
