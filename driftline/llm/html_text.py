@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from driftline.llm.common import materialise, read_table
 
 #: A subtree is of the template if it stands on so many pages of its host whose other running text differs.
 LEAST_PAGES = 5
+#: As above, for an element that a class or id marks: the words are only a hint.
+LEAST_PAGES_MARKED = 2
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -48,7 +52,7 @@ DROPPED = _set(
     "fieldset label nav menu aside footer dialog datalist progress meter noembed noframes"
 )
 ROLES = _set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist tooltip")
-#: Words of a class or id that mark what is no main text.
+#: Words of a class or id that hint at what is no main text; the counts by host decide.
 MARKS = _set(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar sidenav side aside footer foot header masthead banner cookie cookies consent gdpr notice "
     "notices notification alert ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion newsletter subscribe subscription "
@@ -59,7 +63,7 @@ MARKS = _set(
 PROSE = _set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption caption summary")
 #: By these a page is told from others: the texts outside a subtree.
 TELLING = _set("p h1 h2 h3 h4 h5 h6 blockquote pre")
-#: An article is left out only for these; a name such as with-sidebar marks the element around a sidebar.
+#: An article is marked only by these; a name such as with-sidebar marks the element around a sidebar.
 ARTICLE_MARKS = _set("ad advert advertisement comment comments promo related reply respond sponsored widget")
 _MARK_WORDS = re.compile(r"(?<![A-Za-z])(?<!with[-_])(?<!has[-_])(?<!no[-_])[A-Za-z]+")
 
@@ -73,6 +77,17 @@ class Node:
     parts: list = field(default_factory=list)  # hashes and texts of what is inside, in order
     first_block: int = 0
     heading: bool = False
+    marked: bool = False
+    attributes: str = ""
+    hinted: bool = False  # it or an element around it is marked
+
+
+def _is_marked(tag: str, attributes: str) -> bool:
+    if not attributes or tag in ("html", "body", "main"):
+        return False
+    words = ARTICLE_MARKS if tag == "article" else MARKS
+    found = (value.strip("\"'").lower() for name, value in _ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id"))
+    return any(not words.isdisjoint(_MARK_WORDS.findall(value)) for value in found)
 
 
 def _is_dropped(tag: str, attributes: str, inside: bool) -> bool:
@@ -82,10 +97,7 @@ def _is_dropped(tag: str, attributes: str, inside: bool) -> bool:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id"):
-            if not (ARTICLE_MARKS if tag == "article" else MARKS).isdisjoint(_MARK_WORDS.findall(value)):
-                return True
-        elif name == "role":
+        if name == "role":
             if value in ROLES:
                 return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -98,17 +110,24 @@ def _is_dropped(tag: str, attributes: str, inside: bool) -> bool:
 class Page:
     """One page, read once from start to end: its blocks of text, and the subtrees that each stands in.
 
-    ``blocks`` has the text, whether it is in an article and whether in the main element,
-    and the numbers of the ``subtrees`` around it, whose hashes are of tags and texts.
+    ``blocks`` has the text, a level (2 in an article, 1 in the main element, 0 outside,
+    -1 in a marked element), the numbers of the ``subtrees`` around it, whose hashes are
+    of tags and texts, and whether it is in the main element or an article. The last bit
+    of a hash says whether the element is marked.
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, list[int]]] = []
+        self.blocks: list[tuple[str, int, list[int], bool]] = []
         self.telling: list[bool] = []
         self.subtrees: list[int] = []
+        self.loose: set[int] = set()  # those that count only outside the article or main element of a page that has one
         self.texts: list[str] = []
+        self.in_main = False
         self.stack = [Node("", False, False)]
         self._read(source)
+        if self.loose and not any(b[3] for b in self.blocks):
+            for block in self.blocks:
+                block[2][:] = [n for n in block[2] if n not in self.loose]
 
     def _flush(self) -> None:
         if not self.texts:
@@ -118,14 +137,17 @@ class Page:
         if text:
             kinds = [n.kind for n in self.stack]
             self.stack[-1].parts.append(text)
-            self.blocks.append((text, 2 if "article" in kinds else 1 if "main" in kinds else 0, []))
+            level = -1 if self.stack[-1].hinted else 2 if "article" in kinds else 1 if "main" in kinds else 0
+            self.blocks.append((text, level, [], "article" in kinds or "main" in kinds))
+            self.in_main = self.in_main or "main" in kinds
             self.telling.append(bool({"article", "main"} & set(kinds)) or any(n.tag in TELLING for n in self.stack))
 
     def _open(self, tag: str, attributes: str) -> None:
         top = self.stack[-1]
         kind = tag if tag in ("article", "main") else "main" if "role" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else ""
         inside = top.inside or bool(kind)
-        self.stack.append(Node(tag, top.dropped or _is_dropped(tag, attributes, top.inside), inside, kind, [], len(self.blocks)))
+        marked = _is_marked(tag, attributes)
+        self.stack.append(Node(tag, top.dropped or _is_dropped(tag, attributes, top.inside), inside, kind, [], len(self.blocks), False, marked, attributes, marked or top.hinted))
 
     def _close(self) -> None:
         node = self.stack[-1]
@@ -139,16 +161,26 @@ class Page:
             return
         digest = xxhash.xxh64_intdigest("\0".join([node.tag, *map(str, node.parts)])) - (1 << 63)
         above.parts.append(digest)
-        if len(self.blocks) > node.first_block and node.tag not in PROSE and not node.kind and not node.heading and node.tag not in ("html", "body"):
+        digest = digest & ~1 | node.marked
+        loose = node.tag in PROSE and not node.marked and not node.inside
+        counted = node.marked or loose or node.tag not in PROSE and not node.kind
+        if len(self.blocks) > node.first_block and counted and not node.heading and node.tag not in ("html", "body", "h1"):
             number = len(self.subtrees)
+            if loose:
+                self.loose.add(number)
             self.subtrees.append(digest)
+            numbers = [number]
+            if node.marked and not node.inside:  # beside an article, a marked element recurs by its tag and attributes too
+                numbers.append(number + 1)
+                self.loose.add(number + 1)
+                self.subtrees.append((xxhash.xxh64_intdigest(f"{node.tag}\1{node.attributes}") - (1 << 63)) & ~1)
             for block in self.blocks[node.first_block :]:
-                block[2].append(number)
+                block[2].extend(numbers)
 
     def others(self) -> dict[int, int]:
         """For each subtree, a sum of hashes of the page's running text outside it; of all texts on a page without any."""
         every = not any(self.telling)
-        total, inner = 0, dict.fromkeys(self.subtrees, 0)
+        total, inner = 0, {self.subtrees[n]: 0 for b in self.blocks for n in b[2]}
         for (text, _, inside, *_), telling in zip(self.blocks, self.telling):
             if every or telling:
                 digest = xxhash.xxh64_intdigest(text)
@@ -211,54 +243,72 @@ class Page:
 
 
 def read_pages(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id") -> DataFrame:
-    """``page_id, url, host, subtrees, blocks`` for each row; null pages are empty, a null url has an empty host."""
+    """``page_id, url, host, subtrees, blocks`` for each row; null pages are empty, a null url has an empty host.
+
+    ``blocks`` are packed: they are written and shuffled, and so take less disk than the pages.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 rows = batch.slice(k, 64)
                 subtrees, blocks = [], []
                 for value in rows.column(3):
                     found = Page(value.as_py() or "")
-                    best = max((b[1] for b in found.blocks), default=0)  # the article if there is one, else the main element, else all
                     other = found.others()
                     subtrees.append([{"subtree": k, "other": other[k]} for k in sorted(other)])
-                    blocks.append([{"text": t, "inside": [found.subtrees[n] for n in at]} for t, where, at in found.blocks if where == best])
-                yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(subtrees, pair), pa.array(blocks, kind)], names=names)
+                    kept = [(t, [found.subtrees[n] for n in at]) for t, _, at, inside in found.blocks if inside or not found.in_main]
+                    blocks.append(pack(json.dumps(kept, ensure_ascii=False).encode()))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(subtrees, pair), pa.array(blocks, pa.binary())], names=names)
 
     pair = pa.list_(pa.struct([("subtree", pa.int64()), ("other", pa.int64())]))
-    kind = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int64()))]))
     names = ["page_id", "url", "host", "subtrees", "blocks"]
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(page).alias("html"))
     kinds = f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, host string"
-    return source.mapInArrow(run, f"{kinds}, subtrees array<struct<subtree:long,other:long>>, blocks array<struct<text:string,inside:array<long>>>")
+    return source.mapInArrow(run, f"{kinds}, subtrees array<struct<subtree:long,other:long>>, blocks binary")
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``page_id, url, text`` of packed blocks and the subtrees that go."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for k in range(0, batch.num_rows, 64):
+            rows, found = batch.slice(k, 64), []
+            for packed, gone in zip(rows.column(2), rows.column(3).to_pylist()):
+                gone = set(gone or ())
+                found.append("\n\n".join(t for t, inside in json.loads(unpack(packed.as_py())) if gone.isdisjoint(inside)))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(found, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES) -> DataFrame:
     """``page_id, url, text`` for each row.
 
-    Blocks are those of the article, or of the main element where there is no article,
-    or of the body, without what is never main text (menus, forms, scripts and so on).
+    Blocks are those of the main element and of articles where the page has a main element
+    with text, else those of the body, without the elements and roles that are never main
+    text (menus, forms, scripts and so on).
     A block goes if a subtree around it recurs on at least ``least_pages`` pages of its
     host that differ in their other running text, however many pages the host has: the
     copies of a page count once. Subtrees are counted over all pages, with partial counts
     before each shuffle; running text, headings and what holds the main heading don't
-    count as subtrees, so copied articles stay.
+    count as subtrees, so copied articles stay. Outside the article of a page that has one
+    running text does count. Elements marked by words of their class or id go if they recur
+    on ``LEAST_PAGES_MARKED`` such pages; beside an article they also go, whatever their text,
+    if their tag and attributes recur on ``least_pages``. Else they stay.
 
     The table of recurring subtrees joins by host and hash. Only pages in which some
     block stands in one take a longer way; a page without text has an empty one.
     """
     parsed = materialise(read_pages(pages, page, url, id_col).withColumn("row", F.monotonically_increasing_id()), "parsed")
     different = parsed.select("host", F.explode("subtrees").alias("x")).select("host", "x.*").distinct()
-    often = different.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
+    often = different.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= least_pages) | F.expr(f"(subtree & 1) = 1 AND n >= {LEAST_PAGES_MARKED}"))
     often = materialise(often.select("host", "subtree"), "templates")
-    around = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten(F.col("blocks.inside")))).alias("subtree"))
+    around = parsed.select("row", "host", F.explode("subtrees.subtree").alias("subtree"))
     gone = around.join(often, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
     gone = materialise(gone, "gone")  # a row for each page with a template around a block, as many hashes as the page has
-    joined = parsed.join(gone, "row", "left")
-    kept = "filter(blocks, b -> gone IS NULL OR NOT arrays_overlap(b.inside, gone))"
-    return joined.select("page_id", "url", F.expr(f"array_join(transform({kept}, b -> b.text), '\\n\\n')").alias("text"))
+    joined = parsed.join(gone, "row", "left").select("page_id", "url", "blocks", "gone")
+    return joined.mapInArrow(_texts, f"page_id {joined.schema['page_id'].dataType.simpleString()}, url string, text string")
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

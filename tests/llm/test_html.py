@@ -53,3 +53,24 @@ def test_sections_of_a_large_host(spark):
     got = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[k] == f"T {k}\n\nOwn {k}" for k in range(60))
     assert all(got[100 + k] == "Copied\n\nThe same text" for k in range(12))
+
+
+def test_marks_need_recurrence(spark):
+    bodies = [
+        f"""<article><header class="entry-header"><h1>T {k}</h1></header><section id="discussion"><p>Discussion {k}</p></section><div class="share">Tweet</div></article>
+        <div>Outside {k}</div><p>All rights reserved</p><div class="newsletter"><p>Subscribe</p></div>"""
+        for k in range(6)
+    ]
+    bodies += [f'<div class="widget Blog"><h2>Post {k}</h2><p>Text {k}</p></div><div class="ad">Buy</div>' for k in range(2)]
+    bodies += ["<div><p>The long main text</p></div><article><p>A teaser</p></article>"]
+    docs = spark.createDataFrame([(k, "http://a.example/", f"<body>{b}") for k, b in enumerate(bodies)], "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in h.extract_text(docs).collect()}
+    assert all(got[k] == [f"T {k}", f"Discussion {k}", f"Outside {k}"] for k in range(6))
+    assert all(got[6 + k] == [f"Post {k}", f"Text {k}"] for k in range(2))
+    assert got[8] == ["The long main text", "A teaser"]
+
+
+def test_changing_ads_beside_an_article(spark):
+    rows = [(k, "http://a.example/", f"<body><div class='ad'>Buy {k}</div><article><h1>T {k}</h1><section id='discussion'><p>D {k}</p></section></article>") for k in range(5)]
+    got = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"T {k}\n\nD {k}" for k in range(5)}
