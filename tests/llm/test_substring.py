@@ -62,3 +62,12 @@ def test_filter(spark):
 
 def test_remove_words():
     assert s.remove_words(b"", np.zeros(0, np.int64)) == (0, 0, b"")
+
+
+def test_empty_row_of_a_shared_id(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    assert s.remove_words(b"", np.array([0])) == (0, 0, b"")
+    rows = [(1, text), (2, text), (2, ""), (2, None), (2, "a b"), (None, f"{text} {text}"), (None, None)]
+    found = s.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = [(r.doc_id or 0, r.n_words, r.n_removed) for r in found]
+    assert sorted(got) == [(0, 0, 0), (0, 60, 30), (1, 30, 30), (2, 0, 0), (2, 0, 0), (2, 2, 0), (2, 30, 30)]
