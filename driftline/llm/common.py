@@ -21,22 +21,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
 
-    It is ``spark.checkpoint.dir`` of the session. Only where that is unset (a local
-    session, as in tests) a folder of this machine is set and used.
+    Only a session of one machine (master ``local``) may lack it; then a temporary folder
+    is set. On a cluster no folder of one machine would do, so there it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"{tempfile.gettempdir()}/checkpoints"
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+    return found.rstrip("/")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Give Python workers so many rows at once: rows with texts are wide, and both sides hold a batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path for an intermediate table, in a folder of the application."""
+    return f"{shared_dir(spark)}/driftline/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}-{label}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -47,10 +48,28 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     (such as ``monotonically_increasing_id``). The reread table also has a known size,
     by which Spark can choose or avoid a broadcast.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/driftline/{uuid.uuid4().hex}-{label}"
+    path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system it is on."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote, once all that was computed from it is written itself."""
+    for table in tables:
+        delete_path(table.sparkSession, table.written_to)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete all intermediate tables of the application; the results of its queries can't be read after that."""
+    delete_path(spark, f"{shared_dir(spark)}/driftline/{spark.sparkContext.applicationId}")
 
 
 def ascii_lower(column):

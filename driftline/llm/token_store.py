@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from driftline.llm.bpe import byte_symbols
-from driftline.llm.common import Recent, read_table, set_off_stops, shared_dir
+from driftline.llm.common import Recent, new_path, read_table, set_off_stops
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -167,6 +166,6 @@ def ids_crc32(store: DataFrame) -> DataFrame:
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/driftline/{uuid.uuid4().hex}-tokens"
+    path = new_path(spark, "tokens")
     write_store(encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)), path)
     return ids_crc32(read_store(spark, path))

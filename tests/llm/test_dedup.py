@@ -5,7 +5,7 @@ from collections import defaultdict
 import xxhash
 
 from driftline.llm import simhash
-from driftline.llm.components import connected_components
+from driftline.llm.components import component_of, connected_components
 from driftline.llm.exact_dedup import exact_dedup
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -61,6 +61,18 @@ def test_links_are_complete(spark):
     assert found == want and len(want) > 100
 
 
+def test_full_cells_keep_what_is_connected(spark):
+    r = random.Random(5)
+    prints = {x ^ (1 << a) ^ (1 << b) for x in [r.getrandbits(64) for _ in range(3)] for a in range(9) for b in range(9)}
+    prints |= {r.getrandbits(64) for _ in range(50)}
+    table = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in sorted(prints)], "fp long")
+    every = {(x.a, x.b) for x in simhash.fingerprint_links(table).collect()}
+    some = {(x.a, x.b) for x in simhash.fingerprint_links(table, full_cell=3).collect()}
+    assert some < every and len(some) < len(every)
+    label = lambda links: {x.node: x.component for x in connected_components(spark.createDataFrame(sorted(links), "a long, b long")).collect()}
+    assert label(some) == label(every)
+
+
 def test_near(spark):
     r = random.Random(4)
     base = [" ".join(r.choice(["alpha", "beta", "gamma", "delta", "eps"]) + str(r.randrange(50)) for _ in range(120)) for _ in range(20)]
@@ -86,3 +98,9 @@ def test_components(spark):
     found = {x.node: x.component for x in connected_components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert found == {k: 0 for k in range(41)} | {1000: 1000, 1001: 1000} | {2000 + k: 2000 for k in range(60)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rounds_are_few(spark):
+    links = [(k, k + 1) for k in range(999)]
+    found, rounds = component_of(spark.createDataFrame(links, "a long, b long"))
+    assert rounds < 15 and found.select("component").distinct().count() == 1 and found.count() == 1000

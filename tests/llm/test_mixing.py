@@ -5,7 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from driftline.llm.mixing import apportion, mix
+from driftline.llm import mixing
+from driftline.llm.mixing import apportion, coprime_step, mix, whole_copies
 
 
 @settings(max_examples=200, deadline=None)
@@ -55,7 +56,42 @@ def test_mix(spark, shard_words):
         assert 0 <= r.taken <= 3 * r.size
         taken[of[r.doc_id]] += r.taken
     for name, n in taken.items():
-        assert abs(n - aim[name]) <= 0.03 * aim[name] + 16, name
+        shards = -(-max(size[name], 1) // shard_words)
+        assert abs(n - aim[name]) <= 2 * 17 * shards, name
+    copies = {r.doc_id: r.copies for r in whole_copies(docs, shard_words=shard_words).collect()}
+    mean, words = {r.doc_id: r.taken / r.size for r in found if r.size}, defaultdict(int)
+    for k, text, source in {r[0]: r for r in rows if r[0] in mean}.values():
+        assert int(mean[k]) <= copies[k] <= int(mean[k]) + 1
+        words[source] += copies[k] * len(text.split())
+    longest = {s: max(len((t or "").split()) for _, t, x in rows if x == s) for s in size}
+    for name, n in words.items():
+        shards = -(-max(size[name], 1) // shard_words)
+        assert abs(n - aim[name]) <= 2 * (17 + longest[name]) * shards, name
+
+
+@pytest.mark.parametrize("group_shards", [1, 3])
+def test_groups_of_shards(spark, monkeypatch, group_shards):
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", group_shards)
+    rows = [(k, "w " * (1 + k * 7 % 90), "hot" if k % 3 == 0 else f"s{k % 4}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size, taken = defaultdict(int), defaultdict(int)
+    for _, text, source in rows:
+        size[source] += len(text.split())
+    for r in mix(docs, shard_words=700).collect():
+        taken[rows[r.doc_id][2]] += r.taken
+    assert all(abs(taken[s] - t) <= 2 * 17 * -(-size[s] // 700) for s, t in targets(size).items())
+
+
+def test_every_block_once():
+    for blocks in range(1, 2001):
+        step = coprime_step(blocks * 7919 % 104729, blocks)
+        assert len({(k * step + 3) % blocks for k in range(blocks)}) == blocks
+
+
+def test_rows_of_one_id_are_dealt_by_text(spark):
+    docs = spark.createDataFrame([(None, f"w{k} " * 40, "s") for k in range(400)], "doc_id long, text string, source string")
+    tape, quotas = mixing._shards(docs.selectExpr("doc_id", "source", "xxhash64(text) AS digest", "40L AS size"), 1, 16, 1000)
+    assert tape.groupBy("shard").count().where("count > 100").isEmpty() and quotas.count() == 16
 
 
 def test_no_rows(spark):
