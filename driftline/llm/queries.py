@@ -18,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_substring": substring.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
 }

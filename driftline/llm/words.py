@@ -6,9 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of texts that are worked on at once; a longer text is worked on alone.
 CHUNK_BYTES = 512 << 10
+#: A longer text is worked on in parts of so many bytes, so that arrays don't grow with it.
+LONG_BYTES = 1 << 20
+#: Hashes of longer words are taken from their bytes alone and not from running sums, for which equal sums can be made up.
+LONG_WORD = 64
 
 #: The six bytes of white space that part words.
 SPACE = np.zeros(256, bool)
@@ -25,7 +30,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: For each base, its powers and those of its inverse; they grow with the longest text met, or chunk of texts.
+#: For each base, its powers and those of its inverse; they grow with the longest part of a text, or chunk of texts.
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -50,7 +55,7 @@ class Texts:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
         self.data, self.offsets = data, offsets
-        inside = ~space[data]
+        self.inside = inside = ~space[data]
         before = np.zeros(len(data), bool)
         before[1:] = inside[:-1]
         cut = offsets[(offsets > 0) & (offsets < len(data))]
@@ -63,13 +68,39 @@ class Texts:
         #: Of text k, words first[k] to first[k + 1].
         self.first = np.searchsorted(self.starts, offsets)
 
+    def _hashed(self, stops: np.ndarray) -> np.ndarray:
+        long = np.flatnonzero(stops - self.starts > LONG_WORD)
+        if not len(long):
+            return _ranges(_BYTES[self.data], _BYTE_BASE, self.starts, stops)
+        kept, before = np.ones(len(self.data), bool), np.zeros(len(stops) + 1, np.int64)
+        for k in long:  # one byte stands for such a word in the sums
+            kept[self.starts[k] + 1 : stops[k]] = False
+        before[long + 1] = (stops - self.starts)[long] - 1
+        before = np.cumsum(before)
+        out = _ranges(_BYTES[self.data[kept]], _BYTE_BASE, self.starts - before[:-1], stops - before[1:])
+        for k in long:
+            out[k] = xxhash.xxh3_64_intdigest(self.data[self.starts[k] : stops[k]])
+        return out
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        return _ranges(_BYTES[self.data], _BYTE_BASE, self.starts, self.stops)
+        return self._hashed(self.stops)
 
     def prefix_hashes(self, n_bytes: int) -> np.ndarray:
         """A hash of each word's first ``n_bytes`` bytes, or of all of a shorter one."""
-        return _ranges(_BYTES[self.data], _BYTE_BASE, self.starts, np.minimum(self.stops, self.starts + n_bytes))
+        return self._hashed(np.minimum(self.stops, self.starts + n_bytes))
+
+    def whole(self, n: int) -> np.ndarray:
+        """For each word, whether it and the ``n - 1`` after it are in one text."""
+        return np.arange(len(self.starts)) + n <= np.repeat(self.first[1:], np.diff(self.first))
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words with one space after each, and where each begins, and at last the end."""
+        at = np.concatenate([[0], np.cumsum(self.stops - self.starts + 1)])
+        out, mask = np.full(at[-1], 32, np.uint8), np.ones(at[-1], bool)
+        mask[at[1:] - 1] = False
+        out[mask] = self.data[self.inside]
+        return out, at
 
     def text_of_words(self) -> np.ndarray:
         """For each word, the number of its text."""
@@ -82,6 +113,43 @@ class Texts:
         return np.diff(total[self.offsets])
 
 
+class LongText:
+    """A text that is read in parts of whole words."""
+
+    def __init__(self, data: np.ndarray, space: np.ndarray = SPACE):
+        self.data, self.space = data, space
+
+    def parts(self, overlap: int, size: int | None = None) -> Iterator[tuple[int, int, Texts]]:
+        """Number of the first word of each part, how many words are its own, and its words, ``overlap`` of the next part's included."""
+        least, data = size or LONG_BYTES, self.data
+        at, word, size = 0, 0, least
+        while at < len(data):
+            end = min(at + size, len(data))
+            while end < len(data) and not (cut := self.space[data[end : end + 65536]]).any():
+                end = min(end + 65536, len(data))
+            if end < len(data):
+                end += int(cut.argmax())
+            found = Texts(data[at:end], np.array([0, end - at]), self.space)
+            own = len(found.starts) - (overlap if end < len(data) else 0)
+            if own <= 0 and end < len(data):  # a few words fill the part
+                size *= 2
+                continue
+            yield word, own, found
+            if end >= len(data):
+                return
+            at, word, size = at + int(found.starts[own]) if overlap else end, word + own, least
+
+
+def parts_of(data: bytes, overlap: int = 0) -> Iterator[tuple[int, int, Texts]]:
+    """As ``LongText.parts``; a text that isn't long is one part."""
+    array = np.frombuffer(data, np.uint8)
+    if len(array) > LONG_BYTES:
+        yield from LongText(array).parts(overlap)
+    else:
+        found = Texts(array, np.array([0, len(array)]))
+        yield 0, len(found.starts), found
+
+
 def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``n`` words from each word on, and whether those lie in one text."""
     whole = np.zeros(len(hashes), bool)
@@ -95,8 +163,10 @@ def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
     return out, whole
 
 
-def texts(column: pa.Array, chunk_bytes: int = CHUNK_BYTES, space: np.ndarray = SPACE, letters: np.ndarray | None = None) -> Iterator[tuple[int, int, Texts]]:
-    """Rows a to b of a binary column as ``Texts``, so many at once as fit a chunk; null counts as empty.
+def texts(
+    column: pa.Array, chunk_bytes: int = CHUNK_BYTES, space: np.ndarray = SPACE, letters: np.ndarray | None = None
+) -> Iterator[tuple[int, int, Texts | LongText]]:
+    """Rows a to b of a binary column, so many at once as fit a chunk, or one long text; null counts as empty.
 
     ``space`` has what parts words, ``letters`` the byte that each byte is read as.
     """
@@ -109,5 +179,9 @@ def texts(column: pa.Array, chunk_bytes: int = CHUNK_BYTES, space: np.ndarray =
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + chunk_bytes, "right")) - 1)
         b = min(b, len(column))
         part = data[offsets[a] : offsets[b]]
-        yield a, b, Texts(part if letters is None else letters[part], (offsets[a : b + 1] - offsets[a]).astype(np.int64), space)
+        part = part if letters is None else letters[part]
+        if len(part) > max(LONG_BYTES, chunk_bytes):
+            yield a, b, LongText(part, space)
+        else:
+            yield a, b, Texts(part, (offsets[a : b + 1] - offsets[a]).astype(np.int64), space)
         a = b
