@@ -7,7 +7,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,23 +21,35 @@ KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-#: A candidate is a run of these characters, as long as it goes, of at least so many, with a digit and a letter.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-CANDIDATE_LEAST = 16
-_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
-#: Labelled credentials of each kind that an automaton is inferred from, and background runs, those of least hash; longer ones are not taken.
-SAMPLE_ROWS, SAMPLE_LENGTH = 1000, 80
+#: A candidate is a run of these characters, as long as it goes, without punctuation at its ends but for padding.
+_CANDIDATE = re.compile(r"(?<![^\W_])[A-Za-z0-9+/_-](?:[A-Za-z0-9+/_.-]*[A-Za-z0-9+/_-])?(?:={1,2}|(?![^\W_]))")
+CANDIDATE_LEAST = min(LEAST.values())
+#: Labelled credentials of each kind that an automaton is inferred from, and other runs, those of least hash; longer ones are not taken.
+SAMPLE_ROWS, BACKGROUND_ROWS, SAMPLE_LENGTH = 1000, 4000, 80
 #: Confidence parameter of the test that two states behave alike.
 ALPHA = 0.05
-#: Share of labelled credentials that a threshold may miss.
+#: Every so many values of a sample set a threshold instead of an automaton.
+HELD_OUT = 4
+#: Share of held-out credentials that a threshold may miss.
 MISS = 0.05
 
-_CLASSES = {**dict.fromkeys("abcdef", "f"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "z"), **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A"), **dict.fromkeys("0123456789", "0")}
+_PIECES = re.compile(r"[A-Za-z0-9]+|.", re.S)
+
+
+def _piece_class(piece: str) -> str:
+    """What the letters and digits between two other characters are, taken together."""
+    digits = not piece.isalpha()
+    if not digits:
+        return "a" if piece.islower() else "A" if piece.isupper() else "C" if piece[1:].islower() else "M"
+    if piece.isdigit():
+        return "0"
+    plain = not set(piece.lower()) - set("0123456789abcdef")
+    return ("h" if plain else "b") if piece.islower() else ("H" if plain else "U") if piece.isupper() else "x"
 
 
 def _symbols(text: str) -> str:
-    """The class of each character: hexadecimal letters, other small letters, capitals, digits; punctuation stands for itself."""
-    return "".join([_CLASSES.get(c, c) for c in text])
+    """The format of a text: for each letter or digit the class of its piece, other characters as they are."""
+    return "".join([_piece_class(x) * len(x) if x[0].isalnum() else x for x in _PIECES.findall(text)])
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -59,7 +73,7 @@ def credential(text: str, span: tuple[int, int, str]) -> str:
 
 @dataclass
 class Automaton:
-    """A deterministic automaton with the probabilities of symbols and of ending in each state."""
+    """A deterministic automaton with the logarithms of the probabilities of symbols and of ending in each state."""
 
     steps: list[dict[str, tuple[int, float]]]
     ends: list[float]
@@ -117,7 +131,7 @@ def infer(samples: list[str], alpha: float = ALPHA) -> Automaton:
                 return False
             if any(differs(through[a][s], count[a], through[b][s], count[b]) for s in through[a].keys() | through[b].keys()):
                 return False
-            todo += [(children[a][s], children[b][s]) for s in children[a].keys() & children[b].keys() if count[children[b][s]] > 4]
+            todo += [(children[a][s], children[b][s]) for s in children[a].keys() & children[b].keys()]
         return True
 
     def fold(a: int, b: int) -> None:
@@ -167,25 +181,69 @@ class Grammar:
 
     def score(self, value: str) -> tuple[float, str]:
         """The highest log-likelihood ratio to the background above its threshold, a symbol, and its kind."""
-        symbols = _symbols(value)
+        return self.score_format(_symbols(value))
+
+    def score_format(self, symbols: str) -> tuple[float, str]:
         other = self.background.loglik(symbols)
         return max(((a.loglik(symbols) - other - t, k) for k, (a, t) in self.kinds.items()), default=(-1.0, ""))
 
 
+def _parted(values: list[str]) -> tuple[list[str], list[str]]:
+    """Formats to learn from, and those held out; of a few values, all are both."""
+    found = [_symbols(x) for x in values]
+    if len(found) < 5 * HELD_OUT:
+        return found, found
+    return [x for k, x in enumerate(found) if k % HELD_OUT], found[::HELD_OUT]
+
+
 def infer_grammar(credentials: dict[str, list[str]], background: list[str]) -> Grammar:
-    """Automata of labelled credentials by kind; a threshold is met by all but ``MISS`` of them, and is 0 at least."""
-    other = infer([_symbols(x) for x in background])
-    kinds = {}
+    """Automata of labelled credentials by kind, and a threshold of the likelihood ratio for each.
+
+    All but ``MISS`` of the held-out credentials meet it, and it is 0 at least: what is
+    likelier among the other runs is none. Those may hold some unnamed credentials.
+    """
+    other, kinds = infer([_symbols(x) for x in background]), {}
     for kind, values in sorted(credentials.items()):
-        samples = [_symbols(x) for x in values]
+        samples, held_out = _parted(values)
         automaton = infer(samples)
-        ratios = sorted(automaton.loglik(x) - other.loglik(x) for x in samples)
-        kinds[kind] = (automaton, max(0.0, ratios[int(MISS * len(ratios))]))
+        automaton.unseen = min(automaton.unseen, other.unseen - 3)  # what neither has seen is no credential
+        known = sorted(automaton.loglik(x) - other.loglik(x) for x in held_out)
+        kinds[kind] = (automaton, max(0.0, known[int(MISS * len(known))]))
     return Grammar(kinds, other)
 
 
+def candidate_runs(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, bool]]:
+    """``start, end, apart`` of all runs but those within one base span; ``apart`` ones meet none. Both lists are in order."""
+    found, k, reach = [], 0, 0
+    spans = sorted({(a, b) for a, b, _ in base})
+    upto = []  # the furthest end of the spans up to each
+    for _, b in spans:
+        reach = max(reach, b)
+        upto.append(reach)
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        if b - a < CANDIDATE_LEAST:
+            continue
+        while k < len(spans) and spans[k][0] < b:
+            k += 1  # spans before k start before the run's end
+        inside = k > 0 and upto[k - 1] > a
+        if not inside:
+            found.append((a, b, True))
+        else:
+            j = k
+            while j > 0 and upto[j - 1] > a and not (spans[j - 1][0] <= a and spans[j - 1][1] >= b):
+                j -= 1
+            if not (j > 0 and upto[j - 1] > a):
+                found.append((a, b, False))
+    return found
+
+
 def find_candidates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, base, runs`` for each row: base spans, with the credential in each, and candidate runs apart from them."""
+    """``doc_id, base, runs`` for each row: base spans, with the credential in each, and candidate runs that reach beyond them.
+
+    Runs are all those of ``CANDIDATE_LEAST`` characters or more; their kind is empty, or
+    ``beside`` where they meet a base span.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,11 +254,7 @@ def find_candidates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
                     whole = value.as_py() or ""
                     base = base_spans(whole)
                     bases.append([{"start": a, "end": b, "kind": kind, "value": credential(whole, (a, b, kind))} for a, b, kind in base])
-                    found = []
-                    for m in _CANDIDATE.finditer(whole):
-                        if _DIGIT.search(m[0]) and _LETTER.search(m[0]) and not any(a < m.end() and m.start() < b for a, b, _ in base):
-                            found.append({"start": m.start(), "end": m.end(), "kind": "", "value": m[0]})
-                    runs.append(found)
+                    runs.append([{"start": a, "end": b, "kind": "" if apart else "beside", "value": whole[a:b]} for a, b, apart in candidate_runs(whole, base)])
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(bases, kind_of), pa.array(runs, kind_of)], names=["doc_id", "base", "runs"])
 
     kind_of = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("value", pa.string())]))
@@ -209,13 +263,12 @@ def find_candidates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, base {spans}, runs {spans}")
 
 
-def _sample(rows: DataFrame, column: str) -> dict[str, list[str]]:
-    """Up to ``SAMPLE_ROWS`` different values of each kind, those of least hash."""
+def _sample(rows: DataFrame, column: str, kinds: tuple[str, ...], most: int) -> dict[str, list[str]]:
+    """Up to ``most`` different values of each kind, those of least hash."""
     values = rows.select(F.explode(column).alias("x")).select("x.kind", "x.value").where(F.length("value") <= SAMPLE_LENGTH).distinct()
-    kinds = KINDS if column == "base" else ("",)
     out = {}
     for kind in kinds:
-        top = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE_ROWS)
+        top = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(most)
         out[kind] = [r.value for r in top.collect()]
     return {k: v for k, v in out.items() if v}
 
@@ -223,24 +276,25 @@ def _sample(rows: DataFrame, column: str) -> dict[str, list[str]]:
 def scan_secrets(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, base, found`` for each row: spans of the rules, and those that the automata add, with kind and value.
 
-    The rules label credentials; from a bounded sample of them, and of other runs, the
-    automata are inferred. Then every candidate run of every text is scored. A null text
-    is empty; rows come out as often as they go in; an empty table has an empty result.
+    The rules label credentials; from a bounded sample of them, and of other runs of the
+    corpus, the automata are inferred. Then every candidate run of every text is scored.
+    A null text is empty; rows come out as often as they go in; an empty table has an
+    empty result. A text of any length is read once from start to end; equal values
+    score equally. Other columns are not read.
     """
     rows = materialise(find_candidates(docs, text, id_col), "candidates")
-    credentials, background = _sample(rows, "base"), _sample(rows, "runs").get("", [])
-    grammar = infer_grammar(credentials, background) if credentials and background else None
+    credentials, background = _sample(rows, "base", KINDS, SAMPLE_ROWS), _sample(rows, "runs", ("",), BACKGROUND_ROWS).get("", [])
+    grammar = infer_grammar(credentials, background) if credentials else None
     shared = docs.sparkSession.sparkContext.broadcast(grammar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        score = lru_cache(50_000)(shared.value.score_format) if shared.value else lambda _: (-1.0, "")  # formats are few
         for batch in batches:
-            runs = batch.column(2).to_pylist()
-            if known is not None:
-                runs = [[x | {"kind": f"like_{s[1]}"} for x in row if (s := known.score(x["value"]))[0] >= 0] for row in runs]
-            else:
-                runs = [[] for _ in runs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, batch.column(1).type)], names=["doc_id", "base", "found"])
+            found = []
+            for row in batch.column(2).to_pylist():
+                scored = ((x, score(_symbols(x["value"]))) for x in row)
+                found.append([x | {"kind": f"like_{kind}"} for x, (ratio, kind) in scored if ratio >= 0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, batch.column(1).type)], names=["doc_id", "base", "found"])
 
     kinds = [f"{n} {f.dataType.simpleString()}" for n, f in zip(("doc_id", "base", "found"), rows.schema)]
     return rows.mapInArrow(run, ", ".join(kinds))
@@ -249,9 +303,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(read_table(spark, sf_dir, "documents"))
     joined = lambda spans: f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
-    # those added have kinds that come after the base kinds; none starts where a base span does
     both = "array_sort(concat(base, found), (x, y) -> CASE WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1 ELSE cast(array_position(%s, x.kind) - array_position(%s, y.kind) AS int) END)"
-    kinds = f"array({', '.join(repr(k) for k in KINDS)})"
+    kinds = f"array({', '.join(repr(k) for k in (*KINDS, *(f'like_{k}' for k in KINDS)))})"  # those added come after the base kinds
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) AS long)").alias(f"n_{k}") for k in KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(F.expr(joined("base")).cast("binary"), 256).alias("base_sha256"), F.expr(joined(both % (kinds, kinds))).alias("spans")
