@@ -5,8 +5,10 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -46,11 +48,14 @@ _CLOSES = {
     "tbody": (_set("thead tbody tfoot tr td th"), _set("table")),
     "option": (_set("option"), _set("select")),
 }
-#: Elements that are no main text wherever they stand.
-DROPPED = _set(
-    "head script style noscript template iframe object embed applet svg math canvas audio video map form button select option input textarea "
-    "fieldset label nav menu aside footer dialog datalist progress meter noembed noframes"
+_P, _P_SCOPE, _NONE, _WHOLES = _set("p"), _set("div section article td th li blockquote table body main aside"), frozenset(), _set("article main body")
+#: Elements whose content is no text to be read.
+UNREAD = _set(
+    "head script style noscript template iframe object embed applet svg math canvas audio video map button select option input textarea datalist progress meter "
+    "noembed noframes"
 )
+#: Elements and roles that are no main text; they go by the counts of their host like all others, or else by these lists.
+LISTED = _set("form fieldset label nav menu aside footer dialog")
 ROLES = _set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist tooltip")
 #: Words of a class or id that hint at what is no main text; the counts by host decide.
 MARKS = _set(
@@ -70,16 +75,22 @@ _MARK_WORDS = re.compile(r"(?<![A-Za-z])(?<!with[-_])(?<!has[-_])(?<!no[-_])[A-Z
 
 @dataclass
 class Node:
+    """An open element; what is inherited from the element around it comes first."""
+
     tag: str
-    dropped: bool
-    inside: bool  # in an article or the main element
+    unread: bool = False
+    listed: bool = False  # it or an element around it is of ``LISTED`` or ``ROLES``
+    in_article: bool = False
+    in_main: bool = False
+    telling: bool = False  # it or an element around it is of ``TELLING``
+    hinted: bool = False  # it or an element around it is marked
+    parts: list = field(default_factory=list)  # hashes and texts of what is inside, in order; those of the block element around an inline one
+    inner: list = field(default_factory=list)  # blocks (as numbers below 0) and subtrees inside that lie in no other subtree inside
     kind: str = ""
-    parts: list = field(default_factory=list)  # hashes and texts of what is inside, in order
-    first_block: int = 0
     heading: bool = False
     marked: bool = False
+    names: bool = False  # its tag or role says that it is no main text
     attributes: str = ""
-    hinted: bool = False  # it or an element around it is marked
 
 
 def _is_marked(tag: str, attributes: str) -> bool:
@@ -90,44 +101,54 @@ def _is_marked(tag: str, attributes: str) -> bool:
     return any(not words.isdisjoint(_MARK_WORDS.findall(value)) for value in found)
 
 
-def _is_dropped(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not inside:
-        return True
+def _is_hidden(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether attributes hide an element, and whether its role is of ``ROLES``."""
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return False, False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "role":
             if value in ROLES:
-                return True
+                return False, True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return True, False
+    return False, False
+
+
+class Block(NamedTuple):
+    """A text; ``level`` is 2 in an article, 1 in the main element, 0 outside, -1 in a marked element, -2 in a listed one."""
+
+    text: str
+    level: int
+    inside: bool  # in the main element or an article
+    telling: bool  # running text, by which the page is told from others
 
 
 class Page:
     """One page, read once from start to end: its blocks of text, and the subtrees that each stands in.
 
-    ``blocks`` has the text, a level (2 in an article, 1 in the main element, 0 outside,
-    -1 in a marked element), the numbers of the ``subtrees`` around it, whose hashes are
-    of tags and texts, and whether it is in the main element or an article. The last bit
-    of a hash says whether the element is marked.
+    ``subtrees`` has hashes of tags and texts, whose last bit says whether the element is
+    marked, ``above`` the number of the subtree around each, ``of_block`` that around each
+    block; -1 is none. A subtree's number is above those of the subtrees in it. Each tag
+    and text takes constant time, so a page of any depth is read in time linear in its length.
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, list[int], bool]] = []
-        self.telling: list[bool] = []
+        self.blocks: list[Block] = []
         self.subtrees: list[int] = []
-        self.loose: set[int] = set()  # those that count only outside the article or main element of a page that has one
+        self.above: list[int] = []
+        self.of_block: list[int] = []
+        self.loose: list[int] = []  # those that count only outside the article or main element of a page that has one
         self.texts: list[str] = []
-        self.in_main = False
-        self.stack = [Node("", False, False)]
+        self.open_tags: Counter = Counter()
+        self.stack = [Node("")]
         self._read(source)
-        if self.loose and not any(b[3] for b in self.blocks):
-            for block in self.blocks:
-                block[2][:] = [n for n in block[2] if n not in self.loose]
+        self.in_main = any(b.inside and b.level == 1 for b in self.blocks)
+        if not any(b.inside and b.level > -2 for b in self.blocks):
+            for n in self.loose:
+                self.subtrees[n] = 0
 
     def _flush(self) -> None:
         if not self.texts:
@@ -135,62 +156,100 @@ class Page:
         text = " ".join(html.unescape("".join(self.texts)).split())
         self.texts.clear()
         if text:
-            kinds = [n.kind for n in self.stack]
-            self.stack[-1].parts.append(text)
-            level = -1 if self.stack[-1].hinted else 2 if "article" in kinds else 1 if "main" in kinds else 0
-            self.blocks.append((text, level, [], "article" in kinds or "main" in kinds))
-            self.in_main = self.in_main or "main" in kinds
-            self.telling.append(bool({"article", "main"} & set(kinds)) or any(n.tag in TELLING for n in self.stack))
+            top = self.stack[-1]
+            top.parts.append(text)
+            level = -2 if top.listed else -1 if top.hinted else 2 if top.in_article else 1 if top.in_main else 0
+            inside = top.in_article or top.in_main
+            self.blocks.append(Block(text, level, inside, (inside or top.telling) and not top.listed))
+            self.of_block.append(-1)
+            top.inner.append(-len(self.blocks))
 
     def _open(self, tag: str, attributes: str) -> None:
         top = self.stack[-1]
         kind = tag if tag in ("article", "main") else "main" if "role" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else ""
-        inside = top.inside or bool(kind)
         marked = _is_marked(tag, attributes)
-        self.stack.append(Node(tag, top.dropped or _is_dropped(tag, attributes, top.inside), inside, kind, [], len(self.blocks), False, marked, attributes, marked or top.hinted))
+        hidden, by_role = _is_hidden(tag, attributes)
+        listed = by_role or tag in LISTED or tag == "header" and not (top.in_article or top.in_main)
+        self.open_tags[tag] += 1
+        self.stack.append(
+            Node(
+                tag,
+                top.unread or hidden or tag in UNREAD,
+                top.listed or listed,
+                top.in_article or kind == "article",
+                top.in_main or kind == "main",
+                top.telling or tag in TELLING,
+                top.hinted or marked,
+                [] if tag in BLOCK else top.parts,
+                kind=kind,
+                marked=marked,
+                names=listed,
+                attributes=attributes,
+            )
+        )
+
+    def _subtree(self, digest: int, inner: list[int]) -> list[int]:
+        number = len(self.subtrees)
+        self.subtrees.append(digest)
+        self.above.append(-1)
+        for n in inner:
+            if n < 0:
+                self.of_block[-n - 1] = number
+            else:
+                self.above[n] = number
+        return [number]
 
     def _close(self) -> None:
         node = self.stack[-1]
         if node.tag in BLOCK:
             self._flush()
         self.stack.pop()
+        self.open_tags[node.tag] -= 1
         above = self.stack[-1]
         above.heading = above.heading or node.heading or node.tag == "h1"
-        if node.tag not in BLOCK or not node.parts and not node.dropped:
-            above.parts += node.parts
-            return
-        digest = xxhash.xxh64_intdigest("\0".join([node.tag, *map(str, node.parts)])) - (1 << 63)
-        above.parts.append(digest)
-        digest = digest & ~1 | node.marked
-        loose = node.tag in PROSE and not node.marked and not node.inside
-        counted = node.marked or loose or node.tag not in PROSE and not node.kind
-        if len(self.blocks) > node.first_block and counted and not node.heading and node.tag not in ("html", "body", "h1"):
-            number = len(self.subtrees)
-            if loose:
-                self.loose.add(number)
-            self.subtrees.append(digest)
-            numbers = [number]
-            if node.marked and not node.inside:  # beside an article, a marked element recurs by its tag and attributes too
-                numbers.append(number + 1)
-                self.loose.add(number + 1)
-                self.subtrees.append((xxhash.xxh64_intdigest(f"{node.tag}\1{node.attributes}") - (1 << 63)) & ~1)
-            for block in self.blocks[node.first_block :]:
-                block[2].extend(numbers)
+        if node.tag in BLOCK and (node.parts or node.unread):
+            digest = xxhash.xxh64_intdigest("\0".join([node.tag, *map(str, node.parts)])) - (1 << 63)
+            above.parts.append(digest)
+            loose = node.tag in PROSE and not node.marked and not (node.in_article or node.in_main)
+            counted = node.marked or loose or node.tag not in PROSE and not node.kind
+            if node.inner and counted and not node.heading and node.tag not in ("html", "body", "h1"):
+                node.inner = self._subtree(digest & ~1 | node.marked, node.inner)
+                if loose:
+                    self.loose += node.inner
+                if (node.marked or node.names) and not (node.in_article or node.in_main):  # it recurs by its tag and attributes too
+                    node.inner = self._subtree((xxhash.xxh64_intdigest(f"{node.tag}\1{node.attributes}") - (1 << 63)) & ~1, node.inner)
+                    if not node.names:
+                        self.loose += node.inner
+        if len(above.inner) < len(node.inner):  # the shorter list goes into the longer one
+            above.inner, node.inner = node.inner, above.inner
+        above.inner += node.inner
 
     def others(self) -> dict[int, int]:
-        """For each subtree, a sum of hashes of the page's running text outside it; of all texts on a page without any."""
-        every = not any(self.telling)
-        total, inner = 0, {self.subtrees[n]: 0 for b in self.blocks for n in b[2]}
-        for (text, _, inside, *_), telling in zip(self.blocks, self.telling):
-            if every or telling:
-                digest = xxhash.xxh64_intdigest(text)
+        """For each subtree, a sum of hashes of the page's running text outside it; of all texts not listed on a page without any."""
+        every = not any(b.telling for b in self.blocks)
+        total, inside, found = 0, [0] * len(self.subtrees), {}
+        for block, n in zip(self.blocks, self.of_block):
+            if block.telling or every and block.level > -2:
+                digest = xxhash.xxh64_intdigest(block.text)
                 total += digest
-                for subtree in {self.subtrees[n] for n in inside}:
-                    inner[subtree] += digest
-        return {k: ((total - v) & ((1 << 64) - 1)) - (1 << 63) for k, v in inner.items()}
+                if n >= 0:
+                    inside[n] += digest
+        for n, subtree in enumerate(self.subtrees):
+            if self.above[n] >= 0:
+                inside[self.above[n]] += inside[n]
+            if subtree:
+                found[subtree] = found.get(subtree, 0) + inside[n]
+        return {k: ((total - v) & ((1 << 64) - 1)) - (1 << 63) for k, v in found.items()}
+
+    def packed(self) -> str:
+        """The blocks that may be main text, and the subtrees, as JSON."""
+        kept = [(b.text, b.level == -2, n) for b, n in zip(self.blocks, self.of_block) if b.inside or not self.in_main]
+        return json.dumps([kept, self.subtrees, self.above], ensure_ascii=False)
 
     def _close_to(self, tags: frozenset, scope: frozenset) -> None:
         """Close the lowest open element of ``tags`` and all in it, unless one of ``scope`` is lower."""
+        if not any(self.open_tags[t] for t in tags):
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag in tags:
                 while len(self.stack) > k:
@@ -203,7 +262,7 @@ class Page:
         if tag in BLOCK:
             if tag in _CLOSES:
                 self._close_to(*_CLOSES[tag])
-            self._close_to(_set("p"), _set("div section article td th li blockquote table body main aside"))
+            self._close_to(_P, _P_SCOPE)
             if tag[0] == "h" and tag[1:].isdigit() and self.stack[-1].tag[:1] == "h" and self.stack[-1].tag[1:].isdigit():
                 self._close()
             self._flush()
@@ -218,7 +277,7 @@ class Page:
         while True:
             m = find(source, at)
             text = source[at : m.start() if m else len(source)]
-            if text and not self.stack[-1].dropped:
+            if text and not self.stack[-1].unread:
                 self.texts.append(text)
             elif text and not text.isspace():
                 self.stack[-1].parts.append(" ".join(text.split()))
@@ -230,7 +289,7 @@ class Page:
             if closing:
                 if tag in ("p", "br"):
                     self._flush()
-                self._close_to(frozenset((tag,)), frozenset() if tag in ("article", "main", "body", "html") else _set("article main body"))
+                self._close_to(frozenset((tag,)), _NONE if tag in ("article", "main", "body", "html") else _WHOLES)
             else:
                 self._start(tag, attributes)
                 if tag in RAW and tag not in VOID:
@@ -258,8 +317,7 @@ def read_pages(pages: DataFrame, page: str = "html", url: str = "url", id_col: s
                     found = Page(value.as_py() or "")
                     other = found.others()
                     subtrees.append([{"subtree": k, "other": other[k]} for k in sorted(other)])
-                    kept = [(t, [found.subtrees[n] for n in at]) for t, _, at, inside in found.blocks if inside or not found.in_main]
-                    blocks.append(pack(json.dumps(kept, ensure_ascii=False).encode()))
+                    blocks.append(pack(found.packed().encode("utf-8", "surrogatepass")))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(subtrees, pair), pa.array(blocks, pa.binary())], names=names)
 
     pair = pa.list_(pa.struct([("subtree", pa.int64()), ("other", pa.int64())]))
@@ -270,47 +328,73 @@ def read_pages(pages: DataFrame, page: str = "html", url: str = "url", id_col: s
     return source.mapInArrow(run, f"{kinds}, subtrees array<struct<subtree:long,other:long>>, blocks binary")
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``page_id, url, text`` of packed blocks and the subtrees that go."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
-        for k in range(0, batch.num_rows, 64):
-            rows, found = batch.slice(k, 64), []
-            for packed, gone in zip(rows.column(2), rows.column(3).to_pylist()):
-                gone = set(gone or ())
-                found.append("\n\n".join(t for t, inside in json.loads(unpack(packed.as_py())) if gone.isdisjoint(inside)))
-            yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(found, pa.string())], names=["page_id", "url", "text"])
+def _texts(by_lists: bool):
+    """``page_id, url, text, n_template, n_listed`` of packed blocks and the subtrees that go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for k in range(0, batch.num_rows, 64):
+                rows, found, counts = batch.slice(k, 64), [], [[], []]
+                for packed, gone in zip(rows.column(2), rows.column(3).to_pylist()):
+                    blocks, subtrees, above = json.loads(unpack(packed.as_py()).decode("utf-8", "surrogatepass"))
+                    gone = set(gone or ())
+                    goes = [x in gone for x in subtrees]
+                    for n in range(len(above) - 1, -1, -1):  # the one around a subtree has a higher number
+                        goes[n] = goes[n] or above[n] >= 0 and goes[above[n]]
+                    template = [n >= 0 and goes[n] for _, _, n in blocks]
+                    listed = [by_lists and x and not t for (_, x, _), t in zip(blocks, template)]
+                    found.append("\n\n".join(b[0] for b, t, x in zip(blocks, template, listed) if not t and not x))
+                    counts[0].append(sum(template))
+                    counts[1].append(sum(listed))
+                columns = [*rows.columns[:2], pa.array(found, pa.string()), *(pa.array(c, pa.int64()) for c in counts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_template", "n_listed"])
+
+    return run
+
+
+def recurring_subtrees(parsed: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``host, subtree`` of those that stand on so many pages of their host whose other running text differs."""
+    different = parsed.select("host", F.explode("subtrees").alias("x")).select("host", "x.*").distinct()
+    counts = different.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where((F.col("n") >= least_pages) | F.expr(f"(subtree & 1) = 1 AND n >= {LEAST_PAGES_MARKED}")).select("host", "subtree")
 
 
-def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``page_id, url, text`` for each row.
+def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES, by_lists: bool = True) -> DataFrame:
+    """``page_id, url, text, n_template, n_listed`` for each row.
 
     Blocks are those of the main element and of articles where the page has a main element
-    with text, else those of the body, without the elements and roles that are never main
-    text (menus, forms, scripts and so on).
+    with text, else those of the body, without what is no text (scripts, controls).
     A block goes if a subtree around it recurs on at least ``least_pages`` pages of its
     host that differ in their other running text, however many pages the host has: the
-    copies of a page count once. Subtrees are counted over all pages, with partial counts
-    before each shuffle; running text, headings and what holds the main heading don't
-    count as subtrees, so copied articles stay. Outside the article of a page that has one
-    running text does count. Elements marked by words of their class or id go if they recur
-    on ``LEAST_PAGES_MARKED`` such pages; beside an article they also go, whatever their text,
-    if their tag and attributes recur on ``least_pages``. Else they stay.
-
-    The table of recurring subtrees joins by host and hash. Only pages in which some
-    block stands in one take a longer way; a page without text has an empty one.
+    copies of a page count once. All subtrees are counted over all pages, menus and
+    footers like any other, with partial counts before each shuffle; running text,
+    headings and what holds the main heading don't count as subtrees, so copied articles
+    stay. Outside the article of a page that has one running text does count. Menus,
+    footers and other elements whose tag or role says what they are, and which a host
+    often fills anew for each page, are counted without their text as well, by tag and
+    attributes. Elements marked by words of their class or id go if they recur on
+    ``LEAST_PAGES_MARKED`` such pages; beside an article they also go, whatever their
+    text, if their tag and attributes recur on ``least_pages``. Else they stay.
+
+    What the counts leave, as on a host of few pages, goes by ``LISTED`` and ``ROLES``,
+    elements that are never main text, unless ``by_lists`` is off. ``n_template`` and
+    ``n_listed`` are the blocks that went either way.
+
+    The table of recurring subtrees joins by host and hash. A null page is empty, a page
+    without text has an empty one, a null or odd url has an empty host; rows come out as
+    often as they go in; other columns are not read; an empty table gives no rows.
     """
     parsed = materialise(read_pages(pages, page, url, id_col).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    different = parsed.select("host", F.explode("subtrees").alias("x")).select("host", "x.*").distinct()
-    often = different.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= least_pages) | F.expr(f"(subtree & 1) = 1 AND n >= {LEAST_PAGES_MARKED}"))
-    often = materialise(often.select("host", "subtree"), "templates")
+    often = materialise(recurring_subtrees(parsed, least_pages), "templates")
     around = parsed.select("row", "host", F.explode("subtrees.subtree").alias("subtree"))
     gone = around.join(often, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
     gone = materialise(gone, "gone")  # a row for each page with a template around a block, as many hashes as the page has
     joined = parsed.join(gone, "row", "left").select("page_id", "url", "blocks", "gone")
-    return joined.mapInArrow(_texts, f"page_id {joined.schema['page_id'].dataType.simpleString()}, url string, text string")
+    kind = joined.schema["page_id"].dataType.simpleString()
+    return joined.mapInArrow(_texts(by_lists), f"page_id {kind}, url string, text string, n_template long, n_listed long")
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_text(read_table(spark, sf_dir, "pages"))
-    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_template", "n_listed")

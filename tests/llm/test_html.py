@@ -1,10 +1,17 @@
+import random
+import time
+import xml.etree.ElementTree as ET
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
 from driftline.llm import html_text as h
 
 
 def texts(source):
     page = h.Page(source)
-    best = max((b[1] for b in page.blocks), default=0)
-    return [b[0] for b in page.blocks if b[1] == best]
+    best = max((b.level for b in page.blocks), default=0)
+    return [b.text for b in page.blocks if b.level == best > -2]
 
 
 def test_article():
@@ -74,3 +81,87 @@ def test_changing_ads_beside_an_article(spark):
     rows = [(k, "http://a.example/", f"<body><div class='ad'>Buy {k}</div><article><h1>T {k}</h1><section id='discussion'><p>D {k}</p></section></article>") for k in range(5)]
     got = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {k: f"T {k}\n\nD {k}" for k in range(5)}
+
+
+def test_time_is_linear_in_nesting():
+    for piece in ("<div>x", "<b>x", "<li>x", "<span><p>x", "<section class=ad>y", "<nav><ul><li>z"):
+        h.Page(piece * 1000).others()
+        times = []
+        for n in (4000, 32000):
+            began = time.process_time()
+            page = h.Page(piece * n)
+            page.others(), page.packed()
+            times.append(time.process_time() - began)
+        assert times[1] < 8 * 4 * max(times[0], 0.02), (piece, times)
+
+
+def plain_removal(pages):
+    """Texts of pages by counts alone: for each host and subtree, how many different running texts stand around it."""
+    around, trees = defaultdict(set), []
+    for k, host, source in pages:
+        root = ET.fromstring(source)
+        trees.append((k, host, root))
+        every = [e.text for e in root.iter("p")]
+        for e in root.iter():
+            if e.tag in ("div", "nav", "ul", "footer", "section", "aside"):
+                inner = [x.text for x in e.iter("p")]
+                around[host, ET.tostring(e)].add(tuple(sorted(set(every) - set(inner))))
+                if e.tag in ("nav", "footer", "aside"):
+                    around[host, e.tag].add(tuple(sorted(set(every) - set(inner))))
+    out = {}
+    for k, host, root in trees:
+        texts = []
+
+        def walk(e):
+            if max(len(around.get((host, x), ())) for x in (ET.tostring(e), e.tag)) >= h.LEAST_PAGES:
+                return
+            if e.text:
+                texts.append(e.text)
+            for x in e:
+                walk(x)
+
+        walk(root)
+        out[k] = "\n\n".join(texts)
+    return out
+
+
+def test_counts_alone_remove_what_a_plain_count_removes(spark):
+    r = random.Random(3)
+    widget = lambda depth: "".join(f"<{t}>{widget(depth - 1) if depth and r.random() < 0.7 else f'w{r.randrange(30)}'}</{t}>" for t in r.choices(["div", "nav", "ul", "footer", "section", "aside"], k=r.choice([1, 1, 2])))
+    shared = [widget(2) for _ in range(14)]
+    pages = []
+    for k in range(300):
+        host = "big" if k % 3 else f"h{k % 12}"
+        own = f"<div><p>Own {k if k % 7 else 0}</p></div>"
+        pages.append((k, host, f"<body>{''.join(r.sample(shared, 4))}{own}{r.choice(shared)}</body>"))
+    docs = spark.createDataFrame([(k, f"http://{host}.example/{k}", x) for k, host, x in pages], "page_id long, url string, html string")
+    found = h.extract_text(docs, by_lists=False).collect()
+    assert {r.page_id: r.text for r in found} == plain_removal(pages)
+    assert sum(r.n_template for r in found) > 500 and not any(r.n_listed for r in found)
+
+
+def test_menus_and_footers_go_by_counts_and_lists_are_for_what_is_left(spark):
+    frame = lambda k, host: f"<body><header>{host}</header><nav><ul><li>Home<li>About</ul></nav><article><h1>T {k}</h1><p>Own {k}</p></article><aside>More</aside><footer>&copy; {host}</footer>"
+    rows = [(k, f"http://big.example/{k}", frame(k, "big")) for k in range(8)] + [(100 + k, "http://small.example/", frame(k, "small")) for k in range(3)]
+    rows = [(k, u, x.replace("<article>", "<div>").replace("</article>", "</div>")) for k, u, x in rows]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    alone = {r.page_id: r for r in h.extract_text(docs, by_lists=False).collect()}
+    assert all(alone[k].text == f"T {k}\n\nOwn {k}" and alone[k].n_template == 5 for k in range(8))
+    assert alone[100].text == "small\n\nHome\n\nAbout\n\nT 0\n\nOwn 0\n\nMore\n\n© small"
+    both = {r.page_id: r for r in h.extract_text(docs).collect()}
+    assert all(both[k].n_listed == 0 for k in range(8)) and all(both[100 + k].text == f"T {k}\n\nOwn {k}" and both[100 + k].n_listed == 5 for k in range(3))
+
+
+def test_query(spark, tmp_path):
+    rows = [(k, f"http://a.example/{k}", f"<body><nav>Menu</nav><article><h1>é {k}</h1><p>a&amp;b \n c&#x1F389;</p></article><script>x</script>", "t", 1) for k in range(6)]
+    rows += [(7, None, None, "t", 1), (7, "u", "", "t", 1), (None, "http://[", "<p>plain", "t", 1), (None, "http://[", "<p>plain", "t", 1)]
+    spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((tuple(r)[:4] for r in h.op6_html(spark, str(tmp_path)).collect()), key=str)
+    want = [(k, f"http://a.example/{k}", f"é {k}\n\na&b c🎉", 11) for k in range(6)] + [(7, None, "", 0), (7, "u", "", 0)] + [(None, "http://[", "plain", 5)] * 2
+    assert got == sorted(want, key=str)
+
+
+def test_counts_do_most_of_the_work_on_the_test_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    both = h.extract_text(pages).agg(F.sum("n_template"), F.sum("n_listed")).first()
+    assert both[0] > 100 * both[1], both
