@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Within, Python workers get so many rows at once: rows with texts are wide, and both sides hold a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path for an intermediate table, in a folder of the application."""
     return f"{shared_dir(spark)}/driftline/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}-{label}"

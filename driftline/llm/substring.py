@@ -15,16 +15,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import delete_path, discard, materialise, new_path, read_table
+from driftline.llm.common import delete_path, discard, materialise, new_path, read_table, small_batches
 from driftline.llm.words import LongText, Texts, parts_of, texts, windows
 
 WINDOW_WORDS = 20
 #: Words of an anchor. Of the anchors inside a window the one of least hash is indexed.
 ANCHOR_WORDS = 8
 #: Batches that a whole table is given to the index in, by ascending id.
-BATCHES = 3
+BATCHES = 2
 #: Runs that are kept apart before two are merged.
-MOST_RUNS = 2
+MOST_RUNS = 1
 #: Places that a task remembers, to tell repeats on the spot; what it forgets is told after a shuffle.
 REMEMBERED = 60_000
 #: Bits of the filter by which rows that cannot take part stay out of a shuffle: 16 MB, whatever the size of the corpus.
@@ -144,19 +144,28 @@ def _filter(rows: DataFrame, column: str) -> tuple[int, dict[int, bytes]]:
     return bits, {r.k: bytes(r.bitmap) for r in made.collect()}  # bits / 32768 rows of 4 KB at most
 
 
-def _passing(rows: DataFrame, column: str, found: tuple[int, dict[int, bytes]], wanted: bool = True, pack: str | None = None) -> DataFrame:
-    """The rows whose ``column`` the filter has, or the rest; the binary column ``pack``, if any, compressed."""
+def _inside(shared, bits: int):
+    """Whether the filter has each row of a batch, whose last column is the ``place``."""
+    empty = bytes(4096)
+    table = np.concatenate([np.frombuffer(shared.value.get(k + 1, empty), np.uint8) for k in range(bits >> 15)])
+
+    def run(batch: pa.RecordBatch) -> np.ndarray:
+        bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False) - 1
+        return (table[bit >> 3] >> (bit & 7)) & 1 == 1
+
+    return run
+
+
+def _passing(rows: DataFrame, column: str, found: tuple[int, dict[int, bytes]], pack: str | None = None) -> DataFrame:
+    """The rows whose ``column`` the filter has, and few others; the binary column ``pack``, if any, compressed."""
     bits, bitmaps = found
     shared = rows.sparkSession.sparkContext.broadcast(bitmaps)
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty, compress = bytes(4096), zstandard.ZstdCompressor(level=1).compress
-        table = np.concatenate([np.frombuffer(shared.value.get(k + 1, empty), np.uint8) for k in range(bits >> 15)])
+        inside, compress = _inside(shared, bits), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False) - 1
-            inside = (table[bit >> 3] >> (bit & 7)) & 1 == 1
-            kept = batch.filter(pa.array(inside == wanted))
+            kept = batch.filter(pa.array(inside(batch)))
             columns = kept.columns[:-1]
             if pack:
                 k = names.index(pack)
@@ -283,11 +292,12 @@ class FingerprintIndex:
         fresh = batch.where("NOT later").drop("later")
         run = self._write_run(fresh.groupBy("key").agg(F.count(F.lit(1)).alias("n")), name)
         repeated = materialise(self.repeated(run), "repeated")
-        bits = _filter(repeated, "key")
-        places = _passing(fresh, "key", bits).join(repeated, "key", "left_semi").withColumn("is_new", F.lit(True))
+        # an anchor that passes the filter by chance is alone below, and does no harm
+        places = _passing(fresh, "key", _filter(repeated, "key")).withColumn("is_new", F.lit(True))
+        met = _filter(repeated.where("met"), "key") if self.names else None
         for old in self.names:
-            past = _passing(self.places(old).where("NOT later").drop("later"), "key", bits)
-            places = places.union(past.join(repeated.where("met"), "key", "left_semi").withColumn("is_new", F.lit(False)))
+            past = _passing(self.places(old).where("NOT later").drop("later"), "key", met)
+            places = places.union(past.withColumn("is_new", F.lit(False)))
         # of places with equal words around one anchor all but the earliest are settled; a task has sent one of them, or some
         same = Window.partitionBy("key", "span").orderBy(F.col("doc").asc_nulls_first(), F.shiftright("at", _START))
         ranked = materialise(places.withColumn("nth", F.rank().over(same)), "ranked")
@@ -326,7 +336,10 @@ def removed_words(data: bytes, marks: np.ndarray) -> np.ndarray:
     np.add.at(edges, a + n, -1)
     windows_gone = np.cumsum(edges) > 0
     first = np.unique(starts[kind == FIRST])
-    if len(first):
+    first = first[first < len(windows_gone)]
+    if len(own) == np.count_nonzero(kind != FIRST):  # no other row shares the id and has marks, so all are this row's
+        windows_gone[first] = False
+    elif len(first):
         tags = {}
         for m in marks[kind == FIRST].tolist():
             tags.setdefault(m >> _START, set()).add(m & _TAG)
@@ -335,7 +348,7 @@ def removed_words(data: bytes, marks: np.ndarray) -> np.ndarray:
             inside = inside[inside - word + WINDOW_WORDS <= len(found.starts)]
             if len(inside):
                 digests = _two_longs(_digests(found, inside - word, np.full(len(inside), WINDOW_WORDS)))[:, 0] & _TAG
-                windows_gone[[s for s, d in zip(inside.tolist(), digests.tolist()) if s < len(windows_gone) and d in tags[s]]] = False
+                windows_gone[[s for s, d in zip(inside.tolist(), digests.tolist()) if d in tags[s]]] = False
     at = np.flatnonzero(windows_gone)
     edges = np.zeros(len(windows_gone) + 1, np.int64)
     np.add.at(edges, at, 1)
@@ -361,25 +374,43 @@ def remove_words(data: bytes, marks: np.ndarray) -> tuple[int, int, bytes]:
     return n_words, n_removed, b" ".join(kept)
 
 
-def _cleaned(rows: DataFrame, packed: bool) -> DataFrame:
+def _batches_of(batches: Iterator[tuple[list, Iterator[tuple[bytes, np.ndarray]]]]) -> Iterator[pa.RecordBatch]:
+    """Rows for ids and, to each, its text and marks; some at a time."""
+    for ids, pairs in batches:
+        out, held = [], 0
+        for doc, (data, marks) in zip(ids, pairs):
+            out.append((doc, *remove_words(data, marks)))
+            held += len(out[-1][3])
+            if held > 8 << 20:
+                yield _rows(out)
+                out, held = [], 0
+        if out:
+            yield _rows(out)
+
+
+_CLEANED = "doc long, n_words long, n_removed long, kept string"
+
+
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed texts without the words that their marks tell."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    slices = (batch.slice(k, _ROWS) for batch in batches for k in range(0, batch.num_rows, _ROWS))
+    pairs = lambda x: ((unpack(t.as_py()), np.array(m.as_py() or (), np.int64)) for t, m in zip(x.column(1), x.column(2)))
+    yield from _batches_of((x.column(0).to_pylist(), pairs(x)) for x in slices)
+
+
+def _untouched(docs: DataFrame, found: tuple[int, dict[int, bytes]]) -> DataFrame:
+    """The texts whose ids the filter hasn't, which so have no marks."""
+    bits, bitmaps = found
+    shared, none = docs.sparkSession.sparkContext.broadcast(bitmaps), np.zeros(0, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
+        inside = _inside(shared, bits)
         slices = (batch.slice(k, _ROWS) for batch in batches for k in range(0, batch.num_rows, _ROWS))
-        for batch in slices:
-            out, held, none = [], 0, np.zeros(0, np.int64)
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                data, marks = batch.column(1)[k].as_py() or b"", none
-                if packed:
-                    data, marks = unpack(data), np.array(batch.column(2)[k].as_py() or (), np.int64)
-                out.append((doc, *remove_words(data, marks)))
-                held += len(out[-1][3])
-                if held > 8 << 20:
-                    yield _rows(out)
-                    out, held = [], 0
-            if out:
-                yield _rows(out)
+        kept = (x.filter(pa.array(~inside(x))) for x in slices)
+        yield from _batches_of((x.column(0).to_pylist(), ((t.as_py() or b"", none) for t in x.column(1))) for x in kept)
 
-    return rows.mapInArrow(run, "doc long, n_words long, n_removed long, kept string")
+    return docs.select("doc", "text", _place("doc", bits)).mapInArrow(run, _CLEANED)
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
@@ -401,17 +432,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     low, high = keyed.agg(F.min("doc"), F.max("doc")).first()
     bounds = [] if low is None else [low + (high - low + 1) * k // batches for k in range(1, batches)]
     index, starts = FingerprintIndex(spark, new_path(spark, "index"), most_runs, remembered), None
-    for a, b in zip([None, *bounds], [*bounds, None]):
-        part = keyed if a is None else keyed.where(F.col("doc") >= a)
-        part = part if b is None else part.where((F.col("doc") < b) | F.col("doc").isNull())
-        before = None if a is None else keyed.where((F.col("doc") < a) | F.col("doc").isNull())
-        found = index.append(part, before)
-        starts = found if starts is None else starts.union(found)
+    with small_batches(spark):
+        for a, b in zip([None, *bounds], [*bounds, None]):
+            part = keyed if a is None else keyed.where(F.col("doc") >= a)
+            part = part if b is None else part.where((F.col("doc") < b) | F.col("doc").isNull())
+            before = None if a is None else keyed.where((F.col("doc") < a) | F.col("doc").isNull())
+            found = index.append(part, before)
+            starts = found if starts is None else starts.union(found)
     index.close()
     touched = _filter(starts, "doc")
     starts = starts.withColumnRenamed("doc", "_doc")
     packed = _passing(keyed, "doc", touched, pack="text").join(starts, F.col("doc").eqNullSafe(F.col("_doc")), "left").select("doc", "text", "marks")
-    out = _cleaned(packed, True).union(_cleaned(_passing(keyed, "doc", touched, False), False))
+    out = packed.mapInArrow(_cleaned, _CLEANED).union(_untouched(keyed, touched))
     return out.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept")
 
 
