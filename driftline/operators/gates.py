@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.config import CRUISE_ANCHOR_MPS, TRAJECTORY_ANCHOR_MPS, GridConfig, SegmentConfig
+from driftline.functions.percentile import beside, medians, percentiles, value_counts
 from driftline.operators import segments as seg
 from driftline.sources.tables import union_all
 
@@ -24,15 +25,13 @@ def gap_sensitivity(points: DataFrame, config: SegmentConfig = SegmentConfig())
         gap = times * config.gap_split_s
         again = seg.judged_segments(seg.remove_glitches(seg.assign_segments(bare, gap), config), config).where("is_valid")
         by_segment = again.groupBy(*_SEGMENT).agg(F.count(F.lit(1)).alias("n"), F.min_by("segment_duration_s", "t").alias("duration"))
-        tables.append(
-            by_segment.agg(
-                F.lit(float(gap)).alias("gap_split_s"),
-                F.count(F.lit(1)).alias("num_segments"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("total_points_kept"),
-                F.coalesce(F.median("duration"), F.lit(0.0)).alias("median_duration_s"),
-            )
-        )
-    return union_all(tables)
+        tables.append(by_segment.select(F.lit(float(gap)).alias("gap_split_s"), "n", "duration"))
+    every = union_all(tables).groupBy("gap_split_s", F.col("duration").alias("value")).agg(F.sum("n").alias("points"), F.count(F.lit(1)).alias("n"))
+    sums = every.groupBy("gap_split_s").agg(F.sum("n").alias("num_segments"), F.sum("points").alias("total_points_kept"))
+    middle = percentiles(every.select("gap_split_s", F.lit("duration").alias("channel"), "value", "n"), ["gap_split_s"], {"duration": (0.5,)})
+    gaps = points.sparkSession.createDataFrame([(float(k * config.gap_split_s),) for k in (1, 2, 3)], "gap_split_s double")
+    joined = beside(gaps, sums, middle.select("gap_split_s", F.col("x").alias("median_duration_s")), on="gap_split_s")
+    return joined.select("gap_split_s", "num_segments", "total_points_kept", "median_duration_s")
 
 
 def consistency(summary: DataFrame) -> DataFrame:
@@ -54,7 +53,8 @@ def segment_speeds(points: DataFrame, seed: int = 1, n: int = 3) -> DataFrame:
 
 def cruise_anchor(points: DataFrame) -> DataFrame:
     """The median reported velocity over all days, and whether it is a light aircraft's."""
-    found = points.agg(F.median("velocity").alias("median_velocity"))
+    middle = medians(points, F.col("velocity")).select(F.col("median").alias("_median"))
+    found = middle.agg(F.max("_median").alias("median_velocity"))  # a row, null without any velocity
     return found.withColumn("in_range", F.coalesce(F.col("median_velocity").between(*CRUISE_ANCHOR_MPS), F.lit(False)))
 
 
@@ -74,9 +74,10 @@ def thresholds(samples: DataFrame, config: GridConfig = GridConfig()) -> DataFra
 def motion_percentiles(samples: DataFrame) -> DataFrame:
     """p50, p95 and p99 of speed and of the sizes of both accelerations and the turn rate; a row each."""
     channels = {"speed_mps": F.col("speed_mps")} | {c: F.abs(c) for c in ("accel_mps2", "accel_vector_mps2", "turn_rate_deg_s")}
-    one = samples.agg(*[F.percentile(v, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias(c) for c, v in channels.items()])
-    rows = F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).alias("p")) for c in channels])
-    return one.select(F.explode(rows).alias("x")).selectExpr("x.channel", "x.p[0] AS p50", "x.p[1] AS p95", "x.p[2] AS p99")
+    ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = percentiles(value_counts(samples, [], channels), [], dict.fromkeys(channels, tuple(ps.values())))
+    every = samples.sparkSession.createDataFrame([(c,) for c in channels], "channel string")
+    return every.join(found, "channel", "left").groupBy("channel").agg(*[F.max(F.when(F.col("p") == p, F.col("x"))).alias(n) for n, p in ps.items()])
 
 
 def check_segments(funnel: DataFrame) -> None:
@@ -93,6 +94,7 @@ def check_trajectories(samples: DataFrame, config: GridConfig = GridConfig()) ->
         raise GateError(f"a step isn't {config.dt_s:g} s")
     if not thresholds(samples, config).first().is_ok:
         raise GateError("a trajectory is shorter than allowed")
-    middle = samples.agg(F.median("speed_mps")).first()[0]
+    middle = medians(samples, F.col("speed_mps")).first()
+    middle = middle.median if middle else float("nan")
     if not TRAJECTORY_ANCHOR_MPS[0] <= middle <= TRAJECTORY_ANCHOR_MPS[1]:
         raise GateError(f"median speed {middle:.1f} m/s")

@@ -12,6 +12,8 @@ from driftline.sources.tables import require
 _SEGMENT = ("date", "icao24", "segment_id")
 _PIECE = (*_SEGMENT, "piece")
 REPORTED = ("velocity", "heading", "vertrate")
+#: What a sample has of the raw entries that fall to it: name, field of an entry, aggregate.
+RAW = (("n_raw_fixes", "n", F.sum), ("raw_speed_max_mps", "speed", F.max), ("raw_accel_max_mps2", "accel", F.max), ("raw_turn_rate_max_deg_s", "turn", F.max))
 
 
 def unwrapped(degrees: str, order: Window) -> Column:
@@ -86,7 +88,9 @@ def on_grid(fixes: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
     """Samples at the first fix and every ``dt_s`` after it up to the last fix, for pieces with two fixes or more.
 
     Each fix emits the grid points from itself to the next one: no join, and no task holds
-    a trajectory. ``lon_u`` stays unwrapped for what is computed from it.
+    a trajectory. ``lon_u`` stays unwrapped for what is computed from it. Of fixes that
+    have ``raw`` (entries of ``raw_entries``), each entry is a row as well, which counts for
+    its sample in a window, and then goes.
     """
     dt = F.lit(float(config.dt_s))
     inside, whole = Window.partitionBy(*_PIECE).orderBy("t"), Window.partitionBy(*_PIECE)
@@ -100,10 +104,24 @@ def on_grid(fixes: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
     rows = rows.withColumn("n_samples", F.ceil((F.col("_t1") - F.col("_t0") + 1e-9) / dt))
     low = F.greatest(F.floor((F.col("t") - F.col("_t0")) / dt) - 1, F.lit(0))
     high = F.least(F.ceil((F.coalesce("_next_t", "t") - F.col("_t0")) / dt) + 1, F.col("n_samples") - 1)
-    made = rows.where(low <= high).withColumn("sample_idx", F.explode(F.sequence(low, high)))
+    points = F.when(low <= high, F.sequence(low, high))
+    if "raw" in rows.columns:
+        none = F.lit(None).cast(rows.schema["raw"].dataType.elementType)
+        entries = F.concat(F.transform(points, lambda k: F.struct(k.alias("sample_idx"), none.alias("raw"))), F.transform("raw", lambda x: F.struct(x["sample_idx"].alias("sample_idx"), x.alias("raw"))))
+        made = rows.withColumn("_entry", F.explode(F.coalesce(entries, F.transform("raw", lambda x: F.struct(x["sample_idx"].alias("sample_idx"), x.alias("raw"))))))
+        made = made.withColumns({"sample_idx": F.col("_entry.sample_idx"), "raw": F.col("_entry.raw")})
+    else:
+        made = rows.withColumn("sample_idx", F.explode(points))
     made = made.withColumn("timestamp", F.col("_t0") + F.col("sample_idx") * dt)
     last = (F.col("_next_t").isNull()) & (F.col("timestamp") >= F.col("t"))
-    made = made.where((F.col("t") <= F.col("timestamp")) & ((F.col("timestamp") < F.col("_next_t")) | last))
+    sample = (F.col("t") <= F.col("timestamp")) & ((F.col("timestamp") < F.col("_next_t")) | last)
+    raw = {}
+    if "raw" in rows.columns:
+        at = Window.partitionBy(*_PIECE, "sample_idx")
+        raw = {name: value(F.col(f"raw.{field}")).over(at) for name, field, value in RAW}
+        made = made.where(sample | F.col("raw").isNotNull()).withColumns(raw).where("raw IS NULL")
+    else:
+        made = made.where(sample)
     values = {c: _between(F.col(c), F.col(f"_next_{c}"), F.col("t"), F.col("_next_t"), F.col("timestamp")) for c in ("lat", "lon_u", "alt")}
     nearest = F.least(F.col("timestamp") - F.col("t"), F.abs(F.col("_next_t") - F.col("timestamp")))
     carried = [c for c in ("callsign",) if c in rows.columns]
@@ -128,6 +146,7 @@ def on_grid(fixes: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
         ((F.col("_t0") + (F.col("n_samples") - 1) * dt) - F.col("_t0")).alias("trajectory_duration_s"),
         "n_samples",
         "was_split_by_interp_gap",
+        *raw,
     )
     return smoothed(out) if config.smooth else out.withColumns({"lat_smooth": F.col("lat_interp"), "lon_su": F.col("lon_u"), "alt_smooth": F.col("alt_interp")})
 

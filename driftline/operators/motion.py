@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.geo import compass, east_m, length, north_m, wrapped
+from driftline.operators.grid import RAW
 
 _PIECE = ("date", "icao24", "segment_id", "piece")
 
@@ -32,15 +33,15 @@ def motion(samples: DataFrame) -> DataFrame:
     ).drop("_lat0", "_lon0", "_e", "_n", "_ve", "_vn", "_speed", "_heading")
 
 
-def raw_dynamics(fixes: DataFrame, dt_s: float = 10.0) -> DataFrame:
-    """For each sample with fixes or steps: ``n_raw_fixes`` and the highest raw speed, acceleration and turn rate.
+def raw_entries(fixes: DataFrame, dt_s: float = 10.0) -> DataFrame:
+    """The fixes with ``raw``: what each adds to samples, as entries of ``sample_idx, n, speed, accel, turn``.
 
     A step counts at its middle for the sample at or after it; what comes after the last
-    sample counts for that. Fixes, speeds and changes fall into buckets of their own and
-    are added up by one aggregation.
+    sample counts for that. A fix, its speed and its changes have an entry each.
     """
     order, whole = Window.partitionBy(*_PIECE).orderBy("t"), Window.partitionBy(*_PIECE)
     start = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = fixes.columns
     rows = fixes.where("n_fixes >= 2").withColumns({"_t0": F.min("t").over(whole), "_t1": F.max("t").over(whole), "_lat0": F.first("lat").over(start), "_lon0": F.first("lon_u").over(start)})
     rows = rows.withColumn("_last", F.ceil((F.col("_t1") - F.col("_t0") + 1e-9) / F.lit(float(dt_s))) - 1)
     rows = rows.withColumns({"_e": east_m(F.col("lon_u"), F.col("_lon0"), F.col("_lat0")), "_n": north_m(F.col("lat"), F.col("_lat0"))})
@@ -55,7 +56,10 @@ def raw_dynamics(fixes: DataFrame, dt_s: float = 10.0) -> DataFrame:
     none = F.lit(None).cast("double")
     entry = lambda at, n, speed, accel, turn: F.struct(bucket(at).alias("sample_idx"), F.lit(n).alias("n"), speed.alias("speed"), accel.alias("accel"), turn.alias("turn"))
     entries = F.array(entry(F.col("t"), 1, none, none, none), entry(F.col("_mid"), 0, F.col("_speed"), none, none), entry(F.col("_mid2"), 0, none, F.col("_accel"), F.col("_turn")))
-    flat = rows.select(*_PIECE, F.explode(F.filter(entries, lambda x: x["sample_idx"].isNotNull())).alias("x")).select(*_PIECE, "x.*")
-    return flat.groupBy(*_PIECE, "sample_idx").agg(
-        F.sum("n").alias("n_raw_fixes"), F.max("speed").alias("raw_speed_max_mps"), F.max("accel").alias("raw_accel_max_mps2"), F.max("turn").alias("raw_turn_rate_max_deg_s")
-    )
+    return rows.select(*kept, F.filter(entries, lambda x: x["sample_idx"].isNotNull()).alias("raw"))
+
+
+def raw_dynamics(fixes: DataFrame, dt_s: float = 10.0) -> DataFrame:
+    """For each sample with fixes or steps: ``n_raw_fixes`` and the highest raw speed, acceleration and turn rate, by one aggregation."""
+    flat = raw_entries(fixes, dt_s).select(*_PIECE, F.explode("raw").alias("x")).select(*_PIECE, "x.*")
+    return flat.groupBy(*_PIECE, "sample_idx").agg(*[value(field).alias(name) for name, field, value in RAW])

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from driftline.config import HIGH_ALTITUDE_M, LOW_ALTITUDE_M, NULL_ISLAND_DEG, SegmentConfig
 from driftline.functions.geo import haversine_m
+from driftline.functions.percentile import beside, percentiles, weighted_counts
 from driftline.functions.text import callsign, flag
 from driftline.sources.tables import require, timestamp_column
 
-#: One exchange on these keys serves every window below; a segment lies within one such partition.
+#: One exchange serves every window below; a segment lies within one such partition.
 _AIRCRAFT = ("date", "icao24")
 _SEGMENT = ("date", "icao24", "segment_id")
 _ORDER = ("t", "src_order")
@@ -28,10 +29,24 @@ def fresh(states: DataFrame, max_lag_s: float = 10.0) -> DataFrame:
     return states.where((F.col("time") - F.col("lastposupdate")).between(0, max_lag_s))
 
 
+def dealt(states: DataFrame) -> DataFrame:
+    """The reports by aircraft and day: the one exchange that all steps from here on share.
+
+    Reports without an id would meet in one task; they are spread by their time. Windows
+    have the key ``_aircraft`` in their partition, which is the id wherever there is one.
+    """
+    key = F.when(_has_id(), F.col("icao24")).otherwise(F.concat(F.lit("?"), F.col("t").cast("string")))
+    return states.withColumn("_aircraft", key).repartition("date", "_aircraft")
+
+
+def _first_of_time(states: DataFrame) -> DataFrame:
+    at = Window.partitionBy(*_AIRCRAFT, "_aircraft", "t").orderBy("src_order")
+    return states.where("t IS NOT NULL").withColumn("_n", F.row_number().over(at)).where("_n = 1").drop("_n")
+
+
 def first_reports(states: DataFrame) -> DataFrame:
     """With a time; of several for one aircraft and time, the first in file order."""
-    at = Window.partitionBy(*_AIRCRAFT, "t").orderBy("src_order")
-    return states.where("t IS NOT NULL").withColumn("_n", F.row_number().over(at)).where("_n = 1").drop("_n")
+    return _first_of_time(dealt(states)).drop("_aircraft")
 
 
 def altitude(columns: list[str]) -> Column:
@@ -40,12 +55,16 @@ def altitude(columns: list[str]) -> Column:
     return F.coalesce(*[F.col(c) for c in ("geoaltitude", "baroaltitude") if c in columns])
 
 
+def _has_id() -> Column:
+    trimmed = F.trim("icao24")
+    return F.coalesce((trimmed != "") & (F.lower(trimmed) != "nan"), F.lit(False))
+
+
 def _clean_steps() -> list[tuple[str, Column]]:
     """Conditions in the order in which a row fails them."""
-    trimmed = F.trim("icao24")
     island = (F.abs("lat") < NULL_ISLAND_DEG) & (F.abs("lon") < NULL_ISLAND_DEG)
     return [
-        ("missing_id", F.coalesce((trimmed != "") & (F.lower(trimmed) != "nan"), F.lit(False))),
+        ("missing_id", _has_id()),
         ("missing_position", F.col("lat").isNotNull() & F.col("lon").isNotNull()),
         ("bad_position", F.coalesce((F.abs("lat") <= 90) & (F.abs("lon") <= 180) & ~island, F.lit(False))),
         ("on_ground", ~flag(F.col("onground"))),
@@ -72,28 +91,29 @@ def clean_funnel(states: DataFrame) -> DataFrame:
     return judged(states).groupBy("date").agg(F.count(F.lit(1)).alias("rows_before"), *removed, F.count_if(F.col("removed_by").isNull()).alias("rows_after"))
 
 
-def known_callsign() -> Column:
+def known_callsign(also: tuple[str, ...] = ()) -> Column:
     """The last real callsign of the aircraft strictly before a row, over all gaps."""
-    before = Window.partitionBy(*_AIRCRAFT).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*_AIRCRAFT, *also).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
     return F.last(callsign(F.col("callsign")), ignorenulls=True).over(before)
 
 
-def assign_segments(states: DataFrame, gap_split_s: float = 60.0) -> DataFrame:
+def assign_segments(states: DataFrame, gap_split_s: float = 60.0, also: tuple[str, ...] = ()) -> DataFrame:
     """The rows with ``starts_segment, segment_id, segment_start_time, segment_end_time, segment_duration_s``.
 
     A segment starts with an aircraft's first row, after a gap, or when a real callsign
     differs from the last real one. Two segments of an aircraft that start within one
-    second share an id and are one from there on.
+    second share an id and are one from there on. ``also`` are columns, of one value for
+    an aircraft, by which the rows are dealt.
     """
-    aircraft = Window.partitionBy(*_AIRCRAFT).orderBy(*_ORDER)
+    aircraft = Window.partitionBy(*_AIRCRAFT, *also).orderBy(*_ORDER)
     before = F.lag("t").over(aircraft)
     changed = F.lit(False)
     if "callsign" in states.columns:
-        changed = F.coalesce(callsign(F.col("callsign")) != known_callsign(), F.lit(False))
+        changed = F.coalesce(callsign(F.col("callsign")) != known_callsign(also), F.lit(False))
     started = states.withColumn("starts_segment", before.isNull() | (F.col("t") - before > gap_split_s) | changed)
     running = aircraft.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = started.withColumn("_segment", F.sum(F.col("starts_segment").cast("int")).over(running))
-    whole = Window.partitionBy(*_AIRCRAFT, "_segment")
+    whole = Window.partitionBy(*_AIRCRAFT, *also, "_segment")
     timed = numbered.withColumns({"segment_start_time": F.min("t").over(whole), "segment_end_time": F.max("t").over(whole)})
     return timed.withColumns(
         {
@@ -110,13 +130,13 @@ def step_speed(order: Window) -> Column:
     return F.when(dt > 0, F.try_divide(way, dt)).when(dt.isNotNull(), 0.0)
 
 
-def glitch_pass(rows: DataFrame, max_speed_mps: float) -> DataFrame:
+def glitch_pass(rows: DataFrame, max_speed_mps: float, also: tuple[str, ...] = ()) -> DataFrame:
     """Rows with ``_worst``: whether it is the one point of its segment that a pass removes.
 
     That is the point that takes part in most of the steps that are too fast, the
     earliest among equals; none if no step is.
     """
-    order, whole = Window.partitionBy(*_SEGMENT).orderBy(*_ORDER), Window.partitionBy(*_SEGMENT)
+    order, whole = Window.partitionBy(*_SEGMENT, *also).orderBy(*_ORDER), Window.partitionBy(*_SEGMENT, *also)
     fast = rows.withColumns({"_fast": F.coalesce(step_speed(order) > max_speed_mps, F.lit(False)).cast("int"), "_at": F.row_number().over(order)})
     parts = fast.withColumn("_parts", F.col("_fast") + F.coalesce(F.lead("_fast").over(order), F.lit(0)))
     most = parts.withColumn("_most", F.max("_parts").over(whole))
@@ -124,27 +144,27 @@ def glitch_pass(rows: DataFrame, max_speed_mps: float) -> DataFrame:
     return most.withColumn("_worst", (F.col("_most") > 0) & (F.col("_at") == first)).drop("_fast", "_parts", "_most", "_at")
 
 
-def remove_glitches(segments: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
+def remove_glitches(segments: DataFrame, config: SegmentConfig = SegmentConfig(), also: tuple[str, ...] = ()) -> DataFrame:
     """The rows with ``points_removed`` and ``is_persistent``, after so many passes of removing one point a segment.
 
     A segment of which more than a share of the steps stays too fast is persistent; its
     rows stay here, marked, for the accounts.
     """
-    order, whole = Window.partitionBy(*_SEGMENT).orderBy(*_ORDER), Window.partitionBy(*_SEGMENT)
+    order, whole = Window.partitionBy(*_SEGMENT, *also).orderBy(*_ORDER), Window.partitionBy(*_SEGMENT, *also)
     rows = segments.withColumn("_before", F.count(F.lit(1)).over(whole))
     for _ in range(config.glitch_passes):
-        rows = glitch_pass(rows, config.max_speed_mps).where(~F.col("_worst")).drop("_worst")
+        rows = glitch_pass(rows, config.max_speed_mps, also).where(~F.col("_worst")).drop("_worst")
     left = rows.withColumn("_fast", (step_speed(order) > config.max_speed_mps).cast("double"))
     share = F.coalesce(F.avg("_fast").over(whole), F.lit(0.0))
     return left.withColumns({"points_removed": F.col("_before") - F.count(F.lit(1)).over(whole), "is_persistent": share > config.persistent_fraction}).drop("_fast", "_before")
 
 
-def judged_segments(cleaned: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
+def judged_segments(cleaned: DataFrame, config: SegmentConfig = SegmentConfig(), also: tuple[str, ...] = ()) -> DataFrame:
     """The rows with ``is_valid``: long by the duration at its start, with points enough, and fast in the median.
 
     A segment without any velocity fails; without a velocity column speed isn't asked.
     """
-    whole = Window.partitionBy(*_SEGMENT)
+    whole = Window.partitionBy(*_SEGMENT, *also)
     first = F.first("segment_duration_s").over(whole.orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     valid = (first >= config.min_duration_s) & (F.count(F.lit(1)).over(whole) >= config.min_points) & ~F.col("is_persistent")
     if "velocity" in cleaned.columns:
@@ -153,8 +173,13 @@ def judged_segments(cleaned: DataFrame, config: SegmentConfig = SegmentConfig())
 
 
 def segment_points(states: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """All steps from daily reports on, rows of invalid segments still in, marked."""
-    reports = first_reports(with_time(fresh(states, config.max_lag_s)))
+    """All steps from daily reports on, rows of invalid segments still in, marked.
+
+    Rows without an id go first: they are no aircraft, and cleaning would remove them.
+    """
+    with_id = with_time(fresh(states, config.max_lag_s)).where(_has_id()).repartition(*_AIRCRAFT)
+    at = Window.partitionBy(*_AIRCRAFT, "t").orderBy("src_order")
+    reports = with_id.where("t IS NOT NULL").withColumn("_n", F.row_number().over(at)).where("_n = 1").drop("_n")
     return judged_segments(remove_glitches(assign_segments(clean(reports), config.gap_split_s), config), config)
 
 
@@ -163,41 +188,65 @@ def segments_of(states: DataFrame, config: SegmentConfig = SegmentConfig()) -> D
     return segment_points(states, config).where("is_valid").drop("is_valid", "is_persistent", "points_removed", "starts_segment")
 
 
+#: The accounts of a day but for its durations, in the order of ``day_summary``.
+_COUNTS = (
+    "rows_input", "unique_aircraft_input", "rows_after_freshness", "rows_after_basic_cleaning", "rows_removed_glitch_points", "segments_discarded_persistent_violations",
+    "rows_in_discarded_segments", "rows_removed_short_segments", "rows_after_segmentation", "unique_aircraft_output", "num_segments_output",
+)
+
+
 def day_summary(states: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """The accounts of each day, and ``rows_in_discarded_segments``, which no other column has."""
+    """The accounts of each day, and ``rows_in_discarded_segments``, which no other column has.
+
+    The reports are read twice: once for counts of the raw rows, and once through all
+    steps. Of the steps everything comes as weighted counts by channel in one pass: sums
+    have the value 0, a segment's duration its own.
+    """
     raw = states.groupBy("date").agg(
         F.count(F.lit(1)).alias("rows_input"), F.count_distinct(F.coalesce(F.trim("icao24"), F.lit("nan"))).alias("unique_aircraft_input")
     )
-    reports = first_reports(with_time(fresh(states, config.max_lag_s)))
-    fresh_rows = reports.groupBy("date").agg(F.count(F.lit(1)).alias("rows_after_freshness"))
-    cleaned = clean(reports).groupBy("date").agg(F.count(F.lit(1)).alias("rows_after_basic_cleaning"))
-    points = segment_points(states, config)
-    by_segment = points.groupBy("date", "icao24", "segment_id").agg(
+    reports = judged(_first_of_time(dealt(with_time(fresh(states, config.max_lag_s)))))
+    # rows that cleaning removes take no part in the windows of the others: they are aircraft of their own
+    apart = F.col("removed_by").isNotNull()
+    reports = reports.withColumn("_id", F.col("icao24")).withColumn("icao24", F.when(apart, F.concat(F.lit("!"), F.col("src_order").cast("string"))).otherwise(F.col("icao24")))
+    points = judged_segments(remove_glitches(assign_segments(reports, config.gap_split_s, ("_aircraft",)), config, ("_aircraft",)), config, ("_aircraft",))
+    by_segment = points.groupBy("date", "_aircraft", "icao24", "segment_id").agg(
+        F.max(apart).alias("apart"),
         F.count(F.lit(1)).alias("n"),
         F.first("points_removed").alias("removed"),
         F.first("is_persistent").alias("persistent"),
         F.first("is_valid").alias("valid"),
         F.min_by("segment_duration_s", "t").alias("duration"),
     )
-    good = F.when(F.col("valid"), F.col("duration"))
-    ended = by_segment.groupBy("date").agg(
-        F.sum(F.when(~F.col("persistent"), F.col("removed")).otherwise(0)).alias("rows_removed_glitch_points"),
-        F.count_if("persistent").alias("segments_discarded_persistent_violations"),
-        F.sum(F.when(F.col("persistent"), F.col("n") + F.col("removed")).otherwise(0)).alias("rows_in_discarded_segments"),
-        F.sum(F.when(~F.col("persistent") & ~F.col("valid"), F.col("n")).otherwise(0)).alias("rows_removed_short_segments"),
-        F.sum(F.when(F.col("valid"), F.col("n")).otherwise(0)).alias("rows_after_segmentation"),
-        F.count_distinct(F.when(F.col("valid"), F.col("icao24"))).alias("unique_aircraft_output"),
-        F.count_if("valid").alias("num_segments_output"),
-        F.coalesce(F.median(good), F.lit(0.0)).alias("median_segment_duration_s"),
-        F.coalesce(F.avg(good), F.lit(0.0)).alias("mean_segment_duration_s"),
-        F.coalesce(F.max(good), F.lit(0.0)).alias("max_segment_duration_s"),
+    of_aircraft = Window.partitionBy("date", "_aircraft", "icao24").orderBy("segment_id")
+    by_segment = by_segment.withColumn("valid", F.col("valid") & ~F.col("apart")).withColumn("persistent", F.col("persistent") & ~F.col("apart"))
+    kept_before = F.coalesce(F.max("valid").over(of_aircraft.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    by_segment = by_segment.withColumn("first_valid", F.col("valid") & ~kept_before)
+    inside, all_rows = ~F.col("apart"), F.col("n") + F.col("removed")
+    sums = {
+        "rows_after_freshness": all_rows,
+        "rows_after_basic_cleaning": F.when(inside, all_rows),
+        "rows_removed_glitch_points": F.when(inside & ~F.col("persistent"), F.col("removed")),
+        "segments_discarded_persistent_violations": F.when(F.col("persistent"), 1),
+        "rows_in_discarded_segments": F.when(F.col("persistent"), all_rows),
+        "rows_removed_short_segments": F.when(inside & ~F.col("persistent") & ~F.col("valid"), F.col("n")),
+        "rows_after_segmentation": F.when(F.col("valid"), F.col("n")),
+        "unique_aircraft_output": F.when(F.col("first_valid"), 1),
+        "num_segments_output": F.when(F.col("valid"), 1),
+    }
+    channels = {k: (F.lit(0.0), v) for k, v in sums.items()} | {"duration": (F.when(F.col("valid"), F.col("duration")), F.lit(1))}
+    counts = weighted_counts(by_segment, ["date"], channels)
+    of = lambda k, v: F.when(F.col("channel") == k, v)
+    total = F.sum(of("duration", F.col("value") * F.col("n")))
+    ended = counts.groupBy("date").agg(
+        *[F.coalesce(F.sum(of(k, F.col("n"))), F.lit(0)).alias(k) for k in sums],
+        F.coalesce(F.try_divide(total, F.sum(of("duration", F.col("n")))), F.lit(0.0)).alias("mean_segment_duration_s"),
+        F.coalesce(F.max(of("duration", F.col("value"))), F.lit(0.0)).alias("max_segment_duration_s"),
     )
-    joined = raw.join(fresh_rows, "date", "left").join(cleaned, "date", "left").join(ended, "date", "left")
-    counts = [c for c in joined.columns if c not in ("date", "median_segment_duration_s", "mean_segment_duration_s", "max_segment_duration_s")]
-    filled = joined.fillna(0)
-    return filled.select(
+    middle = percentiles(counts, ["date"], {"duration": (0.5,)}).select("date", F.col("x").alias("median_segment_duration_s"))
+    return beside(raw, ended, middle).select(
         "date",
-        *counts,
+        *_COUNTS,
         (F.col("rows_input") - F.col("rows_after_freshness")).alias("rows_removed_freshness"),
         (F.col("rows_after_freshness") - F.col("rows_after_basic_cleaning")).alias("rows_removed_basic_cleaning"),
         "median_segment_duration_s",

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.config import GridConfig
+from driftline.functions.percentile import beside, percentiles, value_counts
 from driftline.operators.grid import on_grid, output_longitudes, pieces
-from driftline.operators.motion import motion, raw_dynamics
+from driftline.operators.motion import motion, raw_entries
 
 _PIECE = ("date", "icao24", "segment_id", "piece")
 REASONS = ("duration", "min_points", "speed", "accel", "turn_rate")
@@ -41,10 +42,10 @@ def all_samples(segments: DataFrame, config: GridConfig = GridConfig()) -> DataF
 
 
 def trajectories(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """The samples of the trajectories that stay, with the raw dynamics between samples."""
-    kept = all_samples(segments, config).where("reason IS NULL").drop("reason")
-    raw = raw_dynamics(pieces(segments, config.max_gap_s), config.dt_s)
-    out = output_longitudes(kept.join(raw, [*_PIECE, "sample_idx"], "left")).withColumns({"n_raw_fixes": F.coalesce("n_raw_fixes", F.lit(0)), "source_segment_id": F.col("segment_id")})
+    """The samples of the trajectories that stay, with the raw dynamics between samples; in the partitioning of the segments."""
+    fixes = raw_entries(pieces(segments, config.max_gap_s), config.dt_s)
+    kept = judged(motion(on_grid(fixes, config)), config).where("reason IS NULL").drop("reason")
+    out = output_longitudes(kept).withColumns({"n_raw_fixes": F.coalesce("n_raw_fixes", F.lit(0)), "source_segment_id": F.col("segment_id")})
     have = set(out.columns)
     order = """date icao24 callsign segment_id trajectory_id source_segment_id sample_idx timestamp dt_s lat_interp lon_interp alt_interp lat_smooth lon_smooth alt_smooth
     is_interpolated speed_mps accel_mps2 accel_vector_mps2 turn_rate_deg_s raw_speed_max_mps raw_accel_max_mps2 raw_turn_rate_max_deg_s n_raw_fixes raw_update_median_s velocity_interp
@@ -62,20 +63,37 @@ def dropped(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame
 
 
 def day_summary(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """The accounts of each day, days without any trajectory too."""
-    split = pieces(segments, config.max_gap_s)
-    read = segments.groupBy("date").agg(F.count(F.lit(1)).alias("input_rows"), F.count_distinct("segment_id").alias("input_segments"))
-    parted = split.where("was_split_by_interp_gap").groupBy("date").agg(F.count_distinct("segment_id").alias("segments_split_by_interp_gap"))
-    lost = dropped(segments, config).groupBy("date").agg(*[F.count_if(F.col("reason") == r).alias(f"dropped_{r}") for r in REASONS])
-    first = F.col("sample_idx") == 0
-    quantiles = []
-    for name, value in (("speed_mps", F.col("speed_mps")), ("accel_mps2", F.abs("accel_mps2")), ("turn_rate_deg_s", F.abs("turn_rate_deg_s"))):
-        quantiles += [F.percentile(value, 0.5).alias(f"median_{name}"), F.percentile(value, 0.95).alias(f"p95_{name}")]
-    made = all_samples(segments, config).where("reason IS NULL").groupBy("date").agg(
-        F.count(F.lit(1)).alias("output_rows"),
-        F.count_if(first).alias("output_trajectories"),
-        F.count_if(first & F.col("exceeds_accel_limit")).alias("flagged_accel"),
-        F.count_if(first & F.col("exceeds_turn_rate_limit")).alias("flagged_turn_rate"),
-        *quantiles,
+    """The accounts of each day, days without any trajectory too.
+
+    Samples and trajectories are counted by value and channel in one pass; counts and
+    exact percentiles come from that. What has no samples is counted on the pieces.
+    """
+    split = pieces(segments.withColumn("_reports", F.count(F.lit(1)).over(Window.partitionBy("date", "icao24", "segment_id", "t"))), config.max_gap_s)
+    by_segment = split.groupBy("date", "icao24", "segment_id").agg(
+        F.sum("_reports").alias("rows"), F.max(F.col("was_split_by_interp_gap").cast("int")).alias("split"), F.count_if(F.col("n_fixes") < 2).alias("tiny")
+    )
+    read = by_segment.groupBy("date").agg(
+        F.sum("rows").alias("input_rows"),
+        F.count(F.lit(1)).alias("input_segments"),
+        F.sum("split").alias("segments_split_by_interp_gap"),
+        F.sum("tiny").alias("tiny"),
     )
-    return read.join(made, "date", "left").join(parted, "date", "left").join(lost, "date", "left").fillna(0)
+    first, stays = F.col("sample_idx") == 0, F.col("reason").isNull()
+    motions = {"speed_mps": F.col("speed_mps"), "accel_mps2": F.abs("accel_mps2"), "turn_rate_deg_s": F.abs("turn_rate_deg_s")}
+    tallies = {
+        "output_rows": stays,
+        "output_trajectories": stays & first,
+        "flagged_accel": stays & first & F.col("exceeds_accel_limit"),
+        "flagged_turn_rate": stays & first & F.col("exceeds_turn_rate_limit"),
+        **{f"dropped_{r}": first & (F.col("reason") == r) for r in REASONS},
+    }
+    channels = {c: F.when(stays, v) for c, v in motions.items()} | {c: F.when(v, 0.0) for c, v in tallies.items()}
+    counts = value_counts(all_samples(segments, config), ["date"], channels)
+    tallied = counts.groupBy("date").agg(*[F.sum(F.when(F.col("channel") == c, F.col("n"))).alias(c) for c in tallies])
+    ranks = percentiles(counts, ["date"], dict.fromkeys(motions, (0.5, 0.95)))
+    names = {(c, p): f"{word}_{c}" for c in motions for word, p in (("median", 0.5), ("p95", 0.95))}
+    ranks = ranks.groupBy("date").agg(*[F.max(F.when((F.col("channel") == c) & (F.col("p") == p), F.col("x"))).alias(n) for (c, p), n in names.items()])
+    found = beside(read, tallied, ranks)
+    out = ["output_rows", "output_trajectories", "flagged_accel", "flagged_turn_rate", *names.values(), "segments_split_by_interp_gap"]
+    dropped_counts = [(F.col(f"dropped_{r}") + (F.col("tiny") if r == "min_points" else 0)).alias(f"dropped_{r}") for r in REASONS]
+    return found.select("date", "input_rows", "input_segments", *out, *dropped_counts)

@@ -63,6 +63,7 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     lon = F.when(u % 5 == 0, F.when(east >= 180.0, east - 360.0).otherwise(east)).otherwise(F.lit(-75.0) + F.col("t") * F.lit(0.0001))
     lat = F.lit(40.0) + number(u) * F.lit(0.01) + F.col("t") * F.lit(55.0) / F.lit(111320.0) + F.when(F.col("value") > 200, F.lit(0.05)).otherwise(F.lit(0.0))
     lag = F.when(e % 23 == 0, F.lit(15.0)).otherwise(number(e % 9))
+    e_again = F.col("src_order") % 29 == 0
     once = raw.select(
         F.expr("date_add(DATE '2022-06-06', cast(7 * (user_id % 4) AS int))").alias("date"),
         F.when(e % 31 == 0, F.lit(" ")).otherwise(F.lpad(F.lower(F.hex("user_id")), 6, "0")).alias("icao24"),
@@ -79,5 +80,7 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 17 == 0, F.lit("True")).when(e % 2 == 0, F.lit("false")).otherwise(F.lit(None)).alias("onground"),
         e.alias("src_order"),
     )
-    again = once.where("src_order % 29 = 0").withColumns({"time": F.col("time") + 1, "velocity": F.col("velocity") + 1, "src_order": F.col("src_order") + 1000000000})
-    return once.union(again)
+    # some reports come again; both rows are of one read
+    twice = once.withColumn("_again", F.explode(F.when(e_again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    again = F.col("_again")
+    return twice.withColumns({"time": F.col("time") + again, "velocity": F.col("velocity") + again, "src_order": F.col("src_order") + again * F.lit(1000000000)}).drop("_again")

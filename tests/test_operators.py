@@ -1,17 +1,21 @@
 """Hand-sized rows with the results written out."""
 
 import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from driftline.config import GridConfig, SegmentConfig
+from driftline.functions.percentile import medians, percentiles, value_counts
 from driftline.functions.text import flag, spacing_tag
 from driftline.operators import classify, gates, grid, motion, segments, states, verdict
 from driftline.plans import pipeline
+from driftline.plans.queries import QUERIES
 from driftline.sources import tables
 
+SF = "/root/testdata/sf0.001"
 FIXES = "date string, icao24 string, callsign string, t double, lat double, lon double, alt double, velocity double, heading double, src_order long"
 
 
@@ -97,6 +101,42 @@ def test_one_exchange_serves_all_windows(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
 
 
+def scans_and_wide_exchanges(df):
+    """Reads of files, and exchanges of what wasn't aggregated before."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = plan.split("\n")
+    wide = [k for k, x in enumerate(lines) if "Exchange hashpartitioning" in x and "Reused" not in x and not any("Aggregate" in y for y in lines[k + 1 : k + 3])]
+    return len(re.findall(r"FileScan parquet|Scan parquet", plan)), len(wide)
+
+
+def test_summaries_and_trajectories_in_few_passes(spark):
+    assert scans_and_wide_exchanges(QUERIES["valid_segments"](spark, SF)) == (1, 1)
+    assert scans_and_wide_exchanges(QUERIES["trajectory_table"](spark, SF)) == (1, 1)
+    for name in ("stage3_summary", "stage4_summary"):
+        assert scans_and_wide_exchanges(QUERIES[name](spark, SF))[0] <= 2
+
+
+def test_exact_percentiles_as_in_numpy(spark):
+    r = np.random.default_rng(5)
+    groups = {"a": r.gamma(2, 30, 4000), "b": np.round(r.normal(0, 2, 999), 1), "c": np.array([7.5]), "d": np.array([-1e300, 0.0, 1e-300, 5.0]), None: np.repeat([1.0, 2.0], [3, 5])}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("a", None), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    ps = (0.0, 0.05, 0.5, 0.95, 0.99, 1.0)
+    found = percentiles(value_counts(df, ["g"], {"x": F.col("x"), "y": -F.col("x")}), ["g"], {"x": ps, "y": (0.5,)}).collect()
+    assert len(found) == len(groups) * 7
+    for f in found:
+        want = np.percentile(groups[f.g] * (1 if f.channel == "x" else -1), 100 * f.p)
+        assert math.isclose(f.x, want, rel_tol=1e-12, abs_tol=1e-12), f
+    assert medians(df.where("x IS NULL"), F.col("x")).collect() == []
+
+
+def test_reports_without_an_id_are_spread(spark):
+    rows = spark.range(4000).selectExpr("'2022-06-06' AS date", "' ' AS icao24", "cast(id AS double) AS t", "id AS src_order")
+    sizes = [r[0] for r in segments.dealt(rows).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 2000 and segments.first_reports(rows).count() == 4000
+
+
 def gridded(spark, rows, config=GridConfig()):
     seg = segments.assign_segments(fixes(spark, rows)).drop("starts_segment")
     return grid.on_grid(grid.pieces(seg, config.max_gap_s), config).orderBy("trajectory_id", "sample_idx")
