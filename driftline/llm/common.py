@@ -86,6 +86,14 @@ def discard_all(spark: SparkSession) -> None:
     delete_path(spark, f"{shared_dir(spark)}/driftline/{spark.sparkContext.applicationId}")
 
 
+def free_name(columns: list[str], stem: str) -> str:
+    """``stem``, or that with lines after it, so that no column has the name."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def ascii_lower(column):
     """Lower-case A-Z only; other letters stay.
 

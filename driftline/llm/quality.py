@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm.common import materialise, read_table
-from driftline.llm.words import texts, windows
+from driftline.llm.words import SPACE, LongText, Texts, parts_of, texts, windows
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WORDS = 8
@@ -31,26 +33,26 @@ CHI2_MEDIAN, CHI2_LIMIT = 4.351, 20.515
 
 
 def text_statistics(docs: DataFrame, text: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """``doc_id``, the columns of ``carry``, and counts over the whole text; a null text has no words."""
-    symbols, letters, space = (np.zeros(256, bool) for _ in range(3))
+    """``doc_id``, the columns of ``carry``, and counts over the whole text; a null text has no words, a very long one is read in parts."""
+    symbols, letters = np.zeros(256, bool), np.zeros(256, bool)
     symbols[list(SYMBOLS)] = True
     letters[:128] = letters[192:] = True  # a code point's first byte
-    space[[32, 9, 10, 11, 12, 13]] = True
+
+    def counts_of(found: Texts) -> list[np.ndarray]:
+        return [np.diff(found.first), found.sums(letters & ~SPACE), found.sums(symbols)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, found in texts(batch.column(batch.num_columns - 1)):
-                lines, repeated = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
-                hashes, whole = windows(found.hashes(), found.first, REPEAT_WORDS)
-                owner = found.text_of_words()
-                keys = (hashes + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[whole]
-                order = np.argsort(keys)
-                equal = np.flatnonzero(keys[order][1:] == keys[order][:-1])
-                for k in np.unique(owner[whole][order[equal]]):
-                    repeated[k] = repeated_words(found.data[found.offsets[k] : found.offsets[k + 1]].tobytes().split())
-                for k in range(b - a):
-                    lines[k] = repeated_lines(found.data[found.offsets[k] : found.offsets[k + 1]].tobytes())
-                counts = [np.diff(found.first), found.sums(letters & ~space), found.sums(symbols), lines, repeated]
+                if isinstance(found, LongText):
+                    counts = [np.sum(x, axis=0) for x in zip(*(counts_of(part) for _, _, part in found.parts(0)))]
+                    counts += [np.array([x]) for x in (repeated_lines(found.data.tobytes()), repeated_words(found.data.tobytes()))]
+                else:
+                    whole = [found.data[x:y].tobytes() for x, y in zip(found.offsets[:-1], found.offsets[1:])]
+                    repeated = np.zeros(b - a, np.int64)
+                    for k in _with_repeats(found):
+                        repeated[k] = repeated_words(whole[k])
+                    counts = [*counts_of(found), np.array([repeated_lines(x) for x in whole]), repeated]
                 rest = [c.slice(a, b - a) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c.astype(np.int64)) for c in counts)], names=names)
 
@@ -60,16 +62,45 @@ def text_statistics(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     return source.mapInArrow(run, ", ".join([*kinds, *(f"{n} long" for n in names[len(kinds) :])]))
 
 
-def repeated_words(words: list[bytes], n: int = REPEAT_WORDS) -> int:
-    """Words in windows of ``n`` words that a text has twice or more, the first of them included."""
-    where: dict[tuple, list[int]] = {}
-    for k in range(len(words) - n + 1):
-        where.setdefault(tuple(words[k : k + n]), []).append(k)
-    marked, end = 0, 0
-    for k in sorted(k for at in where.values() if len(at) > 1 for k in at):
-        marked += k + n - max(k, end)
-        end = k + n
-    return marked
+def _with_repeats(found: Texts) -> np.ndarray:
+    """Numbers of the texts that may have a window twice: two hashes of it are equal."""
+    hashes, _ = windows(found.hashes(), found.first, REPEAT_WORDS)
+    whole, owner = found.whole(REPEAT_WORDS), found.text_of_words()
+    keys = (hashes + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[whole]
+    order = np.argsort(keys)
+    equal = np.flatnonzero(keys[order][1:] == keys[order][:-1])
+    return np.unique(owner[whole][order[equal]])
+
+
+def repeated_words(text: bytes, n: int = REPEAT_WORDS) -> int:
+    """Words in windows of ``n`` words that a text has twice or more, the first of them included.
+
+    Eight bytes a window tell those whose hash comes twice; only of these are the words
+    looked at, a few at a time.
+    """
+    hashes = []
+    for _, own, part in parts_of(text, n - 1):
+        values, _ = windows(part.hashes(), part.first, n)
+        hashes.append(values[part.whole(n)][:own])
+    hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    twice = np.zeros(len(hashes), bool)
+    equal = ordered[1:] == ordered[:-1]
+    twice[1:] |= equal
+    twice[:-1] |= equal
+    asked = np.sort(order[twice])  # windows whose hash comes twice
+    digests = []
+    for word, own, part in parts_of(text, n - 1):
+        here = asked[(asked >= word) & (asked < word + own)] - word
+        if len(here):
+            joined, at = part.joined()
+            view = memoryview(joined)
+            digests += [blake2b(view[x:y], digest_size=16).digest() for x, y in zip(at[here].tolist(), (at[here + n] - 1).tolist())]
+    times = Counter(digests)
+    starts = asked[[times[d] > 1 for d in digests]] if digests else asked
+    # windows overlap: of each, the words after the end of the one before it count
+    return int(np.minimum(np.diff(starts), n).sum()) + n if len(starts) else 0
 
 
 def repeated_lines(text: bytes) -> int:

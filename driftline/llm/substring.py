@@ -303,6 +303,7 @@ class FingerprintIndex:
         ranked = materialise(places.withColumn("nth", F.rank().over(same)), "ranked")
         first = ranked.where("nth = 1")
         several = first.groupBy("key").agg(F.min("span").alias("low"), F.max("span").alias("high")).where("low <> high").select("key")
+        several = materialise(several, "several")  # so that the join below can part a hot anchor's places
         unsure = materialise(first.join(several, "key", "left_semi").select("doc", "at", "is_new"), "unsure")
         by_doc = unsure.groupBy("doc").agg(F.collect_list("at").alias("places"))
         every = docs if earlier is None else docs.union(earlier)
@@ -315,7 +316,7 @@ class FingerprintIndex:
         marks = ranked.where("nth > 1 AND is_new").select("doc", "at").union(batch.where("later").select("doc", "at"))
         marks = marks.union(unsure.where("is_new").select("doc", F.col("at").bitwiseOR(F.lit(PERHAPS << _KIND)))).union(earliest)
         found = materialise(marks.groupBy("doc").agg(F.collect_list("at").alias("marks")), "marks")
-        discard(repeated, ranked, unsure)
+        discard(repeated, ranked, several, unsure)
         self.names.append(name)
         self.highest = high if self.highest is None else max(self.highest, high if high is not None else self.highest)
         self._commit()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm.common import materialise, read_table
-from driftline.llm.words import Texts, texts
+from driftline.llm.words import LongText, Texts, texts
 
 #: Labelled rows that the classifier is fitted on: at most so many of either label, of texts up to so many bytes.
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_BYTES = 1500, 2500, 16384
@@ -73,23 +73,40 @@ class Model:
             out.append(made)
         return np.concatenate(out, axis=1)
 
-    def logits(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def pooled(self, buckets: np.ndarray, first: np.ndarray, places: int | None = None) -> np.ndarray:
+        """For each text, each filter's highest activation; at the first ``places`` of a single text, if given."""
         vectors, begins = self.padded(buckets, first)
         # places from a text's first to the one after its last word; what starts later would reach into the next text
-        cuts = np.stack([begins[:-1], begins[1:] - max(FILTERS) + 1], axis=1).ravel()
-        pooled = np.maximum(np.maximum.reduceat(self.activations(vectors), cuts, axis=0)[::2], 0)
-        return pooled @ self.last + self.bias
+        ends = begins[1:] - max(FILTERS) + 1 if places is None else begins[:-1] + places
+        cuts = np.stack([begins[:-1], ends], axis=1).ravel()
+        return np.maximum(np.maximum.reduceat(self.activations(vectors), cuts, axis=0)[::2], 0)
 
-    def language(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """The likeliest language of each text by its words; of a text without words the first."""
+    def logits(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return self.pooled(buckets, first) @ self.last + self.bias
+
+    def language_sums(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """For each text and language, the log-likelihood of its words."""
         total = np.zeros((len(buckets) + 1, self.languages.shape[1]))
         np.cumsum(self.languages[buckets[:, 0]], axis=0, out=total[1:])
-        return (total[first[1:]] - total[first[:-1]]).argmax(axis=1)
+        return total[first[1:]] - total[first[:-1]]
 
-    def scores(self, found: Texts) -> np.ndarray:
-        """0 to 1, moved so that the threshold of the text's language comes to ``PREDICT_FROM``."""
-        buckets = _buckets(found)
-        moved = self.logits(buckets, found.first) + self.shifts[self.language(buckets, found.first)]
+    def language(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The likeliest language of each text by its words; of a text without words the first."""
+        return self.language_sums(buckets, first).argmax(axis=1)
+
+    def scores(self, found: Texts | LongText) -> np.ndarray:
+        """0 to 1, moved so that the threshold of the text's language comes to ``PREDICT_FROM``; a long text is pooled over its parts."""
+        if isinstance(found, LongText):
+            best, sums = None, 0
+            for _, own, part in found.parts(max(FILTERS) - 1):
+                buckets, n = _buckets(part), len(part.starts)
+                here = self.pooled(buckets, np.array([0, n]), own if own < n else None)
+                best = here if best is None else np.maximum(best, here)
+                sums = sums + self.language_sums(buckets[:own], np.array([0, own]))
+            moved = best @ self.last + self.bias + self.shifts[sums.argmax(axis=1)]
+        else:
+            buckets = _buckets(found)
+            moved = self.logits(buckets, found.first) + self.shifts[self.language(buckets, found.first)]
         return 1 / (1 + np.exp(-np.clip(moved, -30, 30)))
 
 
@@ -187,7 +204,11 @@ def fit(data: list[bytes], labels: np.ndarray, langs: list[str | None], seed: in
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """``text, lang, toxic`` of a bounded sample: the ids of least hash, of those whose rows ``train`` allows."""
+    """``text, lang, toxic`` of a bounded sample: the ids of least hash, of those whose rows ``train`` allows.
+
+    Of several rows of an id the one of least text is taken, and of several labels the
+    highest, so the sample is the same in any order of the rows.
+    """
     known = labels.where(train & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").alias("toxic"))
     texts_of = docs.where(train).select(F.col(id_col).alias("_id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"))
     texts_of = texts_of.where(F.octet_length("text") <= TRAIN_BYTES)
@@ -196,7 +217,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, text: str
     ids = materialise(ids, "labelled")
     chosen = ids.where("toxic = 1").orderBy(*order).limit(TOXIC_ROWS).union(ids.where("toxic = 0").orderBy(*order).limit(CLEAN_ROWS))
     chosen = materialise(chosen, "chosen")  # at most TOXIC_ROWS + CLEAN_ROWS rows
-    return texts_of.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).orderBy(*order).select("text", "lang", "toxic")
+    least = texts_of.join(F.broadcast(chosen), "_id").groupBy("_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("x"))
+    return least.orderBy(*order).select("x.text", "x.lang", "toxic")
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> Model | None:
@@ -204,20 +226,26 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str
     return fit([bytes(r.text) for r in rows], np.array([r.toxic for r in rows], np.int64), [r.lang for r in rows])
 
 
-def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text", columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of each row and ``score``, of the whole text alone; null counts as empty. Without a model it is 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text", columns: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
+    """``columns`` of each row and ``score``, of the whole text alone. Without a model it is 0.
+
+    A null text counts as empty, and an empty one is scored like any other. Equal texts
+    have equal scores; repeated rows come out as often as they go in; a very long text is
+    read in parts; an empty table gives no rows.
+    """
+    shared, n = docs.sparkSession.sparkContext.broadcast(model), len(columns)
+    names = [f"c{k}" for k in range(n + 1)]  # whatever the columns are called
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for a, b, found in texts(batch.column(batch.num_columns - 1), _CHUNK_BYTES, _SPACE, _LETTERS):
+            for a, b, found in texts(batch.column(n), _CHUNK_BYTES, _SPACE, _LETTERS):
                 scores = np.zeros(b - a) if known is None else known.scores(found).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:-1]), pa.array(scores)], names=[*columns, "score"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:n]), pa.array(scores)], names=names)
 
-    source = docs.select(*columns, F.col(text).cast("binary").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("_text").schema)
-    return source.mapInArrow(run, f"{kinds}, score double")
+    source = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(columns, names)], F.col(text).cast("binary").alias("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.drop("text").schema)
+    return source.mapInArrow(run, f"{kinds}, {names[-1]} double").toDF(*columns, score)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -1,7 +1,11 @@
+import math
 import random
 import re
 
+import numpy as np
+
 from driftline.llm import quality as q
+from driftline.llm import words
 
 
 def brute(text):
@@ -23,6 +27,61 @@ def test_counts(spark):
     assert {r.doc_id: tuple(r)[3:] for r in found} == {k: brute(t) for k, t, _, _ in rows}
 
 
+def test_long_texts_in_parts(monkeypatch):
+    r = random.Random(9)
+    for size in (40, 200, 1 << 20):
+        monkeypatch.setattr(words, "LONG_BYTES", size)
+        for _ in range(60):
+            text = " ".join(r.choice(["a", "b", "ccc", "d" * 70]) for _ in range(r.randrange(60)))
+            assert q.repeated_words(text.encode()) == brute(text)[4]
+
+
+def plain_mcd(x, floors, subset, steps):
+    """Concentration steps for one group in plain numpy, on the same grid of features."""
+    centre, inverse = np.median(x, axis=0), np.diag(1 / (np.array(floors) * 256) ** 2)
+    distance = lambda: np.einsum("ij,jk,ik->i", x - centre, inverse, x - centre)
+    determinants = []
+    for _ in range(steps):
+        d = np.round(64 * np.log1p(distance()))
+        near = x[d <= np.quantile(d, subset)]
+        centre, spread = near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(np.square(floors)) * 256**2
+        inverse = np.linalg.inv(spread)
+        determinants.append(np.linalg.slogdet(spread)[1])
+    d = distance()
+    middle = np.exp(np.median(np.round(64 * np.log1p(d))) / 64) - 1
+    return d * min(1, q.CHI2_MEDIAN / middle), determinants
+
+
+def test_distances_as_in_plain_numpy(spark):
+    r = random.Random(6)
+    rows = [(k, " ".join("x" * r.randrange(1, 9) + r.choice(["", "", "#"]) for _ in range(r.randrange(20, 200))), "en", "s") for k in range(300)]
+    rows += [(1000 + k, "| # x\n" * (30 + k), "en", "s") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {f.doc_id: f for f in q.robust_outliers(q.text_statistics(docs)).collect()}
+    stats = {k: brute(t) for k, t, _, _ in rows}
+    fit = [k for k, v in stats.items() if v[0] >= 20 and 100 * v[4] <= 30 * v[0]]
+    features = lambda n, chars, symbols, lines, repeats: [math.log1p(n), min(chars / n, 64), math.sqrt(min(symbols / n, 64)), math.log1p(lines), math.sqrt(repeats / n)]
+    x = np.array([[math.floor(v * 256 + 0.5) for v in features(*stats[k])] for k in fit], float)
+    want, determinants = plain_mcd(x, q.FLOORS, q.SUBSET, q.C_STEPS)
+    assert determinants == sorted(determinants, reverse=True)
+    assert np.allclose([found[k].distance for k in fit], want, rtol=1e-6)
+    assert [found[k].kept for k in fit] == (want <= q.CHI2_LIMIT).tolist()
+
+
+def test_query(spark, tmp_path):
+    r = random.Random(7)
+    rows = [(k, " ".join(r.choice(["a", "bb", "c#", "é\n", "the same eight words as all the others"]) for _ in range(r.randrange(60))), r.choice(["en", None]), r.choice(["s", "t", None])) for k in range(300)]
+    rows += [(None, None, None, None), (3, rows[3][1], "en", "s"), (900, "", "en", "s")]
+    spark.createDataFrame([(*x, "clash", True) for x in rows], "doc_id long, text string, lang string, source string, n_words string, kept boolean").write.parquet(f"{tmp_path}/documents.parquet")
+    found = q.op7_quality(spark, str(tmp_path)).collect()
+    want = []
+    for k, text, _, _ in rows:
+        n = brute(text)
+        want.append((k, *n, n[0] < 20 or 100 * n[4] > 30 * n[0]))
+    assert sorted((tuple(x)[:7] for x in found), key=str) == sorted(want, key=str)
+    assert not any(x.kept and x.base_failed for x in found) and any(x.kept for x in found)
+
+
 def test_verdicts(spark):
     r = random.Random(4)
     rows = []
