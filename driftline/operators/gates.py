@@ -43,12 +43,31 @@ def consistency(summary: DataFrame) -> DataFrame:
     return found.withColumn("is_flagged", F.coalesce((F.col("median_fraction") > 0) & off, F.lit(False)))
 
 
-def segment_speeds(points: DataFrame, seed: int = 1, n: int = 3) -> DataFrame:
-    """Slowest, median and fastest step of ``n`` segments, chosen by a seeded hash."""
-    chosen = points.select(*_SEGMENT).distinct().orderBy(F.xxhash64(F.lit(seed), *_SEGMENT), *_SEGMENT).limit(n)
-    rows = points.join(F.broadcast(chosen), [*_SEGMENT], "left_semi")  # n rows
+def _some(rows: DataFrame, keys: tuple[str, ...], n: int, seed: int) -> DataFrame:
+    """All rows of ``n`` groups, those of least seeded hash."""
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    chosen = rows.select(*keys).distinct().orderBy(order, *keys).limit(n)
+    return rows.join(F.broadcast(chosen), list(keys), "left_semi")  # n rows
+
+
+def segment_speeds(points: DataFrame, n: int = 3, seed: int = 1, config: SegmentConfig = SegmentConfig()) -> DataFrame:
+    """Slowest, median and fastest step of ``n`` segments by a seeded choice, and whether none is too fast."""
     speed = seg.step_speed(Window.partitionBy(*_SEGMENT).orderBy("t", "src_order"))
-    return rows.withColumn("v", speed).groupBy(*_SEGMENT).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min_mps"), F.median("v").alias("median_mps"), F.max("v").alias("max_mps"))
+    found = _some(points, _SEGMENT, n, seed).withColumn("v", speed).groupBy(*_SEGMENT)
+    found = found.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min_mps"), F.median("v").alias("median_mps"), F.max("v").alias("max_mps"))
+    return found.withColumn("is_ok", F.coalesce(F.col("max_mps") < config.max_speed_mps, F.lit(False)))
+
+
+def trajectory_extremes(samples: DataFrame, n: int = 3, seed: int = 1) -> DataFrame:
+    """Samples, duration and the strongest motion of ``n`` trajectories by a seeded choice."""
+    keys = ("date", "trajectory_id")
+    return _some(samples, keys, n, seed).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_samples"),
+        F.max("trajectory_duration_s").alias("duration_s"),
+        F.max("speed_mps").alias("max_speed_mps"),
+        F.max(F.abs("accel_mps2")).alias("max_accel_mps2"),
+        F.max(F.abs("turn_rate_deg_s")).alias("max_turn_rate_deg_s"),
+    )
 
 
 def cruise_anchor(points: DataFrame) -> DataFrame:

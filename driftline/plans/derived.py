@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Manufacturer, model and type code; part k takes row k modulo their number.
-AIRCRAFT = (
+AIRCRAFT: tuple[tuple[str | None, str | None, str | None], ...] = (
     ("CESSNA", "172S", "L1P"),
     ("Cessna ", "172n", "H1P"),
     ("CESSNA", "310R", "L2T"),
@@ -41,6 +41,30 @@ AIRCRAFT = (
     ("CESSNA", "172 ROTORCRAFT", "L1P"),
     (None, None, None),
 )
+#: By manufacturer, further models: kept, left out, trusted in spite of a type code, too large.
+_MODELS = {
+    "CESSNA": "140 T206H 337F 400 CITATION BIRD-DOG BIRDDOG T-41B O1A O-2 L-19A L-19 208B 525 AGHUSKY U206 182RG 402C 414A 421 18 1721",
+    "REIMS": "F172 FR172 F406",
+    "PIPER": "PA28 PA.32 PA-44 PA-281 J3C-65 J5A L4J L-21B CUB COLT SENECA NAVAJO PA-31-350 CHEYENNE M600 PA-25 PA36 PA-42 PA-46-500TP E-2 SUPERCUB PACERX",
+    "BEECH": "A36 BARON SIERRA DUKE B60 A60 QUEENAIR 70 88 65 A90 UTE T6A L23D AT7 AT-11 T-34A C12 D18S V35B DEBONAIR TRAVELAIR 58P SKIPPER KINGAIR",
+    "RAYTHEON": "G36 BEECHJET 1900",
+    "CIRRUS": "SR20 SR22T SF50 JET VISION SR-21",
+    "MOONEY": "M20 M.20 M-18 M10 M22 M-20TN MX",
+    "SOCATA": "TB9 TB-10 TB.21 TB200 TB30 RALLYE ST-10 ST10 TBM700 TB201",
+    "ROBIN": "DR400 DR-300 DR.500 HR200 HR-100 R2160 R-3000 ATL DR4001 R1180 XDR400",
+    "DIAMOND": "DA20 DA-42 DA62 DV20 KATANA TWINSTAR HK36 DIMONA DA201 DA-50",
+    "BELLANCA": "8KCAB 8GCBC 14-19 17-30 17-31A CITABRIA DECATHLON CH300 CH-400 TRAVELER TRAVELLER KITFOX RANS GLASAIR RV7 SCOUT 7ABCDEF",
+    "CHAMPION": "7EC CHAMP VANS LANCAIR SEDAN",
+    "AERONCA": "7AC 11BC 15AC K KC C-3 C2 LC 65-CA 65TAC CHAMPION DEFENDER PT-19 PT23 O-58B L3B L-16A GRASSHOPPER 11ABCD",
+    "TAYLORCRAFT": "BC BC-65 BC12D BL-65 BF BCS12 DCO-65 DF-65 DL65 F19 F-21B F22 19 20 PLUSD SPORTSMAN AUSTER TWOSOME",
+    "LUSCOMBE": "8 8E 8FX 11A 11E SILVAIRE PHANTOM 8ABC",
+    "STINSON": "108 10A VOYAGER RELIANT HW-75 SR-9 SR10 L-13 L1F AT-19 BT13 PBY 1080",
+    "CONVAIR VULTEE": "VALIANT 108 SNV",
+    "BOEING": "172 PA-28",
+}
+_TYPES = ("L1P", "L2J", "H1T", None, "L2P", "L1T", "l1p ")
+AIRCRAFT += tuple((maker, model, _TYPES[k % len(_TYPES)]) for maker, models in _MODELS.items() for k, model in enumerate(models.split()))
+AIRCRAFT += (("CESSNA", "172 BALLOON", "L1P"), ("BEECH", "TWIN BONANZA 50", "L2J"), ("DIAMOND", "DIAMOND STAR", "L1P"), ("STINSON", "108 GYROPLANE", "L1P"))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from driftline.operators.rules import HEX_ID, MILITARY, NEVER, RULES, TYPE_CODE
 from driftline.plans.derived import AIRCRAFT
+from driftline.plans.rule_sql import BASE, HEX, STRICT
 
 
 def _text(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
 
-def _found(column: str, pattern: str) -> str:
-    """This engine has no look-around: a neighbour that isn't a digit is matched instead."""
-    plain = pattern.replace("(?<![0-9])", "(^|[^0-9])").replace("(?![0-9])", "([^0-9]|$)")
-    return f"regexp_matches({column}, {_text(plain)})" if pattern else "false"
-
-
-_KEEP = " OR ".join(f"({_found('maker', r.brand)} AND {_found('mdl', r.keep)} AND NOT {_found('mdl', r.drop)})" for r in RULES)
-_TRUSTED = " OR ".join(f"({_found('maker', r.brand)} AND {_found('mdl', r.trusted)})" for r in RULES if r.trusted)
-_LARGE = " OR ".join(f"({_found('maker', r.brand)} AND {_found('mdl', r.too_large)})" for r in RULES if r.too_large)
-
 REGISTRY = f"""
 aircraft(k, manufacturername, model, icaoaircrafttype) AS (VALUES {", ".join(f"({k}, {', '.join(map(_text, a))})" for k, a in enumerate(AIRCRAFT))}),
 registry AS (
@@ -27,9 +17,7 @@ registry AS (
   FROM (SELECT p_partkey, printf('%06x', p_partkey) AS key FROM part) p JOIN aircraft a ON p.p_partkey % {len(AIRCRAFT)} = a.k
 ),
 marked AS (
-  SELECT *, ({_KEEP}) AND NOT {_found("mdl", NEVER)} AS is_base,
-    {_found("mdl", MILITARY)} OR ({_found("typ", TYPE_CODE)} AND NOT ({_TRUSTED})) OR ({_LARGE}) AS is_strict,
-    regexp_matches(trim(coalesce(icao24, '')), '{HEX_ID}') AS is_hex
+  SELECT *, {BASE} AS is_base, {STRICT} AS is_strict, {HEX} AS is_hex
   FROM (SELECT *, trim(upper(coalesce(manufacturername, ''))) AS maker, trim(upper(coalesce(model, ''))) AS mdl, trim(upper(coalesce(icaoaircrafttype, ''))) AS typ FROM registry)
 ),
 flags AS (SELECT *, is_base AND NOT is_strict AND is_hex AS is_kept FROM marked),
@@ -293,6 +281,17 @@ ORACLES = {
     "consistency_flag": f"""WITH {_SUMMARY3}, sh AS (SELECT date, 1.0::DOUBLE - rows_after_segmentation::DOUBLE / rows_input AS f FROM summary), md AS (SELECT median(f) AS m FROM sh)
 SELECT date, round(f, 6) AS removed_fraction, round(m, 6) AS median_fraction, m > 0 AND (f > 2 * m OR f < m / 2) AS is_flagged FROM sh, md""",
     "segment_speeds": f"WITH {VALID}, sv AS (SELECT date, icao24, segment_id, {_SPEED} AS w FROM val {_G}) SELECT segment_id, round(min(w), 6) AS min_mps, round(median(w), 6) AS median_mps, round(max(w), 6) AS max_mps FROM sv GROUP BY segment_id",
+    "segment_spot_check": f"""WITH {VALID}, sv AS (SELECT date, icao24, segment_id, {_SPEED} AS w FROM val {_G}),
+c AS (SELECT DISTINCT date, icao24, segment_id FROM val ORDER BY md5('1|' || CAST(date AS VARCHAR) || '|' || icao24 || '|' || segment_id) LIMIT 3)
+SELECT CAST(date AS VARCHAR) AS date, segment_id, count(*) AS n, round(min(w), 6) AS min_mps, round(median(w), 6) AS median_mps, round(max(w), 6) AS max_mps, max(w) < {_LIMIT} AS is_ok
+FROM sv JOIN c USING (date, icao24, segment_id) GROUP BY date, icao24, segment_id""",
+    "trajectory_spot_check": f"""WITH {SAMPLES}, c AS (SELECT DISTINCT date, trajectory_id FROM samples ORDER BY md5('1|' || CAST(date AS VARCHAR) || '|' || trajectory_id) LIMIT 3)
+SELECT CAST(date AS VARCHAR) AS date, trajectory_id, count(*) AS n_samples, round(max(trajectory_duration_s), 6) AS duration_s, round(max(speed_mps), 6) AS max_speed_mps, round(max(abs(accel_mps2)), 6) AS max_accel_mps2,
+  round(max(abs(turn_rate_deg_s)), 6) AS max_turn_rate_deg_s FROM samples JOIN c USING (date, trajectory_id) GROUP BY date, trajectory_id""",
+    "track_pick": f"""WITH {SAMPLES}, f AS (SELECT date, trajectory_id, avg(CASE WHEN is_interpolated THEN 1.0 ELSE 0.0 END) AS s, any_value(n_samples) AS n_samples FROM samples GROUP BY ALL),
+g AS (SELECT *, s BETWEEN 0.05 AND 0.25 AND n_samples BETWEEN 150 AND 400 AS ok FROM f)
+SELECT CAST(date AS VARCHAR) AS date, trajectory_id, round(s, 6) AS filled_fraction, n_samples, ok AS is_pick FROM g
+ORDER BY ok DESC, CASE WHEN ok THEN 0 ELSE -s END, trajectory_id LIMIT 1""",
     "cruise_anchor": f"WITH {VALID} SELECT round(median(velocity), 6) AS median_velocity, median(velocity) BETWEEN 45 AND 75 AS in_range FROM val",
     "gap_subsegments": f"WITH {PIECES} SELECT src_order, trajectory_id, n_fixes, was_split_by_interp_gap FROM pieces",
     "lon_unwrap": f"WITH {PIECES} SELECT src_order, round(lon_u, 6) AS lon_u FROM pieces",

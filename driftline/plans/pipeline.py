@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from driftline.config import GridConfig, SegmentConfig
 from driftline.functions.text import spacing_tag
 from driftline.operators import classify, gates, segments, states, verdict
-from driftline.sources import tables
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet if the path ends so or holds it, else CSV."""
-    return tables.read_parquet(spark, path) if path.rstrip("/").endswith(("parquet", "segments", "states")) else tables.read_csv(spark, path)
+from driftline.sources import files, tables
 
 
 def run_classify(spark: SparkSession, registry: str, out: str) -> DataFrame:
@@ -24,60 +21,105 @@ def run_classify(spark: SparkSession, registry: str, out: str) -> DataFrame:
     return classify.funnel(found)
 
 
-def run_states(spark: SparkSession, raw: str, whitelist: str, out: str) -> DataFrame:
-    """Reports of whitelisted aircraft, a folder a day, sorted; returns the days' counts."""
-    reports = tables.with_date(tables.read_csv(spark, raw))
-    tables.require(reports.columns, "icao24", one_of=("time", "lastposupdate"))
+def run_states(spark: SparkSession, raw: str, whitelist: str, out: str, kind: str = "parquet") -> DataFrame:
+    """Reports of whitelisted aircraft, a folder a day, each day in order; returns the days' counts.
+
+    Of the files in ``raw`` only those of states are read. A file with lines but without
+    an id or any time is an error; a file without a line isn't.
+    """
+    found = files.discover_states(spark, raw, whitelist)
+    for file in found:
+        if names := files.header(spark, file):
+            tables.require(list(names), "icao24", one_of=("time", "lastposupdate"))
+    reports = tables.with_date(tables.read_csv(spark, [f.path for f in found]))
     keys = states.whitelist_keys(tables.read_csv(spark, whitelist, numbers=()))
-    order = tables.timestamp_column(reports.columns, "time", "lastposupdate")
-    tables.write_days(states.of_whitelist(reports, keys), out, "icao24", order, "src_order")
-    return states.day_summary(spark.read.parquet(out))
+    order = F.col(tables.timestamp_column(reports.columns, "time", "lastposupdate")).asc_nulls_last()
+    days = sorted({files.date_of(f.name) for f in found})
+    tables.write_days(states.of_whitelist(reports, keys), out, states.normal_id(), order, "src_order", kind=kind, days=days, whole=True)
+    return states.day_summary(tables.read_table(spark, out))
 
 
-def run_segments(spark: SparkSession, daily: str, out: str, config: SegmentConfig = SegmentConfig()) -> DataFrame:
+def run_segments(spark: SparkSession, daily: str, out: str, config: SegmentConfig = SegmentConfig(), kind: str = "parquet") -> DataFrame:
     """Points of valid segments; returns the summary, written before the check that may raise."""
-    reports = read(spark, daily)
-    tables.write_days(segments.segments_of(reports, config), out, "icao24", "t")
-    summary = segments.day_summary(reports, config)
-    summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out.rstrip('/')}_summary")  # a row a day
+    reports = tables.read_table(spark, daily)
+    path = f"{out.rstrip('/')}_summary"
+    segments.day_summary(reports, config).coalesce(1).write.mode("overwrite").option("header", True).csv(path)  # a row a day
+    summary = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    tables.write_days(segments.segments_of(reports, config), out, "icao24", "t", kind=kind, days=[r.date for r in summary.collect()])
     gates.check_segments(segments.clean_funnel(segments.first_reports(segments.with_time(segments.fresh(reports, config.max_lag_s)))))
     return summary
 
 
-def run_trajectories(spark: SparkSession, parts: str, out: str, config: GridConfig = GridConfig()) -> DataFrame:
+def run_trajectories(spark: SparkSession, parts: str, out: str, config: GridConfig = GridConfig(), kind: str = "parquet") -> DataFrame:
     """Trajectories under a folder named by the spacing, the summary and the audit; then the checks."""
-    points = read(spark, parts)
+    points = tables.read_table(spark, parts)
     root = f"{out.rstrip('/')}/{spacing_tag(config.dt_s)}"
-    tables.write_days(verdict.trajectories(points, config), f"{root}/trajectories", "icao24", "trajectory_id", "sample_idx")
-    summary = verdict.day_summary(points, config)
-    summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/summary")  # a row a day
+    verdict.day_summary(points, config).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/summary")  # a row a day
+    summary = spark.read.option("header", True).option("inferSchema", True).csv(f"{root}/summary")
+    days = [r.date for r in summary.collect()]
+    tables.write_days(verdict.trajectories(points, config), f"{root}/trajectories", "icao24", "trajectory_id", "sample_idx", kind=kind, days=days)
     verdict.dropped(points, config).write.mode("overwrite").option("header", True).csv(f"{root}/dropped")
-    gates.check_trajectories(spark.read.parquet(f"{root}/trajectories"), config)
+    gates.check_trajectories(tables.read_table(spark, f"{root}/trajectories"), config)
     return summary
 
 
-def main() -> None:
+def report_segments(spark: SparkSession, out: str, summary: DataFrame, config: SegmentConfig) -> list[DataFrame]:
+    """What the step reports: sensitivity to the gap on the first day, consistency of days, three segments' speeds, the usual speed."""
+    points = tables.read_table(spark, out)
+    first = points.agg(F.min("date")).first()[0]
+    day = points.where(F.col("date") == first)
+    return [gates.gap_sensitivity(day, config), gates.consistency(summary), gates.segment_speeds(points, config=config), gates.cruise_anchor(points)]
+
+
+def report_trajectories(spark: SparkSession, out: str, config: GridConfig) -> list[DataFrame]:
+    """What the step reports: percentiles of motion, and three trajectories."""
+    samples = tables.read_table(spark, f"{out.rstrip('/')}/{spacing_tag(config.dt_s)}/trajectories")
+    return [gates.motion_percentiles(samples), gates.trajectory_extremes(samples)]
+
+
+def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("step", choices=("classify", "states", "segments", "trajectories"))
-    parser.add_argument("paths", nargs="+", help="inputs, then the output")
-    parser.add_argument("--dt", type=float, default=GridConfig.dt_s)
-    parser.add_argument("--max-gap", type=float, default=GridConfig.max_gap_s)
-    parser.add_argument("--gap-split", type=float, default=SegmentConfig.gap_split_s)
-    parser.add_argument("--min-duration", type=float, default=300.0)
-    parser.add_argument("--min-median-velocity", type=float, default=SegmentConfig.min_velocity_mps)
+    parser.add_argument("paths", nargs="*", help="inputs, then the output; without any, the usual ones below --root")
+    parser.add_argument("--root", help="folder of the usual paths; else $DRIFTLINE_DATA, else data")
+    parser.add_argument("--format", choices=("parquet", "csv"), default="parquet", help="of states, segments and trajectories")
+    for kind, names in ((SegmentConfig, ("gap_split_s", "min_velocity_mps")), (GridConfig, ("dt_s", "max_gap_s", "max_accel_mps2", "max_turn_rate_deg_s"))):
+        for name in names:
+            parser.add_argument(f"--{name.replace('_', '-')}", type=float, default=getattr(kind, name))
+    parser.add_argument("--min-duration-s", type=float, default=SegmentConfig.min_duration_s)
+    parser.add_argument("--max-speed-mps", type=float, default=SegmentConfig.max_speed_mps)
+    parser.add_argument("--min-points", type=int, help=f"of a segment {SegmentConfig.min_points}, of a trajectory {GridConfig.min_points} without it")
     parser.add_argument("--smooth", action="store_true")
     parser.add_argument("--drop-dynamics", action="store_true")
-    a = parser.parse_args()
+    return parser.parse_args(given)
+
+
+def config_of(a: argparse.Namespace, kind: type) -> SegmentConfig | GridConfig:
+    """The thresholds of a step as the arguments have them; those not given are the defaults."""
+    given = {f.name: getattr(a, f.name) for f in dataclasses.fields(kind) if getattr(a, f.name, None) is not None}
+    return kind(**given)
+
+
+def main() -> None:
+    a = arguments()
+    usual = files.default_paths(a.dt_s, a.root)
+    named = {"classify": ("registry", "whitelist"), "states": ("raw", "whitelist", "states"), "segments": ("states", "segments"), "trajectories": ("segments", "out")}
+    paths = a.paths or [usual[n] for n in named[a.step]]
     spark = SparkSession.builder.getOrCreate()
     if a.step == "classify":
-        run_classify(spark, *a.paths).show()
+        run_classify(spark, *paths).show()
     elif a.step == "states":
-        run_states(spark, *a.paths).show()
+        run_states(spark, *paths, kind=a.format).show()
     elif a.step == "segments":
-        run_segments(spark, *a.paths, SegmentConfig(gap_split_s=a.gap_split, min_duration_s=a.min_duration, min_velocity_mps=a.min_median_velocity)).show()
+        config = config_of(a, SegmentConfig)
+        summary = run_segments(spark, *paths, config, a.format)
+        for table in (summary, *report_segments(spark, paths[-1], summary, config)):
+            table.show(100, truncate=False)
     else:
-        config = GridConfig(dt_s=a.dt, max_gap_s=a.max_gap, min_duration_s=a.min_duration, smooth=a.smooth, drop_dynamics=a.drop_dynamics)
-        run_trajectories(spark, *a.paths, config).show()
+        config = config_of(a, GridConfig)
+        summary = run_trajectories(spark, *paths, config, a.format)
+        for table in (summary, *report_trajectories(spark, paths[-1], config)):
+            table.show(100, truncate=False)
 
 
 if __name__ == "__main__":

@@ -168,6 +168,23 @@ def segment_speeds(spark, sf_dir):
     return rounded(v.groupBy("segment_id").agg(F.min("v").alias("min_mps"), F.median("v").alias("median_mps"), F.max("v").alias("max_mps")), "min_mps", "median_mps", "max_mps")
 
 
+@query
+def segment_spot_check(spark, sf_dir):
+    found = gates.segment_speeds(valid(spark, sf_dir), config=SEGMENTS).drop("icao24")
+    return rounded(dated(found), "min_mps", "median_mps", "max_mps")
+
+
+@query
+def trajectory_spot_check(spark, sf_dir):
+    found = gates.trajectory_extremes(samples(spark, sf_dir))
+    return rounded(dated(found), "duration_s", "max_speed_mps", "max_accel_mps2", "max_turn_rate_deg_s")
+
+
+@query
+def track_pick(spark, sf_dir):
+    return rounded(dated(profiles.pick(samples(spark, sf_dir))), "filled_fraction")
+
+
 @query
 def cruise_anchor(spark, sf_dir):
     return rounded(gates.cruise_anchor(valid(spark, sf_dir)), "median_velocity")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.text import missing_to_null, nan_to_null
+from driftline.sources.files import header, is_parquet, list_files
 
 #: Columns that are texts even where every value looks like a number.
 TEXTS = frozenset("icao24 callsign onground segment_id trajectory_id source_segment_id date manufacturername model icaoaircrafttype".split())
@@ -15,27 +16,56 @@ _DATE = r"(\d{4}-\d{2}-\d{2})"
 
 
 def read_csv(spark: SparkSession, paths: list[str] | str, numbers: tuple[str, ...] | None = None) -> DataFrame:
-    """A CSV table with a header: nothing is inferred, so leading zeros stay.
+    """CSV files with headers as one table: nothing is inferred, so leading zeros stay.
 
-    Columns of ``numbers`` become doubles (of None, all that aren't ``TEXTS``); words
-    for missing values and NaN become null. ``src_file`` and ``src_order`` keep the order
-    of the rows in the files.
+    Columns go by their names in each file's own header, which may differ; a file that
+    lacks a column has nulls there. Files without a line have no rows. Columns of
+    ``numbers`` become doubles (of None, all that aren't ``TEXTS``); words for missing
+    values and NaN become null. ``src_file`` and ``src_order`` keep the order of the rows in
+    the files; where a step before has written them, they stay.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(paths)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in list_files(spark, paths):
+        if names := header(spark, file):
+            groups.setdefault(names, []).append(file.path)
+    if not groups:
+        raise ValueError(f"no file with a header in {paths}")
+    reader, tables = spark.read.option("header", True), []
+    if isinstance(paths, str) and not any(c in paths for c in "*?[{") and not paths.endswith((".csv", ".gz")):
+        reader = reader.option("basePath", paths)  # folders such as date=2022-06-06 are columns
+    for names, files in groups.items():
+        kinds = ", ".join(f"`{n}` STRING" for n in names)
+        rows = reader.schema(kinds).csv(files)
+        tables.append(rows if "src_file" in names else rows.select("*", F.col("_metadata.file_name").alias("src_file")))
+    raw = union_all(tables)
     columns = []
-    for name in raw.columns:
-        value = missing_to_null(F.col(name))
+    for name, kind in raw.dtypes:
+        if name == "src_order":  # of a step before
+            columns.append(F.col(name).try_cast("long").alias(name))
+            continue
+        if name == "src_file" or kind != "string":
+            columns.append(F.col(f"`{name}`"))
+            continue
+        value = missing_to_null(F.col(f"`{name}`"))
         number = name in numbers if numbers is not None else name not in TEXTS
         columns.append((nan_to_null(value.try_cast("double")) if number else value).alias(name))
-    return raw.select(*columns, F.col("_metadata.file_name").alias("src_file"), F.monotonically_increasing_id().alias("src_order"))
+    return raw.select(*columns, *([] if "src_order" in raw.columns else [F.monotonically_increasing_id().alias("src_order")]))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table with NaN as null."""
-    raw = spark.read.parquet(path)
+    """A Parquet table with NaN as null, columns by name."""
+    raw = spark.read.option("mergeSchema", True).parquet(path)
     return raw.select(*[nan_to_null(F.col(n)).alias(n) if kind in ("double", "float") else F.col(n) for n, kind in raw.dtypes])
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet or CSV, by what the first file with bytes holds."""
+    file = next((f for f in list_files(spark, path) if f.size), None)
+    if file is None:
+        raise ValueError(f"no file with bytes in {path}")
+    return read_parquet(spark, path) if is_parquet(spark, file) else read_csv(spark, path)
+
+
 def require(columns: list[str], *wanted: str, one_of: tuple[str, ...] = ()) -> None:
     """Raise ``ValueError`` for missing columns; of ``one_of`` at least one has to be there."""
     missing = [c for c in wanted if c not in columns]
@@ -55,25 +85,26 @@ def with_date(rows: DataFrame) -> DataFrame:
     return rows.withColumn("date", F.to_date(F.nullif(F.regexp_extract("src_file", _DATE, 1), F.lit("")))).where("date IS NOT NULL")
 
 
-def state_files(names: list[str]) -> list[str]:
-    """Of file names, in order, those of raw states: dated CSV files that are neither registries nor whitelists nor outputs."""
-    import re
-
-    def wanted(name: str) -> bool:
-        low = name.lower()
-        return low.endswith(".csv") and not any(x in low for x in ("aircraftdatabase", "conventionalga", "sorted", "filtered")) and bool(re.search(_DATE, name))
-
-    return sorted(filter(wanted, names))
-
-
 def union_all(tables: list[DataFrame]) -> DataFrame:
     """Rows of all tables, columns by name, null where a table lacks one."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def write_days(rows: DataFrame, path: str, *order: str, kind: str = "parquet") -> None:
-    """One folder a day, rows sorted in files. A day's rows are dealt to several tasks by its aircraft."""
-    keys = [c for c in ("date", "icao24") if c in rows.columns]
-    dealt = rows.repartition(*keys).sortWithinPartitions("date", *order)
-    writer = dealt.write.mode("overwrite").partitionBy("date")
+def write_days(rows: DataFrame, path: str, *order: str | Column, kind: str = "parquet", days: list | None = None, whole: bool = False) -> None:
+    """One folder a day, rows sorted in files.
+
+    Days go to few files of even size, and a large day to several. With ``whole`` a day's
+    files, in the order of their names, are in order as a whole, at the price of reading
+    the rows twice, once to part them. Of ``days`` those without rows have a folder with a
+    file without rows.
+    """
+    dealt = rows.repartitionByRange("date", *order) if whole else rows.hint("rebalance", "date")
+    writer = dealt.sortWithinPartitions("date", *order).write.mode("overwrite").partitionBy("date")
     (writer.option("header", True).csv if kind == "csv" else writer.parquet)(path)
+    if days:
+        spark, at = rows.sparkSession, path.rstrip("/")
+        none = spark.createDataFrame([], rows.drop("date").schema)
+        there = {f.path.split("/date=")[1].split("/")[0] for f in list_files(spark, at) if "/date=" in f.path}
+        for day in sorted({str(d) for d in days} - there):
+            empty = none.coalesce(1).write.mode("overwrite")
+            (empty.option("header", True).csv if kind == "csv" else empty.parquet)(f"{at}/date={day}")

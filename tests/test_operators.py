@@ -11,14 +11,20 @@ from driftline.config import GridConfig, SegmentConfig
 from driftline.functions.percentile import medians, percentiles, value_counts
 from driftline.functions.text import flag, spacing_tag
 from driftline.operators import classify, gates, grid, motion, segments, states, verdict
+from driftline.operators.rules import RULES
 from driftline.plans import pipeline
+from driftline.plans.derived import AIRCRAFT
 from driftline.plans.queries import QUERIES
-from driftline.sources import tables
+from driftline.sources import files, tables
 
 SF = "/root/testdata/sf0.001"
 FIXES = "date string, icao24 string, callsign string, t double, lat double, lon double, alt double, velocity double, heading double, src_order long"
 
 
+def reports(rows, columns="icao24,callsign,time,lastposupdate,lat,lon,geoaltitude,baroaltitude,velocity,heading,vertrate,onground"):
+    return "\n".join([columns, *rows]) + "\n"
+
+
 def fixes(spark, rows):
     """Rows of t, lat, lon and optionally callsign, velocity, heading."""
     full = [("2022-06-06", "00000a", *(r[3:4] or ("A",)), float(r[0]), float(r[1]), float(r[2]), 1000.0, *(r[4:5] or (50.0,)), *(r[5:6] or (0.0,)), k) for k, r in enumerate(rows)]
@@ -133,8 +139,7 @@ def test_exact_percentiles_as_in_numpy(spark):
 
 def test_reports_without_an_id_are_spread(spark):
     rows = spark.range(4000).selectExpr("'2022-06-06' AS date", "' ' AS icao24", "cast(id AS double) AS t", "id AS src_order")
-    sizes = [r[0] for r in segments.dealt(rows).groupBy(F.spark_partition_id()).count().select("count").collect()]
-    assert max(sizes) < 2000 and segments.first_reports(rows).count() == 4000
+    assert segments.dealt(rows).select("_aircraft").distinct().count() == segments.first_reports(rows).count() == 4000
 
 
 def gridded(spark, rows, config=GridConfig()):
@@ -225,7 +230,94 @@ def test_from_files_to_trajectories(spark, tmp_path):
 
 
 def test_files_and_columns():
-    assert tables.state_files(["b_2022-06-06.CSV", "a_2022-06-13.csv", "aircraftDatabase-2022-06.csv", "x_sorted_2022-06-06.csv", "undated.csv", "a.txt"]) == ["a_2022-06-13.csv", "b_2022-06-06.CSV"]
+    assert files.state_files(["b_2022-06-06.CSV", "a_2022-06-13.csv", "aircraftDatabase-2022-06.csv", "x_sorted_2022-06-06.csv", "undated.csv", "a.txt"]) == ["a_2022-06-13.csv", "b_2022-06-06.CSV"]
     with pytest.raises(ValueError):
         tables.timestamp_column(["icao24"])
     assert SegmentConfig().max_speed_mps == 300 * 0.514444
+
+
+def test_columns_go_by_each_files_own_header(spark, tmp_path):
+    (tmp_path / "a_2022-06-06.csv").write_text("time,lat,lon,icao24\n1,2,3,00001\n")
+    (tmp_path / "b_2022-06-06.csv").write_text("\ufefflat,icao24,lon,time,callsign\n20,00002,30,10,x\n,None,NaN,11,\n")
+    (tmp_path / "c_2022-06-06.csv").write_text("icao24,time\n")
+    (tmp_path / "d_2022-06-06.csv").write_text("")
+    (tmp_path / "_hidden.csv").write_text("junk\n1\n")
+    found = sorted(tables.read_csv(spark, str(tmp_path)).collect(), key=lambda r: r.time)
+    assert [(r.time, r.lat, r.lon, r.icao24, r.callsign) for r in found] == [(1, 2, 3, "00001", None), (10, 20, 30, "00002", "x"), (11, None, None, None, None)]
+    assert {r.src_file for r in found} == {"a_2022-06-06.csv", "b_2022-06-06.csv"}
+    assert files.header(spark, files.File(str(tmp_path / "d_2022-06-06.csv"), 0)) is None
+    assert files.header(spark, files.list_files(spark, str(tmp_path / "c*"))[0]) == ("icao24", "time")
+    with pytest.raises(ValueError, match="no file"):
+        tables.read_csv(spark, str(tmp_path / "d*"))
+
+
+def test_format_is_what_a_file_holds(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id AS double) AS x").write.parquet(f"{tmp_path}/any_name")
+    spark.range(3).selectExpr("cast(id AS double) AS x").write.option("header", True).csv(f"{tmp_path}/segments")
+    assert sorted(r.x for r in tables.read_table(spark, f"{tmp_path}/any_name").collect()) == [0, 1, 2]
+    assert sorted(r.x for r in tables.read_table(spark, f"{tmp_path}/segments").collect()) == [0, 1, 2]
+    with pytest.raises(ValueError, match="no file with bytes"):
+        tables.read_table(spark, f"{tmp_path}/none")
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_steps_on_a_folder_with_other_files(spark, tmp_path, kind):
+    raw, at = tmp_path / "raw", str(tmp_path)
+    raw.mkdir()
+    (raw / "aircraftDatabase-2022-06-06.csv").write_text("icao24,manufacturername,model,icaoaircrafttype\n00000a,CESSNA,172S,L1P\n")
+    good = [f"00000A,T1,{10 * k + 1},{10 * k},{40 + 0.005 * k},8,1000,,55,0,0,False" for k in range(60)]
+    (raw / "states_2022-06-06-01.csv").write_text(reports(good[30:]))
+    (raw / "states_2022-06-06-00.csv").write_text(reports([*good[:30], "00000a,T1,1,0,40,8,0,,0,0,0,True", "00000a,T1,,,40,8,0,,0,0,0,False"]))
+    (raw / "states_2022-06-13-00.csv").write_text(reports(["00000a,T1,1,0,40,8,1000,,55,0,0,False"]))
+    (raw / "states_2022-06-20-00.csv").write_text("")
+    (raw / "states_2022-06-27-00.csv").write_text(reports([]))
+    (raw / "filtered_2022-06-06.csv").write_text(reports(good))
+    assert [f.name[7:17] for f in files.discover_states(spark, str(raw))] == ["2022-06-06", "2022-06-06", "2022-06-13", "2022-06-20", "2022-06-27"]
+    pipeline.run_classify(spark, f"{raw}/aircraftDatabase*.csv", f"{at}/whitelist")
+    counts = pipeline.run_states(spark, str(raw), f"{at}/whitelist", f"{at}/daily", kind)
+    assert {str(r.date): r.rows for r in counts.collect()} == {"2022-06-06": 62, "2022-06-13": 1}
+    there = {p.name for p in (tmp_path / "daily").iterdir() if p.name.startswith("date=")}
+    assert there == {f"date=2022-06-{d}" for d in ("06", "13", "20", "27")}
+    times = [r.time for r in tables.read_table(spark, f"{at}/daily").where("date = '2022-06-06'").collect()]
+    assert times == sorted(t for t in times if t is not None) + [None]
+    config = SegmentConfig(min_points=10)
+    summary = {str(r.date): r for r in pipeline.run_segments(spark, f"{at}/daily", f"{at}/out_segments", config, kind).collect()}
+    assert summary["2022-06-06"].rows_after_segmentation == 60 and summary["2022-06-13"].num_segments_output == 0
+    for table in pipeline.report_segments(spark, f"{at}/out_segments", spark.createDataFrame(list(summary.values())), config):
+        assert table.count() > 0
+    last = {str(r.date): r.output_rows for r in pipeline.run_trajectories(spark, f"{at}/out_segments", f"{at}/out", kind=kind).collect()}
+    assert last == {"2022-06-06": 60}
+    assert [t.count() for t in pipeline.report_trajectories(spark, f"{at}/out", GridConfig())] == [4, 1]
+    (raw / "states_2022-06-27-01.csv").write_text("icao24,lat\n1,2\n")
+    with pytest.raises(ValueError, match="time"):
+        pipeline.run_states(spark, str(raw), f"{at}/whitelist", f"{at}/again", kind)
+
+
+def test_arguments(monkeypatch):
+    a = pipeline.arguments(["segments", "--min-points", "7", "--max-speed-mps", "90", "--root", "/x"])
+    assert pipeline.config_of(a, SegmentConfig) == SegmentConfig(min_points=7, max_speed_mps=90)
+    b = pipeline.arguments(["trajectories", "in", "out", "--dt-s", "2.5", "--max-accel-mps2", "5", "--max-turn-rate-deg-s", "3", "--smooth"])
+    assert pipeline.config_of(b, GridConfig) == GridConfig(dt_s=2.5, max_accel_mps2=5, max_turn_rate_deg_s=3, smooth=True)
+    assert files.default_paths(2.5, "/x/")["trajectories"] == "/x/resampled/2p5s/trajectories"
+    monkeypatch.setenv("DRIFTLINE_DATA", "/y")
+    assert files.default_paths()["states"] == "/y/states"
+
+
+def test_gates_raise(spark):
+    with pytest.raises(gates.GateError, match="ground"):
+        gates.check_segments(spark.createDataFrame([(0,), (None,)], "removed_on_ground int"))
+    row = lambda k, t, v: ("2022-06-06", "a", "s", "s_r0", k, float(t), v, 600.0, 60)
+    made = lambda rows: spark.createDataFrame(rows, "date string, icao24 string, segment_id string, trajectory_id string, sample_idx long, timestamp double, speed_mps double, trajectory_duration_s double, n_samples long")
+    gates.check_trajectories(made([row(0, 0, 50.0), row(1, 10, 50.0)]))
+    for rows, words in (([row(0, 0, 50.0), row(1, 11, 50.0)], "isn't 10 s"), ([row(0, 0, 5.0)], "median speed"), ([row(0, 0, None)], "median speed"), ([row(0, 0, 50.0)[:7] + (10.0, 60)], "shorter")):
+        with pytest.raises(gates.GateError, match=words):
+            gates.check_trajectories(made(rows))
+
+
+def test_every_brand_is_met_in_each_of_its_branches():
+    """The derived registry has a row for each pattern group of each rule, so that a slip in one shows."""
+    for rule in RULES:
+        own = [m.upper().strip() for b, m, _ in AIRCRAFT if b and re.search(rule.brand, b.upper().strip()) and m]
+        assert any(re.search(rule.keep, m) and not (rule.drop and re.search(rule.drop, m)) for m in own) and any(not re.search(rule.keep, m) for m in own), rule.name
+        for pattern in filter(None, (rule.drop, rule.trusted, rule.too_large)):
+            assert any(re.search(pattern, m) for m in own), (rule.name, pattern)
