@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.common import Recent, read_table, set_off_stops
+from driftline.llm.common import PART_CHARS, Recent, at_spaces, read_table, set_off_stops
 
 VOCABULARY = "word_bpe_49k.json"
 #: Encoded chunks of one generation that a worker remembers.
@@ -47,12 +47,35 @@ def _classes() -> dict[str, str]:
     return {rf"\p{{{k}}}": "".join(f"\\U{m.start():08x}-\\U{m.end() - 1:08x}" for m in re.finditer(f"{k}+", kinds)) for k in "LN"}
 
 
+# How a vocabulary of lower-case word pieces normalises and splits.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def word_pieces(spec: dict) -> bool:
+    """Whether a tokenizer file is of the kind that is encoded here: NFC, lower case, pieces that end with white space at the latest."""
+    split = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    model = spec["model"]
+    return (
+        (spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and split[0].get("pattern") == {"Regex": _SPLIT}
+        and [x.get("type") for x in split] == ["Split", "ByteLevel"]
+        and not split[1]["add_prefix_space"]
+        and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in spec["added_tokens"])
+        and not (model["dropout"] or model["unk_token"] or model["continuing_subword_prefix"] or model["byte_fallback"] or model["ignore_merges"])
+        and not spec.get("post_processor")
+        and not spec.get("decoder")
+    )
+
+
 class Vocabulary:
-    """A vocabulary file: normalisation, splitting, merges and strings of ids."""
+    """A vocabulary file: normalisation, splitting, merges and strings of ids. Files of another kind are an error."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if not word_pieces(spec):
+            raise ValueError(f"{path} doesn't normalise and split as is done here")
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -120,6 +143,11 @@ class Vocabulary:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
+        if len(text) > PART_CHARS:
+            return b"".join(map(self._part, at_spaces(text)))
+        return self._part(text)
+
+    def _part(self, text: str) -> bytes:
         if "<|" not in text:
             return self._plain(text)
         parts = filter(None, self.specials.split(text))

@@ -116,6 +116,20 @@ def set_off_stops(text: str) -> str:
     return _BEFORE_STOP.sub(" ", text)
 
 
+_SPACE = re.compile("[ \t\n\r]")
+#: Characters of a text that is worked on at once where parts between white space are independent.
+PART_CHARS = 1 << 20
+
+
+def at_spaces(text: str, size: int | None = None) -> Iterator[str]:
+    """A text in parts of about ``size`` characters or little more, cut before white space."""
+    at, size = 0, size or PART_CHARS
+    while len(text) - at > size and (found := _SPACE.search(text, at + size)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
 class Recent:
     """Results by key, of those asked for lately: two generations of at most ``most`` keys and those of one call.
 

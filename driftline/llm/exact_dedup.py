@@ -94,8 +94,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", blo
     Texts are equal when identical after lower-casing A-Z only; null counts as empty.
     Of each group the row with the largest id stays; a null id ranks below all others.
     Rows repeated with the same id count separately in ``group_size`` and exactly one of
-    them is kept. An empty table gives an empty result. Further columns of ``docs`` are
-    not read, whatever their names.
+    them is kept. A text of any length is named by its blocks. An empty table gives an
+    empty result. Further columns of ``docs`` are not read, whatever their names.
     """
     source = docs.select(F.col(id_col).alias("_id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
     found = block_identities(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -16,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from driftline.llm.bpe import byte_symbols
-from driftline.llm.common import Recent, new_path, read_table, set_off_stops
+from driftline.llm.bpe import byte_symbols, word_pieces
+from driftline.llm.common import PART_CHARS, Recent, at_spaces, new_path, read_table, set_off_stops
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -36,10 +37,10 @@ PAGE_ROWS = 1024
 class Encoder:
     """The library, asked once for each chunk between white space and not again while it is remembered.
 
-    No token of this vocabulary reaches over white space, nor does its normalisation, so
-    the ids of a text are those of its chunks in order. A text that may hold a special token,
-    or a control character that only ``str.split`` takes for white space, goes to the
-    library whole.
+    No token of a vocabulary with ``word_pieces`` reaches over white space, nor does its
+    normalisation, so the ids of a text are those of its chunks in order. A text that may
+    hold a special token, or a control character that only ``str.split`` takes for white
+    space, goes to the library whole; with any other vocabulary every text does.
     """
 
     def __init__(self, path: str):
@@ -49,6 +50,8 @@ class Encoder:
         self.library.no_padding()
         self.symbols = byte_symbols()
         self.known = Recent(REMEMBERED)
+        with open(path, encoding="utf-8") as f:
+            self.by_chunks = word_pieces(json.load(f))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<i4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,6 +77,14 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
+        if not self.by_chunks:
+            return self._whole(texts)
+        return [b"".join(map(self._parts, at_spaces(x))) for x in texts] if any(len(x) > PART_CHARS for x in texts) else self._several(texts)
+
+    def _parts(self, text: str) -> bytes:
+        return self._several([text])[0]
+
+    def _several(self, texts: list[str]) -> list[bytes]:
         split = [[x] if "<|" in x or _ODD.search(x) else self._chunks(x) for x in texts]
         new = self.known.missing(set().union(*split))  # this may begin a new generation
         known = self.known.young
@@ -91,7 +102,8 @@ def encode(docs: DataFrame, path: str, end_id: int | None = END_ID, text: str =
 
     The rows of ``part`` k stand before those of part k + 1. ``start_in_part`` counts the
     ids of the rows before in the same part. Rows with one id are ordered by their text,
-    so a repeated task gives the same. Null texts count as empty; a null id ranks first.
+    so a repeated task gives the same. Null texts count as empty; a null id ranks first;
+    an empty table has no rows; a very long text is encoded in parts; other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

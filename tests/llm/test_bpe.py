@@ -1,12 +1,14 @@
 import sys
 import unicodedata
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from driftline.llm import bpe, common, token_store
 from driftline.llm.bpe import VOCABULARY, bpe_encode_decode, vocabulary
 
 PATH = public_tokenizers.path(VOCABULARY)
@@ -32,6 +34,18 @@ def test_special_cases(library):
     same(library, ["", " ", "it's I'LL", "x" * 3000, "ab" * 2000, "<|endoftext|>a<|startoftext|> <|b", "ΑΣ Σ", "é é", "a\x1cb c", "12 345", "a. b, c.d, e., f,", "x.\n", "é. ."])
 
 
+def test_long_texts_in_parts(library, monkeypatch):
+    texts = ["word. Other, <|endoftext|> it's é\u0301 \u0301x ΑΣ\n" * 40, "x" * 500 + " y\tz" * 99, " " * 300, "a\x1cb " * 60]
+    for size in (1, 7, 100):
+        monkeypatch.setattr(common, "PART_CHARS", size)
+        monkeypatch.setattr(bpe, "PART_CHARS", size)
+        monkeypatch.setattr(token_store, "PART_CHARS", size)
+        assert all("".join(common.at_spaces(t)) == t for t in texts)
+        same(library, texts)
+        ids = [np.frombuffer(x, "<i4").tolist() for x in token_store.encoder(PATH)(texts)]
+        assert ids == [w.ids for w in library.encode_batch(texts, add_special_tokens=False)]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(exclude_categories=("Cn", "Cs"))))
 def test_any_text(library, text):
