@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +28,26 @@ def value_counts(rows: DataFrame, by: Sequence[str], channels: Mapping[str, Colu
     return weighted_counts(rows, by, {c: (v, F.lit(1)) for c, v in channels.items()})
 
 
-def _bin() -> Column:
+def _bin(value: str = "value") -> Column:
     """A number that never falls where the value rises."""
-    return F.floor(F.signum("value") * F.log1p(F.abs("value") * _SCALE) * _BINS)
+    return F.floor(F.signum(value) * F.log1p(F.abs(value) * _SCALE) * _BINS)
+
+
+def at_ranks(rows: DataFrame, by: str, value: str, tie: str, wanted: Callable[[Column], Column]) -> DataFrame:
+    """The rows of each group at the ranks that ``wanted`` gives for its size, from 0 on, by ``value`` and then ``tie``; with ``rank`` and ``total``.
+
+    Rows are counted in bins of values, and only those of bins that hold a wanted rank are sorted.
+    """
+    binned = rows.withColumn("_bin", _bin(value))
+    counts = binned.groupBy(by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(by).orderBy("_bin"))
+    counts = counts.withColumns({"total": F.sum("_n").over(Window.partitionBy(by)), "_before": upto - F.col("_n")})
+    counts = counts.withColumn("_wanted", F.filter(wanted(F.col("total")), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n"))))
+    held = counts.where(F.size("_wanted") > 0).select(F.col(by).alias("_by"), F.col("_bin").alias("_of"), "_before", "total", "_wanted")
+    near = binned.join(held, F.col(by).eqNullSafe(F.col("_by")) & F.col("_bin").eqNullSafe(F.col("_of")))
+    order = Window.partitionBy(by, "_bin").orderBy(value, tie)
+    ranked = near.withColumn("rank", F.col("_before") + F.row_number().over(order) - 1).where(F.array_contains("_wanted", F.col("rank")))
+    return ranked.select(*rows.columns, "rank", "total")
 
 
 def percentiles(counts: DataFrame, by: Sequence[str], wanted: Mapping[str, Sequence[float]]) -> DataFrame:

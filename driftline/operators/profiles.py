@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.config import KM_PER_DEG, MAP_CELL_DEG
+from driftline.functions.percentile import at_ranks
 
 _ID = ("date", "trajectory_id")
 # Channel, range and number of bins of the distributions.
@@ -51,14 +52,17 @@ def regimes(samples: DataFrame) -> DataFrame:
 def gallery(samples: DataFrame, n: int = 25) -> DataFrame:
     """``n`` trajectories of each day, evenly spread from rank 4 % to 96 % by duration, with their rank.
 
-    Ranks need no jitter here. Durations are one row a trajectory; a day is ranked at a time.
+    Ranks need no jitter here. Only trajectories near a wanted rank are sorted.
     """
     per = samples.where("sample_idx = 0").select(*_ID, "trajectory_duration_s")
-    ranked = per.withColumns({"rank": F.row_number().over(Window.partitionBy("date").orderBy("trajectory_duration_s", "trajectory_id")) - 1, "total": F.count(F.lit(1)).over(Window.partitionBy("date"))})
-    cells = F.least(F.lit(n), F.col("total"))
-    place = lambda k: F.floor((0.04 + 0.92 * k / F.greatest(cells - 1, F.lit(1))) * (F.col("total") - 1))
-    wanted = F.transform(F.sequence(F.lit(0), cells - 1), place)
-    return ranked.where(F.array_contains(wanted, F.col("rank").cast("long"))).select("date", "trajectory_id", "trajectory_duration_s", "rank")
+
+    def wanted(total: Column) -> Column:
+        cells = F.least(F.lit(n), total)
+        place = lambda k: F.floor((0.04 + 0.92 * k / F.greatest(cells - 1, F.lit(1))) * (total - 1))
+        return F.transform(F.sequence(F.lit(0).cast("long"), cells - 1), place)
+
+    found = at_ranks(per, "date", "trajectory_duration_s", "trajectory_id", wanted)
+    return found.select("date", "trajectory_id", "trajectory_duration_s", F.col("rank").cast("int").alias("rank"))
 
 
 def gap_fill(samples: DataFrame) -> DataFrame:

@@ -15,6 +15,11 @@ def words(text: str) -> str:
     return "|".join(rf"\b{w}\b" for w in text.split())
 
 
+def numbered(prefix: str, *numbers: int, between: str = r"[.\-\s]?", end: str = "(?![0-9])") -> str:
+    """A pattern for letters and one of some numbers, what may stand between them, and what may not follow."""
+    return rf"{prefix}{between}({'|'.join(map(str, numbers))}){end}"
+
+
 def any_of(*patterns: str) -> str:
     return "|".join(patterns)
 
@@ -53,13 +58,13 @@ RULES = (
         "PIPER",
         words("PIPER"),
         any_of(
-            r"PA[.\-\s]?(11|12|14|15|16|17|18|19|20|22|23|24|28|29|30|31|32|34|38|39|44|46|60)(?![0-9])",
+            numbered("PA", 11, 12, 14, 15, 16, 17, 18, 19, 20, 22, 23, 24, 28, 29, 30, 31, 32, 34, 38, 39, 44, 46, 60),
             r"\bJ-?[2345][A-Z]{0,3}(-[0-9]+)?",
             words("E-2 L-?4[A-Z]? L-?18[A-Z]? L-?21[A-Z]? CUB PACER COLT ARROW"),
             "AEROSTAR|CHEROKEE|COMANCHE|ARCHER|WARRIOR|TOMAHAWK|SARATOGA|SENECA|MALIBU|MIRAGE|MATRIX|NAVAJO|CHIEFTAIN|AZTEC|APACHE|VAGABOND|CLIPPER|SEMINOLE|DAKOTA",
         ),
-        any_of("CHEYENNE|JETPROP|MERIDIAN|500TP|600TP|PAWNEE|PA-?31T", words("M500 M600"), r"PA[.\-\s]?(25|36|42)\b"),
-        trusted=r"PA[.\-\s]?(28|32|34|38|44)(?![0-9])",
+        any_of("CHEYENNE|JETPROP|MERIDIAN|500TP|600TP|PAWNEE|PA-?31T", words("M500 M600"), numbered("PA", 25, 36, 42, end=r"\b")),
+        trusted=numbered("PA", 28, 32, 34, 38, 44),
         too_large="PA-?31|NAVAJO|CHIEFTAIN",
     ),
     Rule(
@@ -78,21 +83,21 @@ RULES = (
         trusted=any_of("BONANZA|MUSKETEER|SUNDOWNER|DUCHESS|SKIPPER", words("BARON SIERRA")),
         too_large=any_of(words("DUKE B60 A60"), codes(60), "QUEEN ?AIR", codes(65, 70, 80, 88)),
     ),
-    Rule("CIRRUS", words("CIRRUS"), "SR-?20|SR-?22", any_of("VISION", words("SF-?50 JET")), trusted="SR-?20|SR-?22"),
-    Rule("MOONEY", words("MOONEY"), r"M[.\-]?(10|18|20|22)", trusted=r"M[.\-]?20"),
-    Rule("SOCATA", words("SOCATA"), any_of("RALLYE", r"\bST[.\-]?10\b", r"TB[.\-\s]?(200|21|20|10|9)(?![0-9])"), trusted=r"TB[.\-\s]?(9|10|20|21)(?![0-9])"),
+    Rule("CIRRUS", words("CIRRUS"), numbered("SR", 20, 22, between="-?", end=""), any_of("VISION", words("SF-?50 JET")), trusted=numbered("SR", 20, 22, between="-?", end="")),
+    Rule("MOONEY", words("MOONEY"), numbered("M", 10, 18, 20, 22, between=r"[.\-]?", end=""), trusted=numbered("M", 20, between=r"[.\-]?", end="")),
+    Rule("SOCATA", words("SOCATA"), any_of("RALLYE", numbered(r"\bST", 10, between=r"[.\-]?", end=r"\b"), numbered("TB", 9, 10, 20, 21, 200)), trusted=numbered("TB", 9, 10, 20, 21)),
     Rule(
         "ROBIN",
         words("ROBIN"),
-        any_of(r"\bDR[.\-\s]?(300|315|340|360|380|400|500)(?![0-9])", r"\bHR[.\-\s]?(100|200)(?![0-9])", r"\bR[.\-\s]?(1180|2160|2112|2100|2120|3000)(?![0-9])", words("ATL")),
-        trusted=r"\bDR[.\-\s]?400(?![0-9])",
+        any_of(numbered(r"\bDR", 300, 315, 340, 360, 380, 400, 500), numbered(r"\bHR", 100, 200), numbered(r"\bR", 1180, 2100, 2112, 2120, 2160, 3000), words("ATL")),
+        trusted=numbered(r"\bDR", 400),
     ),
     Rule(
         "DIAMOND",
         words("DIAMOND"),
-        any_of(r"\bDA[.\-\s]?(20|40|42|50|62)(?![0-9])", r"\bDV[.\-\s]?20(?![0-9])", "KATANA|TWIN ?STAR|DIAMOND STAR"),
-        any_of(r"HK[.\-\s]?36", "DIMONA"),
-        trusted=r"\bDA[.\-\s]?(20|40|42)(?![0-9])",
+        any_of(numbered(r"\bDA", 20, 40, 42, 50, 62), numbered(r"\bDV", 20), "KATANA|TWIN ?STAR|DIAMOND STAR"),
+        any_of(numbered("HK", 36, end=""), "DIMONA"),
+        trusted=numbered(r"\bDA", 20, 40, 42),
     ),
     Rule(
         "BELLANCA_CHAMPION",
@@ -114,7 +119,9 @@ RULES = (
         words("TAYLORCRAFT"),
         any_of(
             words("BC BL BF F-?19 F-?2[12][A-Z]? 19 20"),
-            r"\bBC-?12[A-Z0-9\-]*|\bBL-?[0-9]+[A-Z0-9\-]*|\bBF-?[0-9]+[A-Z0-9\-]*|\bDC-?[0-9]+[A-Z0-9\-]*|\bDCO-?[0-9]+[A-Z0-9\-]*|\bDF-?[0-9]+[A-Z0-9\-]*|\bDL-?[0-9]+[A-Z0-9\-]*|\bBCS-?[0-9]*[A-Z0-9\-]*",
+            r"\bBC-?12",
+            any_of(*[rf"\b{letters}-?[0-9]" for letters in "BL BF DC DCO DF DL".split()]),
+            r"\bBCS",
             "PLUS ?D|SPORTSMAN|TWOSOME",
         ),
         "AUSTER",
