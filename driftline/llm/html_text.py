@@ -144,8 +144,8 @@ class Page:
         self.texts: list[str] = []
         self.open_tags: Counter = Counter()
         self.stack = [Node("")]
+        self.in_main = False  # whether the main element has text
         self._read(source)
-        self.in_main = any(b.inside and b.level == 1 for b in self.blocks)
         if not any(b.inside and b.level > -2 for b in self.blocks):
             for n in self.loose:
                 self.subtrees[n] = 0
@@ -161,6 +161,7 @@ class Page:
             level = -2 if top.listed else -1 if top.hinted else 2 if top.in_article else 1 if top.in_main else 0
             inside = top.in_article or top.in_main
             self.blocks.append(Block(text, level, inside, (inside or top.telling) and not top.listed))
+            self.in_main = self.in_main or top.in_main and not top.listed
             self.of_block.append(-1)
             top.inner.append(-len(self.blocks))
 

@@ -1,3 +1,4 @@
+import json
 import random
 import time
 import xml.etree.ElementTree as ET
@@ -83,6 +84,14 @@ def test_changing_ads_beside_an_article(spark):
     assert got == {k: f"T {k}\n\nD {k}" for k in range(5)}
 
 
+def test_outside_of_the_main_element():
+    kept = lambda source: [b[0] for b in json.loads(h.Page(source).packed())[0]]
+    assert kept("<main><article><p>In</p></article></main><p>Out</p>") == ["In"]
+    assert kept("<main><div class=ad>In</div></main><p>Out</p><article>Too</article>") == ["In", "Too"]
+    assert kept("<main><nav>Menu</nav></main><p>Out</p>") == ["Menu", "Out"]
+    assert kept("<article><p>In</p></article><p>Out</p>") == ["In", "Out"]
+
+
 def test_time_is_linear_in_nesting():
     for piece in ("<div>x", "<b>x", "<li>x", "<span><p>x", "<section class=ad>y", "<nav><ul><li>z"):
         h.Page(piece * 1000).others()

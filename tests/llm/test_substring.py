@@ -47,6 +47,14 @@ def test_against_brute_force(spark, monkeypatch, batches, most_runs, remembered,
     assert len(found) == len(rows) and sum(r.n_removed for r in found) > 1000
 
 
+def test_query_compacts(spark, monkeypatch):
+    merged = []
+    compact = s.FingerprintIndex.compact
+    monkeypatch.setattr(s.FingerprintIndex, "compact", lambda self: (compact(self), merged.append([r.n for r in self.run(self.names[0]).collect()])))
+    s.remove_repeats(spark.createDataFrame(corpus(3), "doc_id long, text string"))
+    assert len(merged) == 1 and max(merged[0]) > 1
+
+
 def test_same_rows_and_no_rows(spark):
     text = " ".join(f"w{k}" for k in range(30))
     found = s.remove_repeats(spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")).collect()
