@@ -22,6 +22,8 @@ from driftline.llm.common import materialise, read_table
 LEAST_PAGES = 5
 #: As above, for an element that a class or id marks: the words are only a hint.
 LEAST_PAGES_MARKED = 2
+#: Recurring subtrees that are sent to all tasks at most: some 40 MB there.
+MOST_SENT = 500_000
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -329,8 +331,8 @@ def read_pages(pages: DataFrame, page: str = "html", url: str = "url", id_col: s
     return source.mapInArrow(run, f"{kinds}, subtrees array<struct<subtree:long,other:long>>, blocks binary")
 
 
-def _texts(by_lists: bool):
-    """``page_id, url, text, n_template, n_listed`` of packed blocks and the subtrees that go."""
+def _texts(by_lists: bool, of_host=None):
+    """``page_id, url, text, n_template, n_listed`` of packed blocks and the subtrees that go, or the host whose subtrees go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -338,8 +340,9 @@ def _texts(by_lists: bool):
             for k in range(0, batch.num_rows, 64):
                 rows, found, counts = batch.slice(k, 64), [], [[], []]
                 for packed, gone in zip(rows.column(2), rows.column(3).to_pylist()):
+                    gone = of_host.value.get(gone, ()) if of_host else gone
                     blocks, subtrees, above = json.loads(unpack(packed.as_py()).decode("utf-8", "surrogatepass"))
-                    gone = set(gone or ())
+                    gone = gone if isinstance(gone, frozenset) else set(gone or ())
                     goes = [x in gone for x in subtrees]
                     for n in range(len(above) - 1, -1, -1):  # the one around a subtree has a higher number
                         goes[n] = goes[n] or above[n] >= 0 and goes[above[n]]
@@ -361,7 +364,7 @@ def recurring_subtrees(parsed: DataFrame, least_pages: int = LEAST_PAGES) -> Dat
     return counts.where((F.col("n") >= least_pages) | F.expr(f"(subtree & 1) = 1 AND n >= {LEAST_PAGES_MARKED}")).select("host", "subtree")
 
 
-def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES, by_lists: bool = True) -> DataFrame:
+def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col: str = "page_id", least_pages: int = LEAST_PAGES, by_lists: bool = True, most_sent: int = MOST_SENT) -> DataFrame:
     """``page_id, url, text, n_template, n_listed`` for each row.
 
     Blocks are those of the main element and of articles where the page has a main element
@@ -382,18 +385,24 @@ def extract_text(pages: DataFrame, page: str = "html", url: str = "url", id_col:
     elements that are never main text, unless ``by_lists`` is off. ``n_template`` and
     ``n_listed`` are the blocks that went either way.
 
-    The table of recurring subtrees joins by host and hash. A null page is empty, a page
+    Up to ``most_sent`` recurring subtrees, which are counted first, are sent to all tasks,
+    so that no text is shuffled; beyond that their table joins by host and hash. A null page is empty, a page
     without text has an empty one, a null or odd url has an empty host; rows come out as
     often as they go in; other columns are not read; an empty table gives no rows.
     """
     parsed = materialise(read_pages(pages, page, url, id_col).withColumn("row", F.monotonically_increasing_id()), "parsed")
     often = materialise(recurring_subtrees(parsed, least_pages), "templates")
+    kind = parsed.schema["page_id"].dataType.simpleString()
+    made = f"page_id {kind}, url string, text string, n_template long, n_listed long"
+    if often.count() <= most_sent:
+        by_host = {r.host: frozenset(r.gone) for r in often.groupBy("host").agg(F.collect_list("subtree").alias("gone")).collect()}
+        shared = pages.sparkSession.sparkContext.broadcast(by_host)
+        return parsed.select("page_id", "url", "blocks", "host").mapInArrow(_texts(by_lists, shared), made)
     around = parsed.select("row", "host", F.explode("subtrees.subtree").alias("subtree"))
     gone = around.join(often, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
     gone = materialise(gone, "gone")  # a row for each page with a template around a block, as many hashes as the page has
     joined = parsed.join(gone, "row", "left").select("page_id", "url", "blocks", "gone")
-    kind = joined.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(_texts(by_lists), f"page_id {kind}, url string, text string, n_template long, n_listed long")
+    return joined.mapInArrow(_texts(by_lists), made)
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,6 +146,7 @@ def test_counts_alone_remove_what_a_plain_count_removes(spark):
     docs = spark.createDataFrame([(k, f"http://{host}.example/{k}", x) for k, host, x in pages], "page_id long, url string, html string")
     found = h.extract_text(docs, by_lists=False).collect()
     assert {r.page_id: r.text for r in found} == plain_removal(pages)
+    assert sorted(found) == sorted(h.extract_text(docs, by_lists=False, most_sent=0).collect())
     assert sum(r.n_template for r in found) > 500 and not any(r.n_listed for r in found)
 
 
