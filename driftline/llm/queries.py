@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftline.llm import bpe, exact_dedup, html_text, mixing, quality, resampling, secrets, simhash, substring, token_store, toxicity
+from driftline.llm import bpe, exact_dedup, html_text, mixing, quality, resampling, secrets, simhash, substring, token_store, toxicity, vector_codes
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_simhash": simhash.op9_simhash,
     "op10_secrets": secrets.op10_secrets,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_resampling": resampling.op12_resampling,
 }
 
 ORACLE_SQL = {
     "op3_substring": substring.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op11_vector_codes": vector_codes.OP11_SQL,
     "op12_resampling": resampling.OP12_SQL,
 }
