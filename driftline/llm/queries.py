@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftline.llm import bpe, exact_dedup, html_text, mixing, quality, resampling, secrets, simhash, substring, token_store, toxicity, vector_codes
+from driftline.llm import bpe, exact_dedup, html_text, mixing, ngram_join, quality, resampling, secrets, simhash, substring, token_store, toxicity, vector_codes
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_secrets": secrets.op10_secrets,
     "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_resampling": resampling.op12_resampling,
+    "op13_ngram_join": ngram_join.op13_ngram_join,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op11_vector_codes": vector_codes.OP11_SQL,
     "op12_resampling": resampling.OP12_SQL,
+    "op13_ngram_join": ngram_join.OP13_SQL,
 }

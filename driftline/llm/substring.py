@@ -12,10 +12,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.llm.common import delete_path, discard, materialise, new_path, read_table, small_batches
+from driftline.llm.filters import bitmap_of, membership, passing, place_of
 from driftline.llm.words import LongText, Texts, parts_of, texts, windows
 
 WINDOW_WORDS = 20
@@ -27,8 +28,6 @@ BATCHES = 2
 MOST_RUNS = 1
 #: Places that a task remembers, to tell repeats on the spot; what it forgets is told after a shuffle.
 REMEMBERED = 60_000
-#: Bits of the filter by which rows that cannot take part stay out of a shuffle: 16 MB, whatever the size of the corpus.
-FILTER_BITS = 1 << 27
 #: Rows that a task turns into Python objects at once.
 _ROWS = 64
 
@@ -130,51 +129,6 @@ def posting_rows(docs: DataFrame, remembered: int = REMEMBERED) -> DataFrame:
     return docs.mapInArrow(run, "key long, span long, doc long, at long, later boolean")
 
 
-def _place(column: str, bits: int) -> Column:
-    """1 to ``bits``; of bucket k are 32,768 * (k - 1) + 1 to 32,768 * k."""
-    return (F.pmod(F.xxhash64(column), F.lit(bits)) + 1).alias("place")
-
-
-def _filter(rows: DataFrame, column: str) -> tuple[int, dict[int, bytes]]:
-    """A bit for the hash of each value; the number of bits follows the rows, up to ``FILTER_BITS``."""
-    n, bits = rows.select(F.approx_count_distinct(column)).first()[0], 1 << 20
-    while bits < FILTER_BITS and bits < 12 * n:
-        bits *= 2
-    made = rows.select(_place(column, bits)).groupBy(F.expr("bitmap_bucket_number(place)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bitmap"))
-    return bits, {r.k: bytes(r.bitmap) for r in made.collect()}  # bits / 32768 rows of 4 KB at most
-
-
-def _inside(shared, bits: int):
-    """Whether the filter has each row of a batch, whose last column is the ``place``."""
-    empty = bytes(4096)
-    table = np.concatenate([np.frombuffer(shared.value.get(k + 1, empty), np.uint8) for k in range(bits >> 15)])
-
-    def run(batch: pa.RecordBatch) -> np.ndarray:
-        bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False) - 1
-        return (table[bit >> 3] >> (bit & 7)) & 1 == 1
-
-    return run
-
-
-def _passing(rows: DataFrame, column: str, found: tuple[int, dict[int, bytes]], pack: str | None = None) -> DataFrame:
-    """The rows whose ``column`` the filter has, and few others; the binary column ``pack``, if any, compressed."""
-    bits, bitmaps = found
-    shared = rows.sparkSession.sparkContext.broadcast(bitmaps)
-    names = rows.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside, compress = _inside(shared, bits), zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            kept = batch.filter(pa.array(inside(batch)))
-            columns = kept.columns[:-1]
-            if pack:
-                k = names.index(pack)
-                columns[k] = pa.array([compress(x.as_py() or b"") for x in columns[k]], pa.binary())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return rows.select("*", _place(column, bits)).mapInArrow(run, ", ".join(f"{n} {kind}" for n, kind in rows.dtypes))
-
-
 def _windows_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``w1, w2, doc, start, at`` of the windows at the given places of packed texts: their digests, and places for ``FIRST``."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -293,10 +247,10 @@ class FingerprintIndex:
         run = self._write_run(fresh.groupBy("key").agg(F.count(F.lit(1)).alias("n")), name)
         repeated = materialise(self.repeated(run), "repeated")
         # an anchor that passes the filter by chance is alone below, and does no harm
-        places = _passing(fresh, "key", _filter(repeated, "key")).withColumn("is_new", F.lit(True))
-        met = _filter(repeated.where("met"), "key") if self.names else None
+        places = passing(fresh, "key", bitmap_of(repeated, "key")).withColumn("is_new", F.lit(True))
+        met = bitmap_of(repeated.where("met"), "key") if self.names else None
         for old in self.names:
-            past = _passing(self.places(old).where("NOT later").drop("later"), "key", met)
+            past = passing(self.places(old).where("NOT later").drop("later"), "key", met)
             places = places.union(past.withColumn("is_new", F.lit(False)))
         # of places with equal words around one anchor all but the earliest are settled; a task has sent one of them, or some
         same = Window.partitionBy("key", "span").orderBy(F.col("doc").asc_nulls_first(), F.shiftright("at", _START))
@@ -307,7 +261,7 @@ class FingerprintIndex:
         unsure = materialise(first.join(several, "key", "left_semi").select("doc", "at", "is_new"), "unsure")
         by_doc = unsure.groupBy("doc").agg(F.collect_list("at").alias("places"))
         every = docs if earlier is None else docs.union(earlier)
-        packed = _passing(every, "doc", _filter(unsure, "doc"), pack="text")
+        packed = passing(every, "doc", bitmap_of(unsure, "doc"), pack="text")
         of_doc = packed.join(by_doc.withColumnRenamed("doc", "_doc"), F.col("doc").eqNullSafe(F.col("_doc"))).select("doc", "text", "places")
         seen = of_doc.mapInArrow(_windows_at, "w1 long, w2 long, doc long, start long, at long")
         earliest = seen.groupBy("w1", "w2").agg(F.min(F.struct("doc", "start", "at")).alias("x")).select("x.doc", "x.at")
@@ -406,12 +360,12 @@ def _untouched(docs: DataFrame, found: tuple[int, dict[int, bytes]]) -> DataFram
     shared, none = docs.sparkSession.sparkContext.broadcast(bitmaps), np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside = _inside(shared, bits)
+        has = membership(shared, bits)
         slices = (batch.slice(k, _ROWS) for batch in batches for k in range(0, batch.num_rows, _ROWS))
-        kept = (x.filter(pa.array(~inside(x))) for x in slices)
+        kept = (x.filter(pa.array(~has(x))) for x in slices)
         yield from _batches_of((x.column(0).to_pylist(), ((t.as_py() or b"", none) for t in x.column(1))) for x in kept)
 
-    return docs.select("doc", "text", _place("doc", bits)).mapInArrow(run, _CLEANED)
+    return docs.select("doc", "text", place_of("doc", bits)).mapInArrow(run, _CLEANED)
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
@@ -441,9 +395,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
             found = index.append(part, before)
             starts = found if starts is None else starts.union(found)
     index.close()
-    touched = _filter(starts, "doc")
+    touched = bitmap_of(starts, "doc")
     starts = starts.withColumnRenamed("doc", "_doc")
-    packed = _passing(keyed, "doc", touched, pack="text").join(starts, F.col("doc").eqNullSafe(F.col("_doc")), "left").select("doc", "text", "marks")
+    packed = passing(keyed, "doc", touched, pack="text").join(starts, F.col("doc").eqNullSafe(F.col("_doc")), "left").select("doc", "text", "marks")
     out = packed.mapInArrow(_cleaned, _CLEANED).union(_untouched(keyed, touched))
     return out.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept")
 
