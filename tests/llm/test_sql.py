@@ -17,7 +17,7 @@ def rows(names, found):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings", "benchmark"):
         db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, sql = QUERIES[name](spark, SF), db.sql(ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(sql.columns)
