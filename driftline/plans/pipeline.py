@@ -21,20 +21,23 @@ def run_classify(spark: SparkSession, registry: str, out: str) -> DataFrame:
     return classify.funnel(found)
 
 
-def run_states(spark: SparkSession, raw: str, whitelist: str, out: str, kind: str = "parquet") -> DataFrame:
+def run_states(spark: SparkSession, raw: str, whitelist: str, out: str, kind: str = "parquet", days: list[str] | None = None) -> DataFrame:
     """Reports of whitelisted aircraft, a folder a day, each day in order; returns the days' counts.
 
-    Of the files in ``raw`` only those of states are read. A file with lines but without
-    an id or any time is an error; a file without a line isn't.
+    Of the files in ``raw`` only those of states are read, of ``days`` alone if given. A
+    file with lines but without an id or any time is an error; a file without a line isn't,
+    and ``files.state_file_table`` tells it. Days that aren't read stay as they are in ``out``.
     """
-    found = files.discover_states(spark, raw, whitelist)
-    for file in found:
-        if names := files.header(spark, file):
-            tables.require(list(names), "icao24", one_of=("time", "lastposupdate"))
-    reports = tables.with_date(tables.read_csv(spark, [f.path for f in found]))
+    found = files.state_file_table(spark, raw, whitelist).collect()  # a row a file
+    if bad := [r for r in found if r.problem in ("no icao24", "no time")]:
+        raise ValueError(f"{bad[0].problem} in {bad[0].path}")
+    dated = [r for r in found if r.date is not None and (not days or r.date in days)]
+    if not any(r.columns for r in dated):
+        raise ValueError(f"no file with a header in {raw}")
+    reports = tables.with_date(tables.read_csv(spark, [r.path for r in dated]))
     keys = states.whitelist_keys(tables.read_csv(spark, whitelist, numbers=()))
     order = F.col(tables.timestamp_column(reports.columns, "time", "lastposupdate")).asc_nulls_last()
-    days = sorted({files.date_of(f.name) for f in found})
+    days = sorted({r.date for r in dated})
     tables.write_days(states.of_whitelist(reports, keys), out, states.normal_id(), order, "src_order", kind=kind, days=days, whole=True)
     return states.day_summary(tables.read_table(spark, out))
 

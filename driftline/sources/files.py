@@ -5,9 +5,13 @@ from __future__ import annotations
 import csv
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 
@@ -16,58 +20,100 @@ _DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 class File:
     path: str
     size: int
+    #: The path as rows name their file: escaped as a URI.
+    uri: str = ""
 
     @property
     def name(self) -> str:
         return self.path.rsplit("/", 1)[-1]
 
 
+def _plain(uri: str) -> str:
+    return re.sub("^file:/+", "file:/", uri)
+
+
 def list_files(spark: SparkSession, paths: str | list[str]) -> list[File]:
-    """Files of paths, patterns and folders with all in them, by path; names that begin with a dot or a line are none."""
-    found, hadoop = {}, spark._jvm.org.apache.hadoop.fs
+    """Files of paths, patterns and folders with all in them, by path; names that begin with a dot or a line are none.
+
+    Spark lists them, many folders at once by a job; no file is opened.
+    """
+    found = {}
     for path in [paths] if isinstance(paths, str) else paths:
-        at = hadoop.Path(path)
-        system = at.getFileSystem(spark._jsc.hadoopConfiguration())
-        for status in system.globStatus(at) or ():
-            root = status.getPath().toString()
-            each = system.listFiles(status.getPath(), True)
-            while each.hasNext():
-                entry = each.next()
-                inner = entry.getPath().toString()
-                if not any(x.startswith((".", "_")) for x in inner[len(root) :].split("/") if x) and not inner.rsplit("/", 1)[-1].startswith((".", "_")):
-                    found[inner] = File(inner, entry.getLen())
-    return [found[k] for k in sorted(found)]
-
-
-def _stream(spark: SparkSession, path: str):
-    conf, at = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path(path)
-    raw = at.getFileSystem(conf).open(at)
-    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
-    return raw if codec is None else codec.createInputStream(raw)
-
-
-def is_parquet(spark: SparkSession, file: File) -> bool:
-    """Whether the first bytes are those of a Parquet file, whatever its name."""
-    if file.size < 12:
-        return False
-    stream = _stream(spark, file.path)
-    try:
-        return bytes(stream.read() for _ in range(4)) == b"PAR1"
-    finally:
-        stream.close()
-
-
-def header(spark: SparkSession, file: File) -> tuple[str, ...] | None:
-    """The column names of a CSV file; None of a file without a line."""
-    if not file.size:
-        return None
-    stream = _stream(spark, file.path)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([line.lstrip("﻿")]))) if line else None
+        try:
+            listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        sizes = {_plain(r.uri): r.length for r in listed.select("length", F.col("_metadata.file_path").alias("uri")).collect()}  # a row a file
+        for uri in map(_plain, listed.inputFiles()):  # the empty ones too
+            found[uri] = File(unquote(uri), sizes.get(uri, 0), uri)
+    return sorted(found.values(), key=lambda f: f.path)
+
+
+class _Opener:
+    """Opens files by their paths; one file system each scheme and host."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf, self.systems = spark._jvm, spark._jsc.hadoopConfiguration(), {}
+        self.path = self.jvm.org.apache.hadoop.fs.Path
+        self.codecs = self.jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self.conf)
+
+    def __call__(self, path: str):
+        at, root = self.path(path), path.split("/", 3)[:3] if "://" in path else path.split("/", 1)[:1]
+        system = self.systems.get(tuple(root)) or self.systems.setdefault(tuple(root), at.getFileSystem(self.conf))
+        return system.open(at)
+
+    def first_line(self, path: str) -> str | None:
+        stream = self(path)
+        try:
+            codec = None if path.lower().endswith(".csv") else self.codecs.getCodec(self.path(path))
+            if codec is None:
+                line = stream.readLine()  # each byte as a character
+                return None if line is None else line.encode("latin-1").decode("utf-8")
+            io = self.jvm.java.io
+            return io.BufferedReader(io.InputStreamReader(codec.createInputStream(stream), "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    def begins_with(self, path: str, number: int) -> bool:
+        stream = self(path)
+        try:
+            return stream.readInt() == number
+        finally:
+            stream.close()
+
+
+def _each(found: list[File], ask, at_once: int = 32) -> list:
+    """``ask`` of each file, many at once: it is waiting for the file system, not work."""
+    with ThreadPoolExecutor(max(1, min(at_once, len(found)))) as pool:
+        return list(pool.map(ask, found))
+
+
+def are_parquet(spark: SparkSession, found: list[File]) -> list[bool]:
+    """For each file whether its first bytes are those of a Parquet file, whatever its name."""
+    opener = _Opener(spark)
+    return _each(found, lambda f: f.size >= 12 and opener.begins_with(f.path, int.from_bytes(b"PAR1")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def headers(spark: SparkSession, found: list[File]) -> dict[str, tuple[str, ...] | None]:
+    """The column names of each CSV file by its path, None of a file without a line.
+
+    No source of Spark stops after a file's first line, so these few bytes a file are
+    asked of the file system itself.
+    """
+    opener = _Opener(spark)
+
+    def names(file: File) -> tuple[str, ...] | None:
+        line = opener.first_line(file.path) if file.size else None
+        return tuple(next(csv.reader([line.lstrip("\ufeff")]))) if line else None
+
+    return dict(zip((f.path for f in found), _each(found, names)))
 
 
 def date_of(name: str) -> str | None:
@@ -76,21 +122,56 @@ def date_of(name: str) -> str | None:
     return found[0] if found else None
 
 
+def in_order(found: list[File]) -> list[File]:
+    """By name, as rows of an earlier file come first; files of one name by folder."""
+    return sorted(found, key=lambda f: (f.name, f.path))
+
+
+def _may_hold_states(name: str) -> bool:
+    """CSV files that are neither registries nor whitelists nor outputs, dated or not."""
+    low = name.lower()
+    return low.endswith(".csv") and not any(x in low for x in ("aircraftdatabase", "conventionalga", "sorted", "filtered"))
+
+
 def state_files(names: list[str]) -> list[str]:
     """Of file names, in order, those of raw states: dated CSV files that are neither registries nor whitelists nor outputs."""
+    return sorted(n for n in names if _may_hold_states(n) and date_of(n) is not None)
 
-    def wanted(name: str) -> bool:
-        low = name.lower()
-        return low.endswith(".csv") and not any(x in low for x in ("aircraftdatabase", "conventionalga", "sorted", "filtered")) and date_of(name) is not None
 
-    return sorted(filter(wanted, names))
+def _state_candidates(spark: SparkSession, path: str, but: str | None) -> list[File]:
+    left_out = {f.path for f in list_files(spark, but)} if but else set()
+    return [f for f in in_order(list_files(spark, path)) if _may_hold_states(f.name) and f.path not in left_out]
 
 
 def discover_states(spark: SparkSession, path: str, but: str | None = None) -> list[File]:
-    """Raw state files of a folder, but for the file ``but`` (a whitelist); those without a line count as well, for their day."""
-    every = {f.name: f for f in list_files(spark, path)}
-    left_out = {f.path for f in list_files(spark, but)} if but else set()
-    return [every[n] for n in state_files(list(every)) if every[n].path not in left_out]
+    """Raw state files of a folder and those in it, but for the file ``but`` (a whitelist); those without a line count as well, for their day."""
+    return [f for f in _state_candidates(spark, path, but) if date_of(f.name)]
+
+
+STATE_FILES = "path string, name string, size long, date string, columns array<string>, problem string"
+
+
+def state_file_table(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
+    """What there is to read, a row a file: ``path, name, size, date, columns, problem``, in the order of reading.
+
+    ``problem`` is why a file isn't read (``undated``, ``empty``) or can't be
+    (``no icao24``, ``no time``); null of all others.
+    """
+    found = _state_candidates(spark, path, but)
+    dated = [f for f in found if date_of(f.name)]
+    columns, rows = headers(spark, dated), []
+    for f in found:
+        names, problem = columns.get(f.path), None
+        if date_of(f.name) is None:
+            problem = "undated"
+        elif names is None:
+            problem = "empty"
+        elif "icao24" not in names:
+            problem = "no icao24"
+        elif not {"time", "lastposupdate"} & set(names):
+            problem = "no time"
+        rows.append((f.path, f.name, f.size, date_of(f.name), list(names) if names else None, problem))
+    return spark.createDataFrame(rows, STATE_FILES)
 
 
 def default_paths(dt_s: float = 10.0, root: str | None = None) -> dict[str, str]:
