@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from driftline.llm.common import discard, materialise, read_table, small_batches
 from driftline.llm.components import component_of
-from driftline.llm.filters import FILTER_BITS, bitmap_of, passing
+from driftline.llm.filters import bitmap_of, passing
 from driftline.llm.words import LongText, Texts, mixed, texts, windows
 
 SHINGLE_WORDS = 5
@@ -25,6 +25,10 @@ COLUMN_BLOCKS = 8
 ROW_BLOCK = 1 << 16
 #: A frequent n-gram is in so many different documents at least; more where the corpus is so large that a filter wouldn't hold them all.
 FREQUENT = 16
+#: Bits of the two filters of n-grams: those that two documents may have, and the frequent ones. 34 MB, whatever the size of the corpus.
+TWICE_BITS, OFTEN_BITS = 28, 24
+#: Rows of a column's largest group that what is outside it is multiplied with before any pairs across groups are.
+LEADERS = 8
 #: N-grams that a task sorts at once to count them.
 _HELD = 1 << 22
 #: Digests of sets that a task remembers, to send what copies share once.
@@ -115,9 +119,8 @@ def frequency_levels(texts_: DataFrame, shingle_words: int = SHINGLE_WORDS, reme
     the more frequent: an order of the columns need only be the same for all documents.
     """
     total = texts_.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(20, max(8, int(np.ceil(np.log2(max(total / 5 / _HELD, 1))))))
-    frequent = max(FREQUENT, total // 5 // (FILTER_BITS // 8))
-    slice_bits = FILTER_BITS.bit_length() - 1 - bits
+    bits = min(OFTEN_BITS - 4, max(8, int(np.ceil(np.log2(max(total / 5 / _HELD, 1))))))
+    frequent = max(FREQUENT, total // 5 >> (OFTEN_BITS - 3))
 
     def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress, seen, held, size = zstandard.ZstdCompressor(level=1).compress, _Seen(remembered), [], 0
@@ -150,26 +153,28 @@ def frequency_levels(texts_: DataFrame, shingle_words: int = SHINGLE_WORDS, reme
         begins = np.flatnonzero(np.diff(names.astype(np.int64), prepend=-1))
         names, counts = names[begins], np.add.reduceat(counts, begins)
         maps = []
-        for least in (2, frequent):
-            flags = np.zeros(1 << slice_bits, bool)
-            flags[names[counts >= least] >> np.uint32(32 - slice_bits)] = True
+        for least, map_bits in ((2, TWICE_BITS), (frequent, OFTEN_BITS)):
+            flags = np.zeros(1 << map_bits - bits, bool)
+            flags[names[counts >= least] >> np.uint32(32 - map_bits + bits)] = True
             maps.append(np.packbits(flags, bitorder="little").tobytes())
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "twice": pa.array([maps[0]], pa.binary()), "often": pa.array([maps[1]], pa.binary())})
 
     packed = texts_.select("text").mapInArrow(sort_out, "bucket long, packed binary")
-    found = packed.groupBy("bucket").applyInArrow(count, "bucket long, twice binary, often binary").collect()  # FILTER_BITS twice
-    maps = [np.zeros(FILTER_BITS // 8, np.uint8) for _ in range(2)]
-    width = 1 << slice_bits >> 3
-    for row in found:
+    found = packed.groupBy("bucket").applyInArrow(count, "bucket long, twice binary, often binary")
+    maps = [np.zeros(1 << b >> 3, np.uint8) for b in (TWICE_BITS, OFTEN_BITS)]
+    for row in found.toLocalIterator():  # of the size of the filters in all
         for each, data in zip(maps, (row.twice, row.often)):
-            each[row.bucket * width : (row.bucket + 1) * width] = np.frombuffer(data, np.uint8)
+            each[row.bucket * len(data) : (row.bucket + 1) * len(data)] = np.frombuffer(data, np.uint8)
     return maps
 
 
 def _classes(grams: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
     """0 for n-grams that one document has, 1 for others, 2 for frequent ones."""
-    at = grams >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
-    return sum(((m[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 for m in maps), np.zeros(len(grams), np.uint8))
+    found = np.zeros(len(grams), np.uint8)
+    for each in maps:
+        at = grams >> np.uint64(64 - (len(each) * 8).bit_length() + 1)
+        found += (each[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+    return found
 
 
 def incidence(keyed: DataFrame, maps: list[np.ndarray], shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, remembered: int = REMEMBERED) -> DataFrame:
@@ -301,9 +306,10 @@ def jaccard_links(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
     Rows of equal sets have one key, and keys take part in the product once. For each
     column of the incidence matrix, all its documents are first multiplied with one of
     them, the least that any other may link with there; what this links is known to be
-    together, and only pairs that share a column but aren't together yet are multiplied
-    after that. So near copies by the thousand are multiplied with one of them each,
-    while no pair that could bring two groups together is left out.
+    together. What is then outside a column's largest group is multiplied with some rows
+    of that, and at last every pair that shares a column and isn't together yet. So near
+    copies by the thousand are multiplied with a few of them each, while no pair that
+    could bring two groups together is left out.
     """
     hashed = F.coalesce(F.col(text), F.lit("")).cast("binary")
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(hashed).alias("tid"), hashed.alias("text"))
@@ -315,35 +321,46 @@ def jaccard_links(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
     # a column counts only where a document stands that could be the smaller of a linked pair
     able = (F.col("n") - F.col("at")) * (100 + percent) >= 2 * percent * F.col("n")
     columns = entries.groupBy("gram").agg(F.min(F.struct((~able).alias("unable"), "key", "n", "at")).alias("first"), F.min("key").alias("low"), F.max("key").alias("high"))
-    columns = materialise(columns.where("low <> high AND NOT first.unable").select("gram", F.col("first.key").alias("a"), F.col("first.n").alias("n_a"), F.col("first.at").alias("at_a")), "columns")
-    bounds = lambda: may_link(F.col("n_a"), F.col("at_a"), F.col("n_b"), F.col("at_b"), percent)
+    columns = columns.where("low <> high AND NOT first.unable").select("gram", F.col("first.key").alias("a"), F.col("first.n").alias("n_a"), F.col("first.at").alias("at_a"))
+    columns = materialise(columns, "columns")
     named = entries.withColumnsRenamed({"key": "b", "n": "n_b", "at": "at_b"})
-    star = named.join(columns, "gram").where((F.col("a") != F.col("b")) & bounds()).select("a", "b", "n_b").distinct()
-    star = materialise(star, "star")
-    links = verified(star, sets, keyed, shingle_words, percent)
-    together, _ = component_of(links)
-    # columns whose documents aren't all together yet
-    held = entries.join(columns.select("gram"), "gram", "left_semi").join(together, F.col("key") == F.col("node"), "left")
-    held = held.select("gram", "key", "n", "at", F.coalesce("component", "key").alias("component"))
-    open_ = held.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-    held = materialise(held.join(materialise(open_, "open"), "gram", "left_semi").distinct(), "held")
-    counts = held.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("many"))
-    largest = materialise(counts.groupBy("gram").agg(F.max_by("component", F.struct("many", "component")).alias("largest")), "largest")
-    # every pair across components has an end outside the column's largest one
-    outside = held.join(largest, "gram").where(F.col("component") != F.col("largest")).select("gram", *[F.col(c).alias(f"{c}_a") for c in ("key", "n", "at", "component")])
-    inside = held.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "at", "component")])
-    across = outside.join(inside, "gram").where((F.col("component_a") != F.col("component_b")) & bounds())
-    swap = F.col("key_a") > F.col("key_b")
-    pick = lambda c, d: F.when(swap, F.col(d)).otherwise(F.col(c))
-    across = across.select(pick("key_a", "key_b").alias("a"), pick("key_b", "key_a").alias("b"), pick("n_b", "n_a").alias("n_b")).distinct()
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = materialise(across.join(tried, ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        links = links.union(verified(across, sets, keyed, shingle_words, percent))
-    discard(columns, held, largest)
+    held = materialise(named.join(columns, "gram"), "held")
+    bounds = lambda: (F.col("a") != F.col("b")) & may_link(F.col("n_a"), F.col("at_a"), F.col("n_b"), F.col("at_b"), percent)
+    pairs = materialise(held.where(bounds()).select("a", "b", "n_b").distinct(), "pairs")
+    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = verified(pairs, sets, keyed, shingle_words, percent)
+    for last in (False, True):
+        apart, largest = _apart(held, component_of(links)[0])
+        outside = apart.join(largest, "gram").where(F.col("component") != F.col("largest"))
+        if last:
+            # every pair across components has an end outside the column's largest one
+            other = apart.select("gram", *[F.col(c).alias(f"{c}_a") for c in ("n", "at", "component")], F.col("b").alias("a"))
+        else:
+            least = [F.min(F.struct(F.xxhash64(F.lit(k), "b").alias("h"), F.col("b").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))).alias(f"least{k}") for k in range(LEADERS)]
+            leaders = apart.join(largest, "gram").where(F.col("component") == F.col("largest")).groupBy("gram", "largest").agg(*least)
+            each = F.explode(F.array_distinct(F.array(*[f"least{k}" for k in range(LEADERS)]))).alias("x")
+            other = materialise(leaders.select("gram", F.col("largest").alias("component_a"), each).select("gram", "component_a", "x.a", "x.n_a", "x.at_a"), "leaders")
+        met = outside.withColumnsRenamed({"n": "n_b", "at": "at_b"}).join(other, "gram").where((F.col("component") != F.col("component_a")) & bounds())
+        swap = F.col("a") > F.col("b")
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b")).distinct()
+        pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tried, links = tried.union(pairs.select("a", "b")), links.union(verified(pairs, sets, keyed, shingle_words, percent))
+    discard(columns, held)
     return rows, links
 
 
+def _apart(held: DataFrame, together: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries of columns whose documents aren't all together yet, with their ``component``; and the ``largest`` of each such column."""
+    entries = held.select("gram", "b", F.col("n_b").alias("n"), F.col("at_b").alias("at")).join(together, F.col("b") == F.col("node"), "left")
+    entries = entries.select("gram", "b", "n", "at", F.coalesce("component", "b").alias("component"))
+    several = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
+    apart = materialise(entries.join(materialise(several, "several"), "gram", "left_semi").distinct(), "apart")
+    counts = apart.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("many"))
+    return apart, materialise(counts.groupBy("gram").agg(F.max_by("component", F.struct("many", "component")).alias("largest")), "largest")
+
+
 def near_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, remembered: int = REMEMBERED) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row.
 

@@ -70,7 +70,7 @@ def corpus(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed, frequent", [(1, 16), (2, 3), (3, 16)])
+@pytest.mark.parametrize("seed, frequent", [(1, 16), (2, 3)])
 def test_against_all_pairs(spark, monkeypatch, seed, frequent):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
     rows = corpus(seed) + [(None, None), (9001, None), (9002, ""), (9003, " \x0b\f "), (9004, "one"), (9005, "ONE"), (-3, "two words"), (None, "two words"), (None, "all alone without an id")]
@@ -80,7 +80,7 @@ def test_against_all_pairs(spark, monkeypatch, seed, frequent):
     assert len({c for *_, c in found}) < 0.8 * len(found)
 
 
-@pytest.mark.parametrize("percent, n", [(50, 3), (95, 2)])
+@pytest.mark.parametrize("percent, n", [(50, 3)])
 def test_other_bounds(spark, percent, n):
     rows = corpus(7, 40)
     assert result(ngram_join.near_documents(table(spark, rows), shingle_words=n, percent=percent)) == plain(rows, percent, n)
