@@ -87,8 +87,8 @@ def _channel(channel: str) -> Column:
 def on_grid(fixes: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
     """Samples at the first fix and every ``dt_s`` after it up to the last fix, for pieces with two fixes or more.
 
-    Each fix emits the grid points from itself to the next one: no join, and no task holds
-    a trajectory. ``lon_u`` stays unwrapped for what is computed from it. Of fixes that
+    Each fix emits the grid points from itself to the next one, and no others: no join, and
+    no task holds a trajectory. ``lon_u`` stays unwrapped for what is computed from it. Of fixes that
     have ``raw`` (entries of ``raw_entries``), each entry is a row as well, which counts for
     its sample in a window, and then goes.
     """
@@ -102,8 +102,15 @@ def on_grid(fixes: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
     rows = rows.withColumns({f"_next_{c}": F.lead(c).over(inside) for c in ("lat", "lon_u", "alt")})
     rows = rows.withColumn("raw_update_median_s", F.median(F.col("_next_t") - F.col("t")).over(whole))
     rows = rows.withColumn("n_samples", F.ceil((F.col("_t1") - F.col("_t0") + 1e-9) / dt))
-    low = F.greatest(F.floor((F.col("t") - F.col("_t0")) / dt) - 1, F.lit(0))
-    high = F.least(F.ceil((F.coalesce("_next_t", "t") - F.col("_t0")) / dt) + 1, F.col("n_samples") - 1)
+    timestamp = lambda k: F.col("_t0") + k * dt
+
+    def first_from(t: Column) -> Column:
+        """The number of the first grid point at ``t`` or later: by division, put right by a comparison on each side."""
+        k = F.ceil((t - F.col("_t0")) / dt)
+        return F.when(timestamp(k - 1) >= t, k - 1).when(timestamp(k) < t, k + 1).otherwise(k)
+
+    low, last = F.greatest(first_from(F.col("t")), F.lit(0)), F.col("n_samples") - 1
+    high = F.least(F.coalesce(first_from(F.col("_next_t")) - 1, last), last)
     points = F.when(low <= high, F.sequence(low, high))
     if "raw" in rows.columns:
         none = F.lit(None).cast(rows.schema["raw"].dataType.elementType)
@@ -112,16 +119,12 @@ def on_grid(fixes: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
         made = made.withColumns({"sample_idx": F.col("_entry.sample_idx"), "raw": F.col("_entry.raw")})
     else:
         made = rows.withColumn("sample_idx", F.explode(points))
-    made = made.withColumn("timestamp", F.col("_t0") + F.col("sample_idx") * dt)
-    last = (F.col("_next_t").isNull()) & (F.col("timestamp") >= F.col("t"))
-    sample = (F.col("t") <= F.col("timestamp")) & ((F.col("timestamp") < F.col("_next_t")) | last)
+    made = made.withColumn("timestamp", timestamp(F.col("sample_idx")))
     raw = {}
     if "raw" in rows.columns:
         at = Window.partitionBy(*_PIECE, "sample_idx")
         raw = {name: value(F.col(f"raw.{field}")).over(at) for name, field, value in RAW}
-        made = made.where(sample | F.col("raw").isNotNull()).withColumns(raw).where("raw IS NULL")
-    else:
-        made = made.where(sample)
+        made = made.withColumns(raw).where("raw IS NULL")
     values = {c: _between(F.col(c), F.col(f"_next_{c}"), F.col("t"), F.col("_next_t"), F.col("timestamp")) for c in ("lat", "lon_u", "alt")}
     nearest = F.least(F.col("timestamp") - F.col("t"), F.abs(F.col("_next_t") - F.col("timestamp")))
     carried = [c for c in ("callsign",) if c in rows.columns]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.config import HIGH_ALTITUDE_M, LOW_ALTITUDE_M, NULL_ISLAND_DEG, SegmentConfig
 from driftline.functions.geo import haversine_m
-from driftline.functions.percentile import beside, percentiles, weighted_counts
+from driftline.functions.percentile import beside, percentiles
 from driftline.functions.text import callsign, flag
 from driftline.sources.tables import require, timestamp_column
 
@@ -33,9 +33,9 @@ def dealt(states: DataFrame) -> DataFrame:
     """The reports by aircraft and day: the one exchange that all steps from here on share.
 
     Reports without an id would meet in one task; they are spread by their time. Windows
-    have the key ``_aircraft`` in their partition, which is the id wherever there is one.
+    have the key ``_aircraft`` in their partition, which is the trimmed id wherever there is one.
     """
-    key = F.when(_has_id(), F.col("icao24")).otherwise(F.concat(F.lit("?"), F.col("t").cast("string")))
+    key = F.when(_has_id(), F.trim("icao24")).otherwise(F.concat(F.lit("?"), F.col("t").cast("string")))
     return states.withColumn("_aircraft", key).repartition("date", "_aircraft")
 
 
@@ -188,6 +188,41 @@ def segments_of(states: DataFrame, config: SegmentConfig = SegmentConfig()) -> D
     return segment_points(states, config).where("is_valid").drop("is_valid", "is_persistent", "points_removed", "starts_segment")
 
 
+def verdicts(states: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
+    """Every report of the days, with ``removed_by`` and, where that is null, all of ``segment_points``; in one read and one exchange.
+
+    ``removed_by`` is ``stale``, ``no_time``, ``repeated`` or the first condition of cleaning that a
+    report fails. Removed reports take no part in the windows of the others: they are
+    aircraft of their own there, under the column ``_id``.
+    """
+    lagging = {"time", "lastposupdate"} <= set(states.columns)
+    is_fresh = F.coalesce((F.col("time") - F.col("lastposupdate")).between(0, config.max_lag_s), F.lit(False)) if lagging else F.lit(True)
+    rows = dealt(with_time(states)).withColumn("_fresh", is_fresh)
+    at = Window.partitionBy(*_AIRCRAFT, "_aircraft", "_fresh", "t").orderBy("src_order")
+    rows = judged(rows.withColumn("_n", F.row_number().over(at)))
+    early = F.when(~F.col("_fresh"), "stale").when(F.col("t").isNull(), "no_time").when(F.col("_n") > 1, "repeated")
+    rows = rows.withColumn("removed_by", F.coalesce(early, "removed_by")).drop("_fresh", "_n")
+    own = F.concat(F.lit("!"), F.col("src_order").cast("string"))
+    rows = rows.withColumn("_id", F.col("icao24")).withColumn("icao24", F.when(F.col("removed_by").isNotNull(), own).otherwise(F.col("icao24")))
+    also = ("_aircraft",)
+    return judged_segments(remove_glitches(assign_segments(rows, config.gap_split_s, also), config, also), config, also)
+
+
+def points_of(judged_rows: DataFrame) -> DataFrame:
+    """Points of the valid segments of ``verdicts``, as ``segments_of`` has them."""
+    kept = judged_rows.where(F.col("removed_by").isNull() & F.col("is_valid"))
+    return kept.drop("removed_by", "is_valid", "is_persistent", "points_removed", "starts_segment", "_id", "_aircraft")
+
+
+def removals(judged_rows: DataFrame) -> DataFrame:
+    """The funnel of cleaning by day, from ``verdicts``: ``clean_funnel`` without reading the reports again."""
+    by = F.col("removed_by")
+    asked = by.isNull() | by.isin(*[name for name, _ in _clean_steps()])
+    # a report that a pass removes as a glitch isn't among the rows, but in ``points_removed`` of its segment
+    removed = [F.count_if(by == name).alias(f"removed_{name}") for name, _ in _clean_steps()]
+    return judged_rows.where(asked).groupBy("date").agg(*removed)
+
+
 #: The accounts of a day but for its durations, in the order of ``day_summary``.
 _COUNTS = (
     "rows_input", "unique_aircraft_input", "rows_after_freshness", "rows_after_basic_cleaning", "rows_removed_glitch_points", "segments_discarded_persistent_violations",
@@ -196,55 +231,58 @@ _COUNTS = (
 
 
 def day_summary(states: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """The accounts of each day, and ``rows_in_discarded_segments``, which no other column has.
+    """The accounts of each day, and ``rows_in_discarded_segments``, which no other column has; the reports are read once."""
+    return accounts(verdicts(states, config))
 
-    The reports are read twice: once for counts of the raw rows, and once through all
-    steps. Of the steps everything comes as weighted counts by channel in one pass: sums
-    have the value 0, a segment's duration its own.
+
+def accounts(judged_rows: DataFrame) -> DataFrame:
+    """``day_summary`` from ``verdicts``.
+
+    Rows are counted by segment first and then by day and duration, whose counts give
+    both the sums of a day and its median; in the partitioning of the windows the first
+    of these needs no exchange.
     """
-    raw = states.groupBy("date").agg(
-        F.count(F.lit(1)).alias("rows_input"), F.count_distinct(F.coalesce(F.trim("icao24"), F.lit("nan"))).alias("unique_aircraft_input")
-    )
-    reports = judged(_first_of_time(dealt(with_time(fresh(states, config.max_lag_s)))))
-    # rows that cleaning removes take no part in the windows of the others: they are aircraft of their own
-    apart = F.col("removed_by").isNotNull()
-    reports = reports.withColumn("_id", F.col("icao24")).withColumn("icao24", F.when(apart, F.concat(F.lit("!"), F.col("src_order").cast("string"))).otherwise(F.col("icao24")))
-    points = judged_segments(remove_glitches(assign_segments(reports, config.gap_split_s, ("_aircraft",)), config, ("_aircraft",)), config, ("_aircraft",))
-    by_segment = points.groupBy("date", "_aircraft", "icao24", "segment_id").agg(
-        F.max(apart).alias("apart"),
+    by_segment = judged_rows.groupBy("date", "_aircraft", "icao24", "segment_id").agg(
+        F.max("removed_by").alias("removed_by"),
         F.count(F.lit(1)).alias("n"),
-        F.first("points_removed").alias("removed"),
-        F.first("is_persistent").alias("persistent"),
-        F.first("is_valid").alias("valid"),
+        F.first("points_removed").alias("glitches"),
+        F.first("is_persistent").alias("is_persistent"),
+        F.first("is_valid").alias("is_valid"),
         F.min_by("segment_duration_s", "t").alias("duration"),
+        F.max(F.coalesce(F.trim("_id"), F.lit("nan"))).alias("id"),
     )
-    of_aircraft = Window.partitionBy("date", "_aircraft", "icao24").orderBy("segment_id")
-    by_segment = by_segment.withColumn("valid", F.col("valid") & ~F.col("apart")).withColumn("persistent", F.col("persistent") & ~F.col("apart"))
+    inside, known = F.col("removed_by").isNull(), F.substring("_aircraft", 1, 1) != "?"
+    by_segment = by_segment.withColumns({"valid": inside & F.col("is_valid"), "persistent": inside & F.col("is_persistent"), "all_rows": F.col("n") + F.col("glitches")})
+    of_id, of_aircraft = Window.partitionBy("date", "_aircraft"), Window.partitionBy("date", "_aircraft", "icao24").orderBy("segment_id")
     kept_before = F.coalesce(F.max("valid").over(of_aircraft.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
-    by_segment = by_segment.withColumn("first_valid", F.col("valid") & ~kept_before)
-    inside, all_rows = ~F.col("apart"), F.col("n") + F.col("removed")
+    by_segment = by_segment.withColumns({"first_valid": F.col("valid") & ~kept_before, "first_of_id": known & (F.row_number().over(of_id.orderBy("icao24", "segment_id")) == 1)})
+    early = F.coalesce(F.col("removed_by").isin("stale", "no_time", "repeated"), F.lit(False))
     sums = {
-        "rows_after_freshness": all_rows,
-        "rows_after_basic_cleaning": F.when(inside, all_rows),
-        "rows_removed_glitch_points": F.when(inside & ~F.col("persistent"), F.col("removed")),
+        "rows_input": F.col("all_rows"),
+        "unique_aircraft_input": F.when(F.col("first_of_id"), 1),
+        "rows_after_freshness": F.when(~early, F.col("all_rows")),
+        "rows_after_basic_cleaning": F.when(inside, F.col("all_rows")),
+        "rows_removed_glitch_points": F.when(inside & ~F.col("persistent"), F.col("glitches")),
         "segments_discarded_persistent_violations": F.when(F.col("persistent"), 1),
-        "rows_in_discarded_segments": F.when(F.col("persistent"), all_rows),
+        "rows_in_discarded_segments": F.when(F.col("persistent"), F.col("all_rows")),
         "rows_removed_short_segments": F.when(inside & ~F.col("persistent") & ~F.col("valid"), F.col("n")),
         "rows_after_segmentation": F.when(F.col("valid"), F.col("n")),
         "unique_aircraft_output": F.when(F.col("first_valid"), 1),
         "num_segments_output": F.when(F.col("valid"), 1),
     }
-    channels = {k: (F.lit(0.0), v) for k, v in sums.items()} | {"duration": (F.when(F.col("valid"), F.col("duration")), F.lit(1))}
-    counts = weighted_counts(by_segment, ["date"], channels)
-    of = lambda k, v: F.when(F.col("channel") == k, v)
-    total = F.sum(of("duration", F.col("value") * F.col("n")))
+    unknown = F.collect_set(F.when(~known, F.col("id")))  # spellings of no id: a few
+    counts = by_segment.groupBy("date", F.when(F.col("valid"), F.col("duration")).alias("value")).agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(k) for k, v in sums.items()], F.count_if("valid").alias("n"), unknown.alias("unknown")
+    )
     ended = counts.groupBy("date").agg(
-        *[F.coalesce(F.sum(of(k, F.col("n"))), F.lit(0)).alias(k) for k in sums],
-        F.coalesce(F.try_divide(total, F.sum(of("duration", F.col("n")))), F.lit(0.0)).alias("mean_segment_duration_s"),
-        F.coalesce(F.max(of("duration", F.col("value"))), F.lit(0.0)).alias("max_segment_duration_s"),
+        *[F.sum(k).alias(k) for k in sums],
+        F.size(F.array_distinct(F.flatten(F.collect_list("unknown")))).alias("unknown"),
+        F.coalesce(F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")), F.lit(0.0)).alias("mean_segment_duration_s"),
+        F.coalesce(F.max("value"), F.lit(0.0)).alias("max_segment_duration_s"),
     )
-    middle = percentiles(counts, ["date"], {"duration": (0.5,)}).select("date", F.col("x").alias("median_segment_duration_s"))
-    return beside(raw, ended, middle).select(
+    ended = ended.withColumn("unique_aircraft_input", F.col("unique_aircraft_input") + F.col("unknown"))
+    middle = percentiles(counts.select("date", F.lit("duration").alias("channel"), "value", "n"), ["date"], {"duration": (0.5,)})
+    return beside(ended, middle.select("date", F.col("x").alias("median_segment_duration_s"))).select(
         "date",
         *_COUNTS,
         (F.col("rows_input") - F.col("rows_after_freshness")).alias("rows_removed_freshness"),

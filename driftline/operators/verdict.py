@@ -41,10 +41,19 @@ def all_samples(segments: DataFrame, config: GridConfig = GridConfig()) -> DataF
     return judged(motion(on_grid(pieces(segments, config.max_gap_s), config)), config)
 
 
+def judged_trajectories(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
+    """All samples with the raw dynamics between them and ``reason``; in the partitioning of the segments."""
+    return judged(motion(on_grid(raw_entries(pieces(segments, config.max_gap_s), config.dt_s), config)), config)
+
+
 def trajectories(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """The samples of the trajectories that stay, with the raw dynamics between samples; in the partitioning of the segments."""
-    fixes = raw_entries(pieces(segments, config.max_gap_s), config.dt_s)
-    kept = judged(motion(on_grid(fixes, config)), config).where("reason IS NULL").drop("reason")
+    """The samples of the trajectories that stay."""
+    return trajectories_of(judged_trajectories(segments, config))
+
+
+def trajectories_of(samples: DataFrame) -> DataFrame:
+    """``trajectories`` from ``judged_trajectories``."""
+    kept = samples.where("reason IS NULL").drop("reason")
     out = output_longitudes(kept).withColumns({"n_raw_fixes": F.coalesce("n_raw_fixes", F.lit(0)), "source_segment_id": F.col("segment_id")})
     have = set(out.columns)
     order = """date icao24 callsign segment_id trajectory_id source_segment_id sample_idx timestamp dt_s lat_interp lon_interp alt_interp lat_smooth lon_smooth alt_smooth
@@ -56,17 +65,27 @@ def trajectories(segments: DataFrame, config: GridConfig = GridConfig()) -> Data
 
 def dropped(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
     """A row for each trajectory that was dropped: ``date, trajectory_id, source_segment_id, reason, n_samples, duration_s``."""
+    return dropped_of(all_samples(segments, config), segments, config)
+
+
+def dropped_of(samples: DataFrame, segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
+    """``dropped`` from judged samples, and from the segments' keys and times for pieces of one fix, which have no samples."""
     tiny = pieces(segments, config.max_gap_s).where("n_fixes < 2")
     tiny = tiny.select("date", "trajectory_id", F.col("segment_id").alias("source_segment_id"), F.lit("min_points").alias("reason"), F.col("n_fixes").alias("n_samples"), F.lit(0.0).alias("duration_s"))
-    judged_ = all_samples(segments, config).where("reason IS NOT NULL AND sample_idx = 0")
-    return judged_.select("date", "trajectory_id", F.col("segment_id").alias("source_segment_id"), "reason", "n_samples", F.col("trajectory_duration_s").alias("duration_s")).union(tiny)
+    first = samples.where("reason IS NOT NULL AND sample_idx = 0")
+    return first.select("date", "trajectory_id", F.col("segment_id").alias("source_segment_id"), "reason", "n_samples", F.col("trajectory_duration_s").alias("duration_s")).union(tiny)
 
 
 def day_summary(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """The accounts of each day, days without any trajectory too.
+    """The accounts of each day, days without any trajectory too."""
+    return accounts(all_samples(segments, config), segments, config)
+
+
+def accounts(samples: DataFrame, segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
+    """``day_summary`` from judged samples and, for what has no samples, the segments' keys and times.
 
     Samples and trajectories are counted by value and channel in one pass; counts and
-    exact percentiles come from that. What has no samples is counted on the pieces.
+    exact percentiles come from that.
     """
     split = pieces(segments.withColumn("_reports", F.count(F.lit(1)).over(Window.partitionBy("date", "icao24", "segment_id", "t"))), config.max_gap_s)
     by_segment = split.groupBy("date", "icao24", "segment_id").agg(
@@ -88,7 +107,7 @@ def day_summary(segments: DataFrame, config: GridConfig = GridConfig()) -> DataF
         **{f"dropped_{r}": first & (F.col("reason") == r) for r in REASONS},
     }
     channels = {c: F.when(stays, v) for c, v in motions.items()} | {c: F.when(v, 0.0) for c, v in tallies.items()}
-    counts = value_counts(all_samples(segments, config), ["date"], channels)
+    counts = value_counts(samples, ["date"], channels)
     tallied = counts.groupBy("date").agg(*[F.sum(F.when(F.col("channel") == c, F.col("n"))).alias(c) for c in tallies])
     ranks = percentiles(counts, ["date"], dict.fromkeys(motions, (0.5, 0.95)))
     names = {(c, p): f"{word}_{c}" for c in motions for word, p in (("median", 0.5), ("p95", 0.95))}

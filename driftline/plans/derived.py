@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.sources.files import list_files
+from driftline.sources.folders import rename, shared_folder
+
 #: Manufacturer, model and type code; part k takes row k modulo their number.
 AIRCRAFT: tuple[tuple[str | None, str | None, str | None], ...] = (
     ("CESSNA", "172S", "L1P"),
@@ -108,3 +111,24 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = once.withColumn("_again", F.explode(F.when(e_again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     again = F.col("_again")
     return twice.withColumns({"time": F.col("time") + again, "velocity": F.col("velocity") + again, "src_order": F.col("src_order") + again * F.lit(1000000000)}).drop("_again")
+
+
+#: Folder, file, columns and rows of the files that ``state_files`` writes, in the order in which they are to be read.
+LAYOUTS = (
+    ("a", "00", ("icao24", "time", "lastposupdate", "report", "velocity"), "src_order % 40 = 1 OR src_order >= 1000000000 AND src_order % 2 = 0"),
+    ("b", "00", ("velocity", "report", "lastposupdate", "time", "icao24"), "src_order < 1000000000 AND src_order % 40 <> 1"),
+    ("a", "01", ("report", "icao24", "time", "lastposupdate"), "src_order >= 1000000000 AND src_order % 2 = 1 AND src_order % 40 <> 1"),
+)
+
+
+def state_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of CSV files with the reports: a small file first, one name in two folders, three headers, reports of one time in several files."""
+    at = shared_folder(spark, "states")
+    rows = states(spark, sf_dir).withColumn("report", F.col("src_order"))
+    for k, (folder, hour, columns, chosen) in enumerate(LAYOUTS):
+        part = rows.where(chosen).repartition(1).sortWithinPartitions("src_order").select("date", *columns)
+        part.write.partitionBy("date").option("header", True).csv(f"{at}/written-{k}")
+        for file in list_files(spark, f"{at}/written-{k}"):
+            day = file.path.split("/date=")[1][:10]
+            rename(spark, file.path, f"{at}/in/{folder}/states_{day}-{hour}.csv")
+    return f"{at}/in"

@@ -331,4 +331,10 @@ SELECT CAST(r.date AS VARCHAR) AS date, trajectory_id, round(d, 6) AS trajectory
 SELECT trajectory_id, sample_idx, is_interpolated, round((lon_interp - mlon) * cos(radians(mlat)) * 111.32::DOUBLE, 6) AS east_km, round((lat_interp - mlat) * 111.32::DOUBLE, 6) AS north_km FROM samples JOIN m USING (date, trajectory_id)""",
     "union_days": f"WITH {STATES} SELECT CAST(date AS VARCHAR) AS date, src_order, velocity, CAST(NULL AS DOUBLE) AS heading FROM states WHERE date = DATE '2022-06-06' UNION ALL SELECT CAST(date AS VARCHAR), src_order, NULL, heading FROM states WHERE date <> DATE '2022-06-06'",
     "registry_enrich": f"WITH {REGISTRY}, {VALID}, a AS (SELECT icao24, count(*) AS points FROM val GROUP BY icao24), k AS (SELECT lower(trim(icao24)) AS icao24, manufacturername, model FROM flags WHERE is_kept) SELECT a.icao24, points, manufacturername, model FROM a LEFT JOIN k USING (icao24)",
+    "file_order_first": f"""WITH {STATES}, ranked AS (
+  SELECT *, CASE WHEN src_order % 40 = 1 OR src_order >= 1000000000 AND src_order % 2 = 0 THEN 0 WHEN src_order < 1000000000 THEN 1 ELSE 2 END AS nth FROM states
+) SELECT CAST(date AS VARCHAR) AS date, nullif(icao24, ' ') AS icao24, lastposupdate AS t, src_order AS report, CASE WHEN nth < 2 THEN velocity END AS velocity
+FROM ranked WHERE lastposupdate IS NOT NULL QUALIFY row_number() OVER (PARTITION BY date, nullif(icao24, ' '), lastposupdate ORDER BY nth, src_order) = 1""",
+    "file_inventory": f"""WITH {STATES} SELECT 'states_' || CAST(date AS VARCHAR) || '-' || hour || '.csv' AS name, CAST(date AS VARCHAR) AS date, columns, CAST(NULL AS VARCHAR) AS problem
+FROM (SELECT DISTINCT date FROM states), (VALUES ('00', 'icao24,time,lastposupdate,report,velocity'), ('00', 'velocity,report,lastposupdate,time,icao24'), ('01', 'report,icao24,time,lastposupdate')) v(hour, columns)""",
 }

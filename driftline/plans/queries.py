@@ -11,7 +11,8 @@ from driftline.config import GridConfig, SegmentConfig
 from driftline.functions.text import callsign, flag
 from driftline.operators import classify, gates, grid, motion, profiles, segments, states, verdict
 from driftline.plans import derived
-from driftline.sources.tables import union_all
+from driftline.sources import files
+from driftline.sources.tables import read_csv, union_all, with_date
 
 #: Derived reports are sparse; these bounds leave trajectories at every scale.
 SEGMENTS = SegmentConfig(gap_split_s=120.0, min_duration_s=200.0, min_points=8)
@@ -327,3 +328,18 @@ def registry_enrich(spark, sf_dir):
     known = classify.whitelist(derived.registry(spark, sf_dir)).select(states.normal_id().alias("icao24"), "manufacturername", "model")
     aircraft = valid(spark, sf_dir).groupBy("icao24").agg(F.count(F.lit(1)).alias("points"))
     return aircraft.join(known, "icao24", "left")
+
+
+@query
+def file_order_first(spark, sf_dir):
+    """Of reports of one time in several files, that of the first file by name."""
+    found = files.discover_states(spark, derived.state_files(spark, sf_dir))
+    rows = with_date(read_csv(spark, [f.path for f in found]))
+    return dated(segments.first_reports(segments.with_time(rows)).select("date", "icao24", "t", F.col("report").cast("long").alias("report"), "velocity"))
+
+
+@query
+def file_inventory(spark, sf_dir):
+    """Files to read by day, with their columns, in the order of reading."""
+    found = files.state_file_table(spark, derived.state_files(spark, sf_dir))
+    return found.select("name", "date", F.array_join("columns", ",").alias("columns"), "problem")

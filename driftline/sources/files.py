@@ -187,4 +187,5 @@ def default_paths(dt_s: float = 10.0, root: str | None = None) -> dict[str, str]
         "segments": f"{root}/segments",
         "out": f"{root}/resampled",
         "trajectories": f"{root}/resampled/{spacing_tag(dt_s)}/trajectories",
+        "figures": f"{root}/figures/{spacing_tag(dt_s)}",
     }
