@@ -29,6 +29,8 @@ FREQUENT = 16
 TWICE_BITS, OFTEN_BITS = 28, 24
 #: Rows of a column's largest group that what is outside it is multiplied with before any pairs across groups are.
 LEADERS = 8
+#: Column blocks of a set's parities: 64 to a long.
+PARITIES = 512
 #: N-grams that a task sorts at once to count them.
 _HELD = 1 << 22
 #: Digests of sets that a task remembers, to send what copies share once.
@@ -177,8 +179,17 @@ def _classes(grams: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
     return found
 
 
+def parities(grams: np.ndarray, blocks: int = PARITIES) -> np.ndarray:
+    """For each of many column blocks whether it has an odd number of the n-grams, as longs.
+
+    Blocks in which two sets differ hold an n-gram that only one of them has, at the least.
+    """
+    odd = np.bincount((grams >> np.uint64(7)) & np.uint64(blocks - 1), minlength=blocks) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def incidence(keyed: DataFrame, maps: list[np.ndarray], shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, remembered: int = REMEMBERED) -> DataFrame:
-    """``doc_id, tid, key, n, grams, at`` for each row: a digest of its set, the set's size, and its rarest n-grams with their places.
+    """``doc_id, tid, key, n, grams, at, odd`` for each row: a digest of its set, the set's size, its rarest n-grams with their places, and parities.
 
     N-grams are ordered by their frequency class and hash. Of two sets that link, the
     first that they share stands among the first ``n - ceil(0.8 n) + 1`` of either, so
@@ -190,7 +201,7 @@ def incidence(keyed: DataFrame, maps: list[np.ndarray], shingle_words: int = SHI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, maps = _Seen(remembered), shared.value
         for batch in batches:
-            keys, sizes, grams_of, at_of = [], [], [], []
+            keys, sizes, grams_of, at_of, odd_of = [], [], [], [], []
             for _, grams in gram_sets(batch.column(2), shingle_words):
                 key = _digest(grams) if len(grams) else None
                 keys.append(key)
@@ -198,17 +209,19 @@ def incidence(keyed: DataFrame, maps: list[np.ndarray], shingle_words: int = SHI
                 if key is None or seen(key):
                     grams_of.append(None)
                     at_of.append(None)
+                    odd_of.append(None)
                     continue
                 kinds = _classes(grams, maps)
                 order = np.argsort(kinds, kind="stable")[: len(grams) - least_share(len(grams), percent) + 1]
                 at = np.flatnonzero(kinds[order])
                 grams_of.append(grams[order[at]].view(np.int64))
                 at_of.append(at)
-            columns = [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(grams_of, pa.list_(pa.int64())), pa.array(at_of, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "key", "n", "grams", "at"])
+                odd_of.append(parities(grams))
+            columns = [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(grams_of, pa.list_(pa.int64())), pa.array(at_of, pa.list_(pa.int64())), pa.array(odd_of, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "key", "n", "grams", "at", "odd"])
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    return keyed.select("doc_id", "tid", "text").mapInArrow(run, f"doc_id {kind}, tid long, key binary, n long, grams array<long>, at array<long>")
+    return keyed.select("doc_id", "tid", "text").mapInArrow(run, f"doc_id {kind}, tid long, key binary, n long, grams array<long>, at array<long>, odd array<long>")
 
 
 def may_link(n: Column, at: Column, other_n: Column, other_at: Column, percent: int = PERCENT) -> Column:
@@ -218,6 +231,13 @@ def may_link(n: Column, at: Column, other_n: Column, other_at: Column, percent:
     return fit & (left * (100 + percent) >= (n + other_n) * percent)
 
 
+def near_parities(n: Column, odd: Column, other_n: Column, other_odd: Column, percent: int = PERCENT) -> Column:
+    """Whether no more blocks differ in their parities than n-grams that two sets that link may have alone."""
+    differ = sum((F.bit_count(odd[k].bitwiseXOR(other_odd[k])) for k in range(PARITIES // 64)), F.lit(0))
+    total = n + other_n
+    return differ <= total - 2 * F.ceil(percent * total / (100 + percent))
+
+
 def linked_rows(row: np.ndarray, others: list[np.ndarray], percent: int = PERCENT, blocks: int = COLUMN_BLOCKS) -> np.ndarray:
     """One row of the product with a block of rows: which of ``others`` share enough with ``row``.
 
@@ -316,7 +336,8 @@ def jaccard_links(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
     with small_batches(keyed.sparkSession):
         maps = frequency_levels(keyed, shingle_words, remembered)
         rows = materialise(incidence(keyed, maps, shingle_words, percent, remembered), "incidence")
-    sets = materialise(rows.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "tid")).alias("x")).select("key", "x.doc_id", "x.tid"), "sets")
+    sets = rows.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "tid")).alias("x"), F.max("odd").alias("odd")).select("key", "x.doc_id", "x.tid", "odd")
+    sets = materialise(sets, "sets")
     entries = rows.where("size(grams) > 0").select("key", "n", F.explode(F.arrays_zip("grams", "at")).alias("x")).select(F.col("x.grams").alias("gram"), "key", "n", "x.at")
     # a column counts only where a document stands that could be the smaller of a linked pair
     able = (F.col("n") - F.col("at")) * (100 + percent) >= 2 * percent * F.col("n")
@@ -330,17 +351,18 @@ def jaccard_links(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = verified(pairs, sets, keyed, shingle_words, percent)
     for last in (False, True):
-        apart, largest = _apart(held, component_of(links)[0])
+        apart, largest = _apart(held, component_of(links)[0], sets.select("key", "odd"))
         outside = apart.join(largest, "gram").where(F.col("component") != F.col("largest"))
         if last:
             # every pair across components has an end outside the column's largest one
-            other = apart.select("gram", *[F.col(c).alias(f"{c}_a") for c in ("n", "at", "component")], F.col("b").alias("a"))
+            other = apart.select("gram", *[F.col(c).alias(f"{c}_a") for c in ("n", "at", "component", "odd")], F.col("b").alias("a"))
         else:
-            least = [F.min(F.struct(F.xxhash64(F.lit(k), "b").alias("h"), F.col("b").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))).alias(f"least{k}") for k in range(LEADERS)]
+            least = [F.min(F.struct(F.xxhash64(F.lit(k), "b").alias("h"), F.col("b").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("odd").alias("odd_a"))).alias(f"least{k}") for k in range(LEADERS)]
             leaders = apart.join(largest, "gram").where(F.col("component") == F.col("largest")).groupBy("gram", "largest").agg(*least)
             each = F.explode(F.array_distinct(F.array(*[f"least{k}" for k in range(LEADERS)]))).alias("x")
-            other = materialise(leaders.select("gram", F.col("largest").alias("component_a"), each).select("gram", "component_a", "x.a", "x.n_a", "x.at_a"), "leaders")
-        met = outside.withColumnsRenamed({"n": "n_b", "at": "at_b"}).join(other, "gram").where((F.col("component") != F.col("component_a")) & bounds())
+            other = materialise(leaders.select("gram", F.col("largest").alias("component_a"), each).select("gram", "component_a", "x.a", "x.n_a", "x.at_a", "x.odd_a"), "leaders")
+        near = near_parities(F.col("n_a"), F.col("odd_a"), F.col("n_b"), F.col("odd"), percent)
+        met = outside.withColumnsRenamed({"n": "n_b", "at": "at_b"}).join(other, "gram").where((F.col("component") != F.col("component_a")) & bounds() & near)
         swap = F.col("a") > F.col("b")
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b")).distinct()
         pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
@@ -351,12 +373,13 @@ def jaccard_links(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
     return rows, links
 
 
-def _apart(held: DataFrame, together: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The entries of columns whose documents aren't all together yet, with their ``component``; and the ``largest`` of each such column."""
+def _apart(held: DataFrame, together: DataFrame, odd: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries of columns whose documents aren't all together yet, with their ``component`` and parities; and the ``largest`` of each such column."""
     entries = held.select("gram", "b", F.col("n_b").alias("n"), F.col("at_b").alias("at")).join(together, F.col("b") == F.col("node"), "left")
     entries = entries.select("gram", "b", "n", "at", F.coalesce("component", "b").alias("component"))
     several = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-    apart = materialise(entries.join(materialise(several, "several"), "gram", "left_semi").distinct(), "apart")
+    apart = entries.join(materialise(several, "several"), "gram", "left_semi").distinct()
+    apart = materialise(apart.join(odd, F.col("b") == F.col("key")).drop("key"), "apart")
     counts = apart.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("many"))
     return apart, materialise(counts.groupBy("gram").agg(F.max_by("component", F.struct("many", "component")).alias("largest")), "largest")
 

@@ -135,6 +135,17 @@ def test_rows_of_the_product():
         assert ngram_join.linked_rows(row, sets).tolist() == want
 
 
+def test_parities_never_part_what_links():
+    r = np.random.default_rng(2)
+    for n in (1, 3, 40, 146, 900):
+        base = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        for changed in {0, 1, n // 12, n // 9, n // 7, n // 4}:
+            other = np.unique(np.concatenate([base[changed:], r.integers(0, 2**63, changed).astype(np.uint64)]))
+            differ = sum(int(x).bit_count() for x in (ngram_join.parities(base) ^ ngram_join.parities(other)).view(np.uint64))
+            alone = len(np.setxor1d(base, other))
+            assert differ <= alone and (n > 200 or differ > 0.7 * alone - 2)
+
+
 def test_no_rows(spark):
     assert ngram_join.near_documents(table(spark, [])).collect() == []
     assert result(ngram_join.near_documents(table(spark, [(1, None), (None, "")]))) == [(1, 0, 1), (None, 0, None)]
