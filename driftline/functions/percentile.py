@@ -17,10 +17,14 @@ def weighted_counts(rows: DataFrame, by: Sequence[str], channels: Mapping[str, t
     One pass over the rows whatever the number of channels, with partial sums before the
     shuffle, which deals by value, so that no group is gathered.
     """
+    return _entries(rows, by, channels).groupBy(*by, "channel", "value").agg(F.sum("n").alias("n"))
+
+
+def _entries(rows: DataFrame, by: Sequence[str], channels: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """``by``, ``channel``, ``value``, ``n``: a row for each channel that a row has."""
     entries = F.array(*[F.struct(F.lit(c).alias("channel"), v.cast("double").alias("value"), w.cast("long").alias("n")) for c, (v, w) in channels.items()])
     kept = F.filter(entries, lambda x: x["value"].isNotNull() & x["n"].isNotNull())
-    flat = rows.select(*by, F.explode(kept).alias("x")).select(*by, "x.channel", (F.col("x.value") + 0.0).alias("value"), "x.n")
-    return flat.groupBy(*by, "channel", "value").agg(F.sum("n").alias("n"))
+    return rows.select(*by, F.explode(kept).alias("x")).select(*by, "x.channel", (F.col("x.value") + 0.0).alias("value"), "x.n")
 
 
 def value_counts(rows: DataFrame, by: Sequence[str], channels: Mapping[str, Column]) -> DataFrame:
@@ -58,18 +62,38 @@ def percentiles(counts: DataFrame, by: Sequence[str], wanted: Mapping[str, Seque
     these are sorted. The shuffle of ``counts`` serves both.
     """
     keys = [*by, "channel"]
+    # no condition here that could sink below the counts' shuffle, or it would be done once for each use
+    binned = counts.withColumn("bin", _bin())
+    return _at_ranks_of(binned, keys, _holding(binned.groupBy(*keys, "bin").agg(F.sum("n").alias("n")), keys, wanted))
+
+
+def selected(rows: DataFrame, by: Sequence[str], channels: Mapping[str, Column], wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+    """The same from the rows themselves, in two reads: what is shuffled are counts of bins, and then the values of the few bins that hold a rank."""
+    keys = [*by, "channel"]
+    entries = _entries(rows, by, {c: (v, F.lit(1)) for c, v in channels.items()}).withColumn("bin", _bin())
+    held = _holding(entries.groupBy(*keys, "bin").agg(F.sum("n").alias("n")), keys, wanted)
+    same = F.col("bin").eqNullSafe(F.col("_bin"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    near = entries.join(held.select(*[f"_{k}" for k in keys], "_bin").distinct(), same, "left_semi")
+    return _at_ranks_of(near.groupBy(*keys, "bin", "value").agg(F.sum("n").alias("n")), keys, held)
+
+
+def _holding(bins: DataFrame, keys: list[str], wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Of counts by ``bin``, those that hold a wanted rank: ``_<key>``, ``_bin``, ``p``, ``at``, ``before``."""
     asked = F.lit(None).cast("array<double>")
     for channel, ps in wanted.items():
         asked = F.when(F.col("channel") == channel, F.array(*[F.lit(float(p)) for p in ps])).otherwise(asked)
-    # no condition here that could sink below the counts' shuffle, or it would be done once for each use
-    binned = counts.withColumn("bin", _bin())
-    bins = binned.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
     order = Window.partitionBy(*keys).orderBy("bin")
     bins = bins.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy(*keys))}).withColumn("p", F.explode(asked))
     bins = bins.withColumn("at", (F.col("total") - 1) * F.col("p"))
     held = bins.where((F.col("upto") > F.floor("at")) & (F.col("upto") - F.col("n") <= F.ceil("at")))
     # one bin for most wanted ranks, two where its neighbours lie in two
-    held = held.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("bin").alias("_bin"), "p", "at", (F.col("upto") - F.col("n")).alias("before"))
+    return held.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("bin").alias("_bin"), "p", "at", (F.col("upto") - F.col("n")).alias("before"))
+
+
+def _at_ranks_of(binned: DataFrame, keys: list[str], held: DataFrame) -> DataFrame:
+    """The values at the ranks of ``held``, from counts of values with their bins."""
     same = F.col("bin").eqNullSafe(F.col("_bin"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
@@ -85,7 +109,7 @@ def percentiles(counts: DataFrame, by: Sequence[str], wanted: Mapping[str, Seque
 
 def medians(rows: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
     """``by``, ``median``; no row where there is no value."""
-    found = percentiles(value_counts(rows, by, {"value": value}), by, {"value": (0.5,)})
+    found = selected(rows, by, {"value": value}, {"value": (0.5,)})
     return found.select(*by, F.col("x").alias("median"))
 
 

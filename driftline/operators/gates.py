@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.config import CRUISE_ANCHOR_MPS, TRAJECTORY_ANCHOR_MPS, GridConfig, SegmentConfig
-from driftline.functions.percentile import beside, medians, percentiles, value_counts
+from driftline.functions.percentile import beside, medians, percentiles, selected
 from driftline.operators import segments as seg
-from driftline.sources.tables import union_all
 
 _SEGMENT = ("date", "icao24", "segment_id")
 
@@ -18,18 +17,30 @@ class GateError(ValueError):
 
 
 def gap_sensitivity(points: DataFrame, config: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """Segments, points and the median duration if final points are split anew at one, two and three times the gap."""
-    bare = points.drop("segment_id", "segment_start_time", "segment_end_time", "segment_duration_s")
-    tables = []
-    for times in (1, 2, 3):
-        gap = times * config.gap_split_s
-        again = seg.judged_segments(seg.remove_glitches(seg.assign_segments(bare, gap), config), config).where("is_valid")
-        by_segment = again.groupBy(*_SEGMENT).agg(F.count(F.lit(1)).alias("n"), F.min_by("segment_duration_s", "t").alias("duration"))
-        tables.append(by_segment.select(F.lit(float(gap)).alias("gap_split_s"), "n", "duration"))
-    every = union_all(tables).groupBy("gap_split_s", F.col("duration").alias("value")).agg(F.sum("n").alias("points"), F.count(F.lit(1)).alias("n"))
+    """Segments, points and the median duration if final points are split anew at one, two and three times the gap.
+
+    Only aircraft with a pause between one and three gaps are split differently. Their
+    points go through the steps once for each gap, side by side in the same windows; those
+    of all others go through once and count for each.
+    """
+    aircraft, multiples = Window.partitionBy("date", "icao24"), (1, 2, 3)
+    pause = F.col("t") - F.lag("t").over(aircraft.orderBy("t", "src_order"))
+    bare = points.drop("segment_id", "segment_start_time", "segment_end_time", "segment_duration_s").repartition("date", "icao24")
+    differs = F.max((F.col("_pause") > config.gap_split_s) & (F.col("_pause") <= max(multiples) * config.gap_split_s)).over(aircraft)
+    rows = bare.withColumn("_pause", pause).withColumn("_differs", F.coalesce(differs, F.lit(False)))
+    each = F.when(F.col("_differs"), F.array(*map(F.lit, multiples))).otherwise(F.array(F.lit(0)))
+    rows = rows.withColumn("_times", F.explode(each)).drop("_pause", "_differs")
+    also = ("_times",)
+    split = seg.assign_segments(rows, F.greatest("_times", F.lit(1)) * F.lit(float(config.gap_split_s)), also)
+    again = seg.judged_segments(seg.remove_glitches(split, config, also), config, also).where("is_valid")
+    by_segment = again.groupBy(*_SEGMENT, "_times").agg(F.count(F.lit(1)).alias("n"), F.min_by("segment_duration_s", "t").alias("duration"))
+    gap = lambda k: F.lit(float(config.gap_split_s)) * k
+    counts_for = F.when(F.col("_times") == 0, F.array(*map(gap, multiples))).otherwise(F.array(gap(F.col("_times"))))
+    every = by_segment.select(F.explode(counts_for).alias("gap_split_s"), "n", F.col("duration").alias("value"))
+    every = every.groupBy("gap_split_s", "value").agg(F.sum("n").alias("points"), F.count(F.lit(1)).alias("n"))
     sums = every.groupBy("gap_split_s").agg(F.sum("n").alias("num_segments"), F.sum("points").alias("total_points_kept"))
     middle = percentiles(every.select("gap_split_s", F.lit("duration").alias("channel"), "value", "n"), ["gap_split_s"], {"duration": (0.5,)})
-    gaps = points.sparkSession.createDataFrame([(float(k * config.gap_split_s),) for k in (1, 2, 3)], "gap_split_s double")
+    gaps = points.sparkSession.createDataFrame([(float(k * config.gap_split_s),) for k in multiples], "gap_split_s double")
     joined = beside(gaps, sums, middle.select("gap_split_s", F.col("x").alias("median_duration_s")), on="gap_split_s")
     return joined.select("gap_split_s", "num_segments", "total_points_kept", "median_duration_s")
 
@@ -94,7 +105,7 @@ def motion_percentiles(samples: DataFrame) -> DataFrame:
     """p50, p95 and p99 of speed and of the sizes of both accelerations and the turn rate; a row each."""
     channels = {"speed_mps": F.col("speed_mps")} | {c: F.abs(c) for c in ("accel_mps2", "accel_vector_mps2", "turn_rate_deg_s")}
     ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    found = percentiles(value_counts(samples, [], channels), [], dict.fromkeys(channels, tuple(ps.values())))
+    found = selected(samples, [], channels, dict.fromkeys(channels, tuple(ps.values())))
     every = samples.sparkSession.createDataFrame([(c,) for c in channels], "channel string")
     return every.join(found, "channel", "left").groupBy("channel").agg(*[F.max(F.when(F.col("p") == p, F.col("x"))).alias(n) for n, p in ps.items()])
 

@@ -97,7 +97,7 @@ def known_callsign(also: tuple[str, ...] = ()) -> Column:
     return F.last(callsign(F.col("callsign")), ignorenulls=True).over(before)
 
 
-def assign_segments(states: DataFrame, gap_split_s: float = 60.0, also: tuple[str, ...] = ()) -> DataFrame:
+def assign_segments(states: DataFrame, gap_split_s: float | Column = 60.0, also: tuple[str, ...] = ()) -> DataFrame:
     """The rows with ``starts_segment, segment_id, segment_start_time, segment_end_time, segment_duration_s``.
 
     A segment starts with an aircraft's first row, after a gap, or when a real callsign

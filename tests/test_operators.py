@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.config import GridConfig, SegmentConfig
-from driftline.functions.percentile import medians, percentiles, value_counts
+from driftline.functions.percentile import medians, percentiles, selected, value_counts
 from driftline.functions.text import flag, spacing_tag
 from driftline.operators import classify, gates, grid, motion, segments, states, verdict
 from driftline.operators.rules import RULES
@@ -129,14 +129,45 @@ def test_exact_percentiles_as_in_numpy(spark):
     rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("a", None), ("e", None)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(5)
     ps = (0.0, 0.05, 0.5, 0.95, 0.99, 1.0)
-    found = percentiles(value_counts(df, ["g"], {"x": F.col("x"), "y": -F.col("x")}), ["g"], {"x": ps, "y": (0.5,)}).collect()
+    channels, wanted = {"x": F.col("x"), "y": -F.col("x")}, {"x": ps, "y": (0.5,)}
+    found = percentiles(value_counts(df, ["g"], channels), ["g"], wanted).collect()
     assert len(found) == len(groups) * 7
+    assert sorted(map(tuple, selected(df, ["g"], channels, wanted).collect()), key=repr) == sorted(map(tuple, found), key=repr)
     for f in found:
         want = np.percentile(groups[f.g] * (1 if f.channel == "x" else -1), 100 * f.p)
         assert math.isclose(f.x, want, rel_tol=1e-12, abs_tol=1e-12), f
     assert medians(df.where("x IS NULL"), F.col("x")).collect() == []
 
 
+def test_selection_shuffles_bins_and_few_values(spark):
+    """Ten times the samples are ten times the values, but no more rows in the shuffles than there are bins and values of some bins."""
+    def shuffled(n):
+        rows = spark.range(n).selectExpr("rand(3) * 5e-3 AS x")  # some 7,000 bins
+        store = spark._jsparkSession.sharedState().statusStore()
+        before = store.executionsCount()
+        medians(rows, F.col("x")).collect()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        metrics = [(store.executionsList().apply(k), store.executionMetrics(store.executionsList().apply(k).executionId())) for k in range(before, store.executionsCount())]
+        total = 0
+        for execution, values in metrics:
+            for k in range(execution.metrics().size()):
+                m = execution.metrics().apply(k)
+                if m.name() == "shuffle records written" and values.get(m.accumulatorId()).isDefined():
+                    total += int(values.get(m.accumulatorId()).get().replace(",", ""))
+        return total
+
+    few, many = shuffled(30_000), shuffled(300_000)
+    assert 0 < many < 2.5 * few
+
+
+def test_pauses_count_once_for_aircraft_that_do_not_differ(spark):
+    config = SegmentConfig(gap_split_s=60, min_duration_s=10, min_points=2)
+    rows = [("2022-06-06", a, "A", float(t), 40 + 1e-4 * t, 8.0, 1000.0, 50.0, 0.0, k) for a, ts in (("a", range(0, 100, 10)), ("b", [0, 10, 20, 110, 120, 130, 300, 310, 330]), ("c", [0, 10, 300, 310])) for k, t in enumerate(ts)]
+    points = segments.segments_of(spark.createDataFrame([(*r, r[3], False) for r in rows], "date string, icao24 string, callsign string, lastposupdate double, lat double, lon double, geoaltitude double, velocity double, heading double, src_order long, time double, onground boolean"), config)
+    found = {r.gap_split_s: (r.num_segments, r.total_points_kept) for r in gates.gap_sensitivity(points, config).collect()}
+    assert found == {60.0: (6, 23), 120.0: (5, 23), 180.0: (4, 23)}
+
+
 def test_reports_without_an_id_are_spread(spark):
     rows = spark.range(4000).selectExpr("'2022-06-06' AS date", "' ' AS icao24", "cast(id AS double) AS t", "id AS src_order")
     assert segments.dealt(rows).select("_aircraft").distinct().count() == segments.first_reports(rows).count() == 4000
