@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.sources.folders import shared_folder
+from driftline.sources.folders import written
 
 #: A whitelist of up to so many keys is sent to all tasks; a registry of all aircraft has some hundred thousand.
 BROADCAST_KEYS = 2_000_000
@@ -24,13 +24,6 @@ def whitelist_keys(registry: DataFrame) -> DataFrame:
 _BITS_PER_KEY, _MOST_BITS, _BLOCK = 16, 1 << 28, 1 << 15
 
 
-def written_keys(keys: DataFrame) -> DataFrame:
-    """The keys, written to the shared folder at once: what they come from runs this once, and their number is known."""
-    spark, path = keys.sparkSession, shared_folder(keys.sparkSession, "keys")
-    keys.select("icao24").write.parquet(path)
-    return spark.read.schema("icao24 string").parquet(path)
-
-
 def _bits(key: Column, blocks: int) -> tuple[Column, Column]:
     """Block of a key, and its two bits there."""
     h = F.xxhash64(key)
@@ -63,7 +56,7 @@ def of_whitelist(states: DataFrame, keys: DataFrame, most: int = BROADCAST_KEYS)
     tasks. Beyond that both sides are shuffled and skewed keys split; a filter of bounded
     size keeps nearly all reports that aren't on the list out of the shuffle.
     """
-    keys = written_keys(keys)
+    keys = written(keys.select("icao24"), "keys")
     n = keys.count()
     listed = keys.select(F.col("icao24").alias("_key"))
     if n <= most:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.config import GridConfig
-from driftline.functions.percentile import beside, percentiles, value_counts
+from driftline.functions.percentile import beside, selected
 from driftline.operators.grid import on_grid, output_longitudes, pieces
 from driftline.operators.motion import motion, raw_entries
+from driftline.sources.folders import written
 
 _PIECE = ("date", "icao24", "segment_id", "piece")
 REASONS = ("duration", "min_points", "speed", "accel", "turn_rate")
@@ -77,15 +78,16 @@ def dropped_of(samples: DataFrame, segments: DataFrame, config: GridConfig = Gri
 
 
 def day_summary(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """The accounts of each day, days without any trajectory too."""
-    return accounts(all_samples(segments, config), segments, config)
+    """The accounts of each day, days without any trajectory too. What they need of the samples is written to the shared folder first."""
+    needed = ["date", "sample_idx", "reason", "speed_mps", "accel_mps2", "turn_rate_deg_s", "exceeds_accel_limit", "exceeds_turn_rate_limit"]
+    return accounts(written(all_samples(segments, config).select(*needed), "samples"), segments, config)
 
 
 def accounts(samples: DataFrame, segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """``day_summary`` from judged samples and, for what has no samples, the segments' keys and times.
+    """``day_summary`` from judged samples that are written, and, for what has no samples, the segments' keys and times.
 
-    Samples and trajectories are counted by value and channel in one pass; counts and
-    exact percentiles come from that.
+    Rows are tallied in one aggregation. For exact percentiles values are counted in bins, and
+    only those of bins that hold a rank are shuffled.
     """
     split = pieces(segments.withColumn("_reports", F.count(F.lit(1)).over(Window.partitionBy("date", "icao24", "segment_id", "t"))), config.max_gap_s)
     by_segment = split.groupBy("date", "icao24", "segment_id").agg(
@@ -106,10 +108,8 @@ def accounts(samples: DataFrame, segments: DataFrame, config: GridConfig = GridC
         "flagged_turn_rate": stays & first & F.col("exceeds_turn_rate_limit"),
         **{f"dropped_{r}": first & (F.col("reason") == r) for r in REASONS},
     }
-    channels = {c: F.when(stays, v) for c, v in motions.items()} | {c: F.when(v, 0.0) for c, v in tallies.items()}
-    counts = value_counts(samples, ["date"], channels)
-    tallied = counts.groupBy("date").agg(*[F.sum(F.when(F.col("channel") == c, F.col("n"))).alias(c) for c in tallies])
-    ranks = percentiles(counts, ["date"], dict.fromkeys(motions, (0.5, 0.95)))
+    tallied = samples.groupBy("date").agg(*[F.count_if(v).alias(c) for c, v in tallies.items()])
+    ranks = selected(samples.where(stays), ["date"], motions, dict.fromkeys(motions, (0.5, 0.95)))
     names = {(c, p): f"{word}_{c}" for c in motions for word, p in (("median", 0.5), ("p95", 0.95))}
     ranks = ranks.groupBy("date").agg(*[F.max(F.when((F.col("channel") == c) & (F.col("p") == p), F.col("x"))).alias(n) for (c, p), n in names.items()])
     found = beside(read, tallied, ranks)

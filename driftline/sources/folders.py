@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/driftline/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}-{label}"
 
 
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder at once: what they come from runs this once."""
+    path = shared_folder(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def rename(spark: SparkSession, path: str, to: str) -> None:
     """Move a file or folder within its file system; folders above the new place are made."""
     hadoop = spark._jvm.org.apache.hadoop.fs

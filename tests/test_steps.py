@@ -10,6 +10,7 @@ from driftline.operators import grid, profiles, states, verdict
 from driftline.plans import derived, pipeline
 from driftline.plans.queries import GRID, SEGMENTS, valid
 from driftline.sources import tables
+from driftline.sources.folders import written
 
 SF = "/root/testdata/sf0.001"
 DAYS = {"2022-06-06", "2022-06-13", "2022-06-20", "2022-06-27"}
@@ -105,7 +106,7 @@ def test_fixes_emit_samples_and_nothing_else(spark):
 def test_membership_beyond_a_broadcast(spark):
     keys = spark.range(3000).selectExpr("lower(lpad(hex(id * 7), 6, '0')) AS icao24")
     rows = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN upper(lpad(hex(id), 6, '0')) ELSE lpad(hex(id), 6, '0') END AS icao24", "id")
-    listed = states.written_keys(keys)
+    listed = written(keys, "keys")
     near = states.passing(rows, states.key_filter(listed, listed.count()))
     found = states.of_whitelist(rows, keys, most=0)
     want = sorted(7 * k for k in range(3000) if 7 * k < 40_000)
