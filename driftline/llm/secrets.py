@@ -30,8 +30,8 @@ SAMPLE_ROWS, BACKGROUND_ROWS, SAMPLE_LENGTH = 1000, 4000, 80
 ALPHA = 0.05
 #: Every so many values of a sample set a threshold instead of an automaton.
 HELD_OUT = 4
-#: Share of held-out credentials that a threshold may miss.
-MISS = 0.05
+#: Share of held-out credentials that a threshold may miss, and of other held-out runs that it may let pass.
+MISS, FALSE_ALARMS = 0.05, 0.001
 
 _PIECES = re.compile(r"[A-Za-z0-9]+|.", re.S)
 
@@ -199,16 +199,22 @@ def _parted(values: list[str]) -> tuple[list[str], list[str]]:
 def infer_grammar(credentials: dict[str, list[str]], background: list[str]) -> Grammar:
     """Automata of labelled credentials by kind, and a threshold of the likelihood ratio for each.
 
-    All but ``MISS`` of the held-out credentials meet it, and it is 0 at least: what is
-    likelier among the other runs is none. Those may hold some unnamed credentials.
+    A threshold lies half-way between what all but ``MISS`` of the held-out credentials reach
+    and what all but ``FALSE_ALARMS`` of the other held-out runs stay below, so formats of
+    other lengths and separators than the sample's pass too. The other runs may hold some
+    unnamed credentials; where these bring the two to overlap, the former decides. A
+    threshold is 0 at least.
     """
-    other, kinds = infer([_symbols(x) for x in background]), {}
+    others, other_held_out = _parted(background)
+    other, kinds = infer(others), {}
     for kind, values in sorted(credentials.items()):
         samples, held_out = _parted(values)
         automaton = infer(samples)
         automaton.unseen = min(automaton.unseen, other.unseen - 3)  # what neither has seen is no credential
-        known = sorted(automaton.loglik(x) - other.loglik(x) for x in held_out)
-        kinds[kind] = (automaton, max(0.0, known[int(MISS * len(known))]))
+        ratios = lambda words: sorted(automaton.loglik(x) - other.loglik(x) for x in words)  # noqa: B023, E731
+        known, alarms = ratios(held_out), ratios(other_held_out) or [0.0]
+        high, low = known[int(MISS * len(known))], alarms[max(0, math.ceil((1 - FALSE_ALARMS) * len(alarms)) - 1)]
+        kinds[kind] = (automaton, max(0.0, (min(low, high) + high) / 2))
     return Grammar(kinds, other)
 
 
@@ -264,11 +270,18 @@ def find_candidates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
 
 
 def _sample(rows: DataFrame, column: str, kinds: tuple[str, ...], most: int) -> dict[str, list[str]]:
-    """Up to ``most`` different values of each kind, those of least hash."""
-    values = rows.select(F.explode(column).alias("x")).select("x.kind", "x.value").where(F.length("value") <= SAMPLE_LENGTH).distinct()
+    """Up to ``most`` different values of each kind, those of least hash.
+
+    Values are some millions or more, so their number is estimated first, and those whose
+    hash is too high to be taken stay out of the shuffle.
+    """
+    values = rows.select(F.explode(column).alias("x")).select("x.kind", "x.value").where(F.length("value") <= SAMPLE_LENGTH)
+    numbers = {r.kind: r.n for r in values.groupBy("kind").agg(F.approx_count_distinct("value").alias("n")).collect()}
     out = {}
     for kind in kinds:
-        top = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(most)
+        share = min(1.0, 4 * most / max(numbers.get(kind, 0), 1))
+        low = values.where((F.col("kind") == kind) & (F.xxhash64("value") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))))
+        top = low.distinct().orderBy(F.xxhash64("value"), "value").limit(most)
         out[kind] = [r.value for r in top.collect()]
     return {k: v for k, v in out.items() if v}
 

@@ -3,6 +3,8 @@ import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from driftline.llm import secrets as s
 
 
@@ -140,6 +142,34 @@ def test_credentials_without_a_name_are_found(spark):
     assert wrong <= 0.002 * runs, (wrong, runs)
 
 
+def test_other_lengths_and_separators_than_the_sample(spark):
+    """Formats that no labelled credential has are found, at no more false alarms than stated."""
+    r = random.Random(19)
+    code = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n))
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    word = lambda: code("aeioutnshr", r.choice([3, 5, 7, 9, 13, 15]))
+    credentials = {"assign": [f"{code(alnum, 12)}-{code(alnum, 8)}" for _ in range(400)], "hex": [code("abcdef0123456789", r.choice([32, 40])) for _ in range(400)]}
+    run = lambda: r.choice([word() + word(), f"{word()}-{word()}/item{r.randrange(99)}.html", f"{word().capitalize()}{word()}", f"www.{word()}.com/{word()}"])
+    grammar = s.infer_grammar(credentials, [run() for _ in range(4000)])
+    unseen = {
+        "longer": lambda: f"{code(alnum, 16)}-{code(alnum, 10)}",
+        "another separator": lambda: f"{code(alnum, 12)}_{code(alnum, 8)}",
+        "no separator": lambda: code(alnum, 24),
+        "longer hex": lambda: code("abcdef0123456789", 64),
+        "shorter hex": lambda: code("abcdef0123456789", 24),
+        "parted hex": lambda: "-".join(code("abcdef0123456789", n) for n in (8, 4, 4, 4, 12)),
+    }
+    for name, make in unseen.items():
+        assert sum(grammar.score(make())[0] >= 0 for _ in range(300)) >= 270, name
+    assert sum(grammar.score(run())[0] >= 0 for _ in range(20_000)) <= s.FALSE_ALARMS * 20_000
+
+
+def test_samples_are_the_values_of_least_hash(spark, monkeypatch):
+    rows = spark.range(30_000).selectExpr("array(named_struct('start', 0L, 'end', 1L, 'kind', if(id % 2 = 0, '', 'hex'), 'value', cast(id % 20000 AS string))) AS runs")
+    want = spark.range(20_000).where("id % 2 = 0").selectExpr("cast(id AS string) AS v").orderBy(F.xxhash64("v")).limit(50)
+    assert s._sample(rows, "runs", ("", "none"), 50) == {"": [r.v for r in want.collect()]}
+
+
 def test_scan(spark):
     r = random.Random(7)
     code = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n))
