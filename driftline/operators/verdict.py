@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.config import GridConfig
-from driftline.functions.percentile import beside, selected
+from driftline.functions.percentile import beside, percentiles, selected, value_counts
 from driftline.operators.grid import on_grid, output_longitudes, pieces
 from driftline.operators.motion import motion, raw_entries
-from driftline.sources.folders import written
 
 _PIECE = ("date", "icao24", "segment_id", "piece")
 REASONS = ("duration", "min_points", "speed", "accel", "turn_rate")
@@ -77,18 +76,45 @@ def dropped_of(samples: DataFrame, segments: DataFrame, config: GridConfig = Gri
     return first.select("date", "trajectory_id", F.col("segment_id").alias("source_segment_id"), "reason", "n_samples", F.col("trajectory_duration_s").alias("duration_s")).union(tiny)
 
 
+def _asked() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What the percentiles of a day are of, and what is counted of it."""
+    first, stays = F.col("sample_idx") == 0, F.col("reason").isNull()
+    motions = {"speed_mps": F.col("speed_mps"), "accel_mps2": F.abs("accel_mps2"), "turn_rate_deg_s": F.abs("turn_rate_deg_s")}
+    tallies = {
+        "output_rows": stays,
+        "output_trajectories": stays & first,
+        "flagged_accel": stays & first & F.col("exceeds_accel_limit"),
+        "flagged_turn_rate": stays & first & F.col("exceeds_turn_rate_limit"),
+        **{f"dropped_{r}": first & (F.col("reason") == r) for r in REASONS},
+    }
+    return {c: F.when(stays, v) for c, v in motions.items()}, tallies
+
+
 def day_summary(segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
-    """The accounts of each day, days without any trajectory too. What they need of the samples is written to the shared folder first."""
-    needed = ["date", "sample_idx", "reason", "speed_mps", "accel_mps2", "turn_rate_deg_s", "exceeds_accel_limit", "exceeds_turn_rate_limit"]
-    return accounts(written(all_samples(segments, config).select(*needed), "samples"), segments, config)
+    """The accounts of each day, days without any trajectory too.
+
+    Samples and trajectories are counted by value and channel in one pass over the chain;
+    counts and exact percentiles come from that.
+    """
+    motions, tallies = _asked()
+    counts = value_counts(all_samples(segments, config), ["date"], motions | {c: F.when(v, 0.0) for c, v in tallies.items()})
+    tallied = counts.groupBy("date").agg(*[F.sum(F.when(F.col("channel") == c, F.col("n"))).alias(c) for c in tallies])
+    return _by_day(segments, config, tallied, percentiles(counts, ["date"], dict.fromkeys(motions, (0.5, 0.95))))
 
 
 def accounts(samples: DataFrame, segments: DataFrame, config: GridConfig = GridConfig()) -> DataFrame:
     """``day_summary`` from judged samples that are written, and, for what has no samples, the segments' keys and times.
 
     Rows are tallied in one aggregation. For exact percentiles values are counted in bins, and
-    only those of bins that hold a rank are shuffled.
+    only those of bins that hold a rank are shuffled, in a second read of three columns.
     """
+    motions, tallies = _asked()
+    tallied = samples.groupBy("date").agg(*[F.count_if(v).alias(c) for c, v in tallies.items()])
+    return _by_day(segments, config, tallied, selected(samples, ["date"], motions, dict.fromkeys(motions, (0.5, 0.95))))
+
+
+def _by_day(segments: DataFrame, config: GridConfig, tallied: DataFrame, ranks: DataFrame) -> DataFrame:
+    """A row a day: what was read, from the pieces; tallies; percentiles ``date, channel, p, x``."""
     split = pieces(segments.withColumn("_reports", F.count(F.lit(1)).over(Window.partitionBy("date", "icao24", "segment_id", "t"))), config.max_gap_s)
     by_segment = split.groupBy("date", "icao24", "segment_id").agg(
         F.sum("_reports").alias("rows"), F.max(F.col("was_split_by_interp_gap").cast("int")).alias("split"), F.count_if(F.col("n_fixes") < 2).alias("tiny")
@@ -99,18 +125,7 @@ def accounts(samples: DataFrame, segments: DataFrame, config: GridConfig = GridC
         F.sum("split").alias("segments_split_by_interp_gap"),
         F.sum("tiny").alias("tiny"),
     )
-    first, stays = F.col("sample_idx") == 0, F.col("reason").isNull()
-    motions = {"speed_mps": F.col("speed_mps"), "accel_mps2": F.abs("accel_mps2"), "turn_rate_deg_s": F.abs("turn_rate_deg_s")}
-    tallies = {
-        "output_rows": stays,
-        "output_trajectories": stays & first,
-        "flagged_accel": stays & first & F.col("exceeds_accel_limit"),
-        "flagged_turn_rate": stays & first & F.col("exceeds_turn_rate_limit"),
-        **{f"dropped_{r}": first & (F.col("reason") == r) for r in REASONS},
-    }
-    tallied = samples.groupBy("date").agg(*[F.count_if(v).alias(c) for c, v in tallies.items()])
-    ranks = selected(samples.where(stays), ["date"], motions, dict.fromkeys(motions, (0.5, 0.95)))
-    names = {(c, p): f"{word}_{c}" for c in motions for word, p in (("median", 0.5), ("p95", 0.95))}
+    names = {(c, p): f"{word}_{c}" for c in _asked()[0] for word, p in (("median", 0.5), ("p95", 0.95))}
     ranks = ranks.groupBy("date").agg(*[F.max(F.when((F.col("channel") == c) & (F.col("p") == p), F.col("x"))).alias(n) for (c, p), n in names.items()])
     found = beside(read, tallied, ranks)
     out = ["output_rows", "output_trajectories", "flagged_accel", "flagged_turn_rate", *names.values(), "segments_split_by_interp_gap"]
