@@ -65,8 +65,8 @@ def test_same_rows_and_no_rows(spark):
 def test_filter(spark):
     rows = spark.range(0, 3000, 3).withColumnRenamed("id", "doc")
     docs = spark.range(3000).selectExpr("id AS doc", "cast(cast(id AS string) AS binary) AS text")
-    found = s._filter(rows, "doc")
-    assert {r.doc for r in s._passing(docs, "doc", found).select("doc").collect()} >= set(range(0, 3000, 3))
+    found = s.bitmap_of(rows, "doc")
+    assert {r.doc for r in s.passing(docs, "doc", found).select("doc").collect()} >= set(range(0, 3000, 3))
     rest = {r.doc for r in s._untouched(docs, found).select("doc").collect()}
     assert not rest & set(range(0, 3000, 3)) and len(rest) > 1900
 
