@@ -1,10 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import xxhash
 
-from driftline.llm import simhash
+from driftline.llm import simhash, words
 from driftline.llm.components import component_of, connected_components
 from driftline.llm.exact_dedup import exact_dedup
 
@@ -40,6 +41,26 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_fingerprints_of_long_texts_in_parts(monkeypatch):
+    r = random.Random(11)
+    for size in (8, 40, 300):
+        monkeypatch.setattr(words, "LONG_BYTES", size)
+        for _ in range(80):
+            text = "".join(r.choice(["a", "B ", "É\n", "ccc  ", "d" * 70, " ", "\x0b"]) for _ in range(r.randrange(70)))
+            assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+        for text in (" " * 900, "x" * 900, "X" * 900 + " y" + " " * 900, " " * 900 + "a b c d"):
+            assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def test_memory_for_a_long_text():
+    text = b"Of all the words " * 500_000  # 8.5 MB, 2,000,000 words
+    tracemalloc.start()
+    simhash.fingerprint(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+
+
 def test_fingerprints():
     r = random.Random(2)
     for text in [None, "", " \t", "A b", "one", "a b c", "É é x\x1fy z", *(" ".join(r.choice("abcXYZé") for _ in range(r.randrange(40))) for _ in range(200))]:
