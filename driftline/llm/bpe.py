@@ -22,7 +22,7 @@ from driftline.llm.common import PART_CHARS, Recent, at_spaces, read_table, set_
 
 VOCABULARY = "word_bpe_49k.json"
 #: Encoded chunks of one generation that a worker remembers.
-_REMEMBERED = 600_000
+_REMEMBERED = 200_000
 #: Bytes of texts whose results are held before they go back to Spark.
 _BATCH_BYTES = 8 << 20
 #: Characters that ``str.split`` takes for white space and the vocabulary's own pattern does not.

@@ -60,3 +60,11 @@ def test_rows(spark):
 
 def test_no_rows(spark):
     assert bpe_encode_decode(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_remembered_chunks_are_bounded():
+    known = bpe.Vocabulary(PATH)
+    known._chunk = lambda chunk: b""
+    for k in range(0, 700_000, 5000):
+        known.encode(" ".join(f"w{i}" for i in range(k, k + 5000)))
+    assert len(known.encoded.young) + len(known.encoded.old) < 450_000
