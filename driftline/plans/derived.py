@@ -121,12 +121,17 @@ LAYOUTS = (
 )
 
 
+def by_day(rows: DataFrame) -> DataFrame:
+    """The rows of a day, of which a file is made, in one task and in order; the sort is the one that the writer asks for, too."""
+    return rows.repartition("date").sortWithinPartitions("date", "src_order")
+
+
 def state_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder of CSV files with the reports: a small file first, one name in two folders, three headers, reports of one time in several files."""
     at = shared_folder(spark, "states")
     rows = states(spark, sf_dir).withColumn("report", F.col("src_order"))
     for k, (folder, hour, columns, chosen) in enumerate(LAYOUTS):
-        part = rows.where(chosen).repartition(1).sortWithinPartitions("src_order").select("date", *columns)
+        part = by_day(rows.where(chosen)).select("date", *columns)
         part.write.partitionBy("date").option("header", True).csv(f"{at}/written-{k}")
         for file in list_files(spark, f"{at}/written-{k}"):
             day = file.path.split("/date=")[1][:10]

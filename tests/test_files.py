@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.plans import pipeline
+from driftline.plans import derived, pipeline
 from driftline.sources import files, tables
 
 
@@ -147,3 +147,21 @@ def test_states_of_some_days(spark, tmp_path):
     (raw / "states_2022-06-06-01.csv").write_text("icao24,time\n00000a,3\n")
     assert run("2022-06-13") == {"2022-06-06": 2, "2022-06-13": 3}
     assert {p for p in stamps(tmp_path / "daily") if p in before} == {p for p in before if "date=2022-06-06" in p.parts}
+
+
+def test_a_days_file_is_written_by_its_own_task(spark):
+    """No task sorts the rows of several days."""
+    wanted = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        rows = derived.by_day(derived.states(spark, "/root/testdata/sf0.001"))
+        days = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("date").alias("n")).collect()
+        assert len(days) == 4 and {r.n for r in days} == {1}
+        got = [(r.date, r.src_order) for r in rows.select("date", "src_order").collect()]
+        of_day = {d: [k for x, k in got if x == d] for d, _ in got}
+        assert all(ks == sorted(ks) for ks in of_day.values())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
