@@ -121,19 +121,28 @@ LAYOUTS = (
 )
 
 
-def by_day(rows: DataFrame) -> DataFrame:
-    """The rows of a day, of which a file is made, in one task and in order; the sort is the one that the writer asks for, too."""
-    return rows.repartition("date").sortWithinPartitions("date", "src_order")
+#: About so many rows of a file are written by a task, whatever the size of the tables; days of more are parted.
+ROWS_A_FILE = 500_000
+
+
+def by_day(rows: DataFrame, tasks: int = 1) -> DataFrame:
+    """The rows of a day in order, in one task, or by ranges in that order in ``tasks`` for all days; the sort is the one that the writer asks for, too."""
+    dealt = rows.repartition("date") if tasks == 1 else rows.repartitionByRange(tasks, "date", "src_order")
+    return dealt.sortWithinPartitions("date", "src_order")
 
 
 def state_files(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of CSV files with the reports: a small file first, one name in two folders, three headers, reports of one time in several files."""
+    """A folder of CSV files with the reports: a small file first, one name in two folders, three headers, reports of one time in several files.
+
+    A day's file of many rows is in parts, of one name, in folders whose order is that of the rows.
+    """
     at = shared_folder(spark, "states")
     rows = states(spark, sf_dir).withColumn("report", F.col("src_order"))
+    counts = rows.agg(*[F.count_if(F.expr(chosen)) for *_, chosen in LAYOUTS]).first()
     for k, (folder, hour, columns, chosen) in enumerate(LAYOUTS):
-        part = by_day(rows.where(chosen)).select("date", *columns)
+        part = by_day(rows.where(chosen), -(-counts[k] // ROWS_A_FILE) or 1).select("date", *columns)
         part.write.partitionBy("date").option("header", True).csv(f"{at}/written-{k}")
         for file in list_files(spark, f"{at}/written-{k}"):
-            day = file.path.split("/date=")[1][:10]
-            rename(spark, file.path, f"{at}/in/{folder}/states_{day}-{hour}.csv")
+            day, task = file.path.split("/date=")[1][:10], file.name.split("-")[1]
+            rename(spark, file.path, f"{at}/in/{folder}/{task}/states_{day}-{hour}.csv")
     return f"{at}/in"

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.plans import derived, pipeline
+from driftline.plans.queries import QUERIES
 from driftline.sources import files, tables
 
 
@@ -165,3 +166,20 @@ def test_a_days_file_is_written_by_its_own_task(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_day_of_many_rows_is_written_in_parts(spark, monkeypatch):
+    """No task has a whole day; rows keep their order over the parts, and the queries their results."""
+    sf = "/root/testdata/sf0.001"
+    results = lambda: [sorted(map(repr, QUERIES[q](spark, sf).collect())) for q in ("file_order_first", "file_inventory")]
+    whole = results()
+    monkeypatch.setattr(derived, "ROWS_A_FILE", 50, raising=False)
+    found = files.discover_states(spark, derived.state_files(spark, sf))
+    paths = [f.path for f in found]
+    lines = spark.read.text(paths).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(lines) == len(found) > 12 and max(r["count"] for r in lines) <= 1 + 2 * 50
+    rows = tables.with_date(tables.read_csv(spark, paths, numbers=()))
+    nth = F.coalesce(*[F.when(F.expr(chosen), k) for k, (*_, chosen) in enumerate(derived.LAYOUTS)])
+    want = derived.states(spark, sf).select("date", nth.alias("nth"), "src_order").orderBy("date", "nth", "src_order").collect()
+    assert in_order(rows.select("date", F.col("report").cast("long"), "src_order")) == [(r.date, r.src_order) for r in want]
+    assert results() == whole
